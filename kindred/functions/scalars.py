@@ -49,10 +49,10 @@ def time_to_minutes(text: Column, strict: bool = False, lenient: bool = False) -
     def part(pattern: str, group: int) -> Column:
         return F.nullif(F.regexp_extract(short, pattern, group), F.lit("")).cast("int")
 
-    both = rf"^{hours}{SPACE}+{minutes}$"
+    both = rf"^{hours}{SPACE}+{minutes}\z"
     parsed = part(both, 1) * 60 + part(both, 2)
     if lenient:
-        parsed = F.coalesce(parsed, part(rf"^{hours}$", 1) * 60, part(rf"^{minutes}$", 1))
+        parsed = F.coalesce(parsed, part(rf"^{hours}\z", 1) * 60, part(rf"^{minutes}\z", 1))
     if strict:
         failed = F.raise_error(F.concat(F.lit("not a duration: "), F.coalesce(text, F.lit("NULL"))))
         parsed = F.coalesce(parsed, failed.cast("int"))
@@ -125,8 +125,8 @@ def drop_combined(categories: Column) -> Column:
         blanks = F.length(element) - F.length(F.replace(element, F.lit(" "), F.lit("")))
 
         def cut_matches(i: Column) -> Column:
-            left = F.substring_index(element, " ", i)
-            right = F.substring_index(element, " ", i - blanks - 1)
+            left = F.call_function("substring_index", element, F.lit(" "), i)
+            right = F.call_function("substring_index", element, F.lit(" "), i - blanks - 1)
             both = F.array_contains(categories, left) & F.array_contains(categories, right)
             return both & (left != right)
 

@@ -14,13 +14,13 @@ from kindred.functions.scalars import SPACE, singular
 # colons stay inside numbers (1,000) and hyphens inside words (all-purpose).
 TOKEN_RULES = [
     (r"([:,])([^\p{Nd}])", r" $2"),
-    (r"[:,]$", " "),
+    (r"[:,]\z", " "),
     (r"\.\.\.", " "),
     (r"[;@#$%&?!\[\](){}<>\"“”«»…]", " "),
     (r"--", " "),
-    (rf"\.+['’]*({SPACE}|$)", " "),
-    (rf"n't({SPACE}|$)", " "),
-    (rf"'(s|m|d|ll|re|ve)?({SPACE}|$)", " "),
+    (rf"\.+['’]*({SPACE}|\z)", " "),
+    (rf"n't({SPACE}|\z)", " "),
+    (rf"'(s|m|d|ll|re|ve)?({SPACE}|\z)", " "),
 ]
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import constants as K
@@ -34,15 +34,12 @@ def token_sets(
         return rows.select(key, *[c.alias(f) for f, c in sets.items()])
     if lemmas.limit(MAX_LOOKUP_ROWS + 1).count() <= MAX_LOOKUP_ROWS:
         lemmas = F.broadcast(lemmas)
-    words = F.array(
-        *[
-            F.transform(
-                kept_words(F.col(f), stop_words),
-                lambda w, f=f: F.struct(F.lit(f).alias("field"), w.alias("surface")),
-            )
-            for f in fields
-        ]
-    )
+
+    def surfaces(field: str) -> Column:
+        words = kept_words(F.col(field), stop_words)
+        return F.transform(words, lambda w: F.struct(F.lit(field).alias("field"), w.alias("surface")))
+
+    words = F.array(*[surfaces(f) for f in fields])
     found = (
         rows.select(key, F.explode_outer(F.flatten(words)).alias("w"))
         .select(key, "w.*")
@@ -56,11 +53,12 @@ def token_sets(
 
 def as_features(sets: DataFrame, key: str, fields: Sequence[str]) -> DataFrame:
     """One ``features`` array per row; the field number keeps fields apart."""
-    parts = [
-        F.transform(F.coalesce(F.col(f), F.array().cast("array<string>")),
-                    lambda w, i=i: F.concat(F.lit(f"{i}:"), w))
-        for i, f in enumerate(fields)
-    ]
+
+    def numbered(i: int, field: str) -> Column:
+        words = F.coalesce(F.col(field), F.array().cast("array<string>"))
+        return F.transform(words, lambda w: F.concat(F.lit(f"{i}:"), w))
+
+    parts = [numbered(i, f) for i, f in enumerate(fields)]
     return sets.select(F.col(key), F.concat(*parts).alias("features"))
 
 

@@ -23,13 +23,16 @@ _TYPES = {
 }
 
 
-def ddl(columns, key: bool = True, labels_as_codes: bool = False) -> str:
-    """DDL of a table with the given columns, ``item_id`` first when ``key``."""
-    types = dict(_TYPES)
-    if labels_as_codes:
-        types.update(dict.fromkeys(K.LABEL_COLUMNS, "int"))
-    parts = ["item_id bigint"] if key else []
-    return ", ".join(parts + [f"{c} {types.get(c, 'string')}" for c in columns])
+def types_of(labels_as_codes: bool = False) -> dict[str, str]:
+    """Column types that are not string."""
+    codes = dict.fromkeys(K.LABEL_COLUMNS, "int") if labels_as_codes else {}
+    return {**_TYPES, **codes}
+
+
+def ddl(columns, labels_as_codes: bool = False) -> str:
+    """DDL of a table with ``item_id`` and the given columns."""
+    types = types_of(labels_as_codes)
+    return ", ".join(["item_id bigint", *(f"{c} {types.get(c, 'string')}" for c in columns)])
 
 
 FACETS = ddl(K.FACET_ORDER)

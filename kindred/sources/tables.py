@@ -6,9 +6,10 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from kindred.shared import stored
 from kindred.sources import schemas
 
 
@@ -48,29 +49,41 @@ def read_csv(
 ) -> DataFrame:
     """Read a CSV with a header row into declared columns and an ``item_id``.
 
-    ``key`` names an id column of the file. Without one, ids follow the line order, given
-    by ``zipWithIndex`` once at ingest: write the result, and read ids from that table.
+    ``key`` names an id column of the file. Without one, ids follow the line order of the
+    files in path order, fixed once at ingest in a stored table.
     """
     head = csv_header(spark, path)
-    named = [(headers.get(h, "item_id" if h == key else h)) for h in head]
-    types = T._parse_datatype_string(schemas.ddl([n for n in named if n != "item_id"], False, labels_as_codes))
-    known = {f.name: f.dataType for f in types.fields}
-    schema = T.StructType([T.StructField(n, known.get(n, T.LongType())) for n in named])
+    named = ["item_id" if h == key else headers.get(h, h) for h in head]
+    missing = [c for c in headers.values() if c not in named]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    types = {"item_id": "bigint", **schemas.types_of(labels_as_codes)}
+    ddl = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in named)
     rows = (
-        spark.read.schema(schema)
+        spark.read.schema(ddl)
         .option("header", True).option("multiLine", True).option("escape", '"')
         .csv(path)
     )
     wanted = list(headers.values())
-    missing = [c for c in wanted if c not in rows.columns]
-    if missing:
-        raise ValueError(f"columns missing in {path}: {missing}")
-    if key is not None:
-        return rows.select("item_id", *wanted)
-    data = rows.select(*wanted)
-    numbered = data.rdd.zipWithIndex().map(lambda pair: (pair[1], *pair[0]))
-    with_id = T.StructType([T.StructField("item_id", T.LongType(), False), *data.schema.fields])
-    return spark.createDataFrame(numbered, with_id)
+    return rows.select("item_id", *wanted) if key else number_lines(rows, wanted)
+
+
+def number_lines(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """Line numbers from 0 over all files; a multi-line CSV file is never split."""
+    kept = stored(
+        rows.select(
+            *columns,
+            F.col("_metadata.file_path").alias("_file"),
+            F.monotonically_increasing_id().alias("_at"),
+        ),
+        "lines",
+    )
+    # One row per file: a small window and a small broadcast.
+    files = kept.groupBy("_file").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1))
+    files = files.select("_file", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_at") - F.col("_first")
+    return kept.join(F.broadcast(files), "_file").select(number.alias("item_id"), *columns)
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:
@@ -79,10 +92,20 @@ def csv_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A Parquet table as it lies; filters and column choice reach the scan."""
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """Deal a table with too few splits out over all cores before heavy work per row.
+
+    Only small tables have fewer splits than two per core; a large one is left as it lies.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores, key) if table.rdd.getNumPartitions() < 2 * cores else table
+
+
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
