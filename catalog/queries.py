@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from kindred import constants as K
 from kindred.functions import models, scalars, tokens, vectors
 from kindred.operators import dictionary, facets, flags, topk
 from kindred.plans import evaluation, feature_build, filtered_search, text_search, tfidf_search, vector_search
+from kindred.shared import ship_package
 from kindred.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -382,7 +384,7 @@ def method_report(spark, sf):
     return rounded(evaluation.hit_report(predictions, golden), "hit_pct")
 
 
-QUERIES: dict[str, Query] = {
+_ALL: dict[str, Query] = {
     "facet_filter": facet_filter,
     "facet_gate": facet_gate,
     "facet_match": facet_match,
@@ -428,3 +430,15 @@ QUERIES: dict[str, Query] = {
     "eval_listing": eval_listing,
     "method_report": method_report,
 }
+
+
+def _with_package(query: Query) -> Query:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {name: _with_package(query) for name, query in _ALL.items()}

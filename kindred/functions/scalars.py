@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from kindred import constants as K
 
 # Everything Python's str.split() treats as a space.
-SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
 
 
 def collapse_spaces(text: Column) -> Column:
@@ -65,7 +65,7 @@ def max_minutes(hours: Column | int, minutes: Column | int) -> Column | int:
 
 
 def set_to_text(tokens: Column) -> Column:
-    return F.array_join(F.array_sort(tokens), ",")
+    return F.array_join(F.sort_array(tokens), ",")
 
 
 def text_to_set(text: Column) -> Column:
@@ -84,6 +84,7 @@ def singular(word: Column, exceptions: Mapping[str, str] | None = None) -> Colum
     def ends(pattern: str) -> Column:
         return F.rlike(word, F.lit(pattern))
 
+    lower = F.lower(word)
     rules = (
         F.when(ends("(?i)[^aeiou]ies$"), drop("(?i)ies$", "y"))
         .when(ends("(?i)(ch|sh|ss|x|zz|o)es$"), drop("(?i)es$"))
@@ -91,11 +92,13 @@ def singular(word: Column, exceptions: Mapping[str, str] | None = None) -> Colum
         .when(ends("(?i)..s$"), drop("(?i)s$"))
         .otherwise(word)
     )
+    out = F.when(F.endswith(lower, F.lit("s")), rules).otherwise(word)
     if not table:
-        return rules
+        return out
     pairs = [F.lit(x) for pair in table.items() for x in pair]
-    known = F.try_element_at(F.create_map(*pairs), F.lower(word))
-    return F.coalesce(F.concat(F.substring(word, 1, 1), F.substring(known, 2, 64)), rules)
+    known = F.try_element_at(F.create_map(*pairs), lower)
+    exception = F.concat(F.substring(word, 1, 1), F.substring(known, 2, 64))
+    return F.when(lower.isin(*table), exception).otherwise(out)
 
 
 # ---------------------------------------------------------------- categories
@@ -152,7 +155,7 @@ def split_by_vocabulary(categories: Column, vocabulary: Sequence[str] = K.CATEGO
         )
 
     parts = F.array_distinct(F.flatten(F.transform(categories, pieces)))
-    return F.array_join(F.array_sort(parts), ", ")
+    return F.array_join(F.sort_array(parts), ", ")
 
 
 def clean_categories(text: Column, vocabulary: Sequence[str] = K.CATEGORIES) -> Column:

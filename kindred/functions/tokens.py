@@ -10,38 +10,28 @@ from pyspark.sql import functions as F
 from kindred import constants as K
 from kindred.functions.scalars import SPACE, singular
 
-# What separates tokens in running English text, applied in this order. Commas and
-# colons stay inside numbers (1,000) and hyphens inside words (all-purpose).
-TOKEN_RULES = [
-    (r"([:,])([^\p{Nd}])", r" $2"),
-    (r"[:,]\z", " "),
-    (r"\.\.\.", " "),
-    (r"[;@#$%&?!\[\](){}<>\"“”«»…]", " "),
-    (r"--", " "),
-    (rf"\.+['’]*({SPACE}|\z)", " "),
-    (rf"n't({SPACE}|\z)", " "),
-    (rf"'(s|m|d|ll|re|ve)?({SPACE}|\z)", " "),
-]
+# What separates tokens in running English text, found in one pass. Commas and colons
+# stay inside numbers (1,000), hyphens and periods inside words (all-purpose, e.g).
+# Nearly every character is a letter, so that is ruled out before anything else is tried.
+_MARK = rf"{SPACE}|[;@#$%&?!\[\](){{}}<>\"“”«»…]|--|\.\.\.|[:,](?!\p{{Nd}})"
+_STOP = rf"\.+['’]*(?={_MARK}|\z)"
+_AFTER = rf"(?={_MARK}|{_STOP}|\z)"
+_CLITIC = "'(?:s|m|d|ll|re|ve)?" + _AFTER
+SEPARATOR = rf"(?:(?![\p{{L}}\p{{N}}])(?:\s+|{_MARK}|{_STOP}|{_CLITIC})|n't{_AFTER})+"
+
+# Letters and digits only, and not digits alone.
+WORD = r"^\p{Nd}*[\p{L}\p{Nl}\p{No}][\p{L}\p{N}]*$"
 
 
 def tokens(text: Column) -> Column:
     """Lower-cased tokens of a text, with repeats."""
-    out = F.lower(text)
-    for pattern, instead in TOKEN_RULES:
-        out = F.regexp_replace(out, pattern, instead)
-    return F.filter(F.split(out, SPACE + "+", -1), lambda w: w != "")
+    return F.filter(F.split(F.lower(text), SEPARATOR, -1), lambda w: w != "")
 
 
 def kept_words(text: Column, stop_words: Sequence[str] = K.STOP_WORDS) -> Column:
     """Distinct tokens of letters and digits only: no numbers, no stop words."""
-    return F.array_distinct(
-        F.filter(
-            tokens(text),
-            lambda w: F.rlike(w, F.lit(r"^[\p{L}\p{N}]+$"))
-            & ~F.rlike(w, F.lit(r"^\p{Nd}+$"))
-            & ~w.isin(*stop_words),
-        )
-    )
+    distinct = F.array_distinct(F.split(F.lower(text), SEPARATOR, -1))
+    return F.filter(distinct, lambda w: F.rlike(w, F.lit(WORD)) & ~w.isin(*stop_words))
 
 
 def unique_words(
@@ -52,7 +42,7 @@ def unique_words(
     """Sorted set of kept words in singular form."""
     # Distinct first: the suffix rules then run once per word and not per occurrence.
     one = F.transform(kept_words(text, stop_words), lambda w: singular(w, exceptions))
-    return F.array_sort(F.array_distinct(one))
+    return F.sort_array(F.array_distinct(one))
 
 
 def word_terms(text: Column, stop_words: Sequence[str] = K.STOP_WORDS) -> Column:

@@ -47,7 +47,7 @@ def token_sets(
         .withColumn("lemma", F.coalesce("lemma", "surface"))
     )
     return found.groupBy(key).agg(
-        *[F.array_sort(F.collect_set(F.when(F.col("field") == f, F.col("lemma")))).alias(f) for f in fields]
+        *[F.sort_array(F.collect_set(F.when(F.col("field") == f, F.col("lemma")))).alias(f) for f in fields]
     )
 
 
