@@ -439,7 +439,7 @@ ORACLE: dict[str, str] = {
     "tfidf_norms": f"""WITH {word_grams('documents', 'doc_id', 'text', 'g')}, n AS (SELECT count(*) AS n FROM documents),
         v AS (SELECT term, ln((1 + n) / (1 + df)::DOUBLE) + 1 AS idf
               FROM (SELECT term, count(*) AS df FROM g GROUP BY term), n WHERE df <= 0.8::DOUBLE * n)
-        SELECT doc_id AS item_id, count(*)::INT AS n_terms, round(sqrt(sum(tf * idf * tf * idf)), 6) AS norm
+        SELECT doc_id AS item_id, round(sqrt(sum(tf * idf * tf * idf)), 6) AS norm
         FROM g JOIN v USING (term) GROUP BY doc_id""",
     "tfidf_topk": f"""WITH {DOCS}, {tfidf_topk('docs', 'asked', "directions || ' ' || ingr", "directions || '. ' || ingredients", 10)}
         SELECT query_id, rank, item_id, round(score, 6) AS score FROM tfidf""",

@@ -13,7 +13,7 @@ from kindred import constants as K
 from kindred.functions import models, scalars, tokens, vectors
 from kindred.operators import dictionary, facets, flags, topk
 from kindred.plans import evaluation, feature_build, filtered_search, text_search, tfidf_search, vector_search
-from kindred.shared import ship_package
+from kindred.shared import ship_package, stored
 from kindred.sources import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,32 +180,34 @@ def _docs(spark, sf):
 
 
 def word_ngrams(spark, sf):
-    return tfidf_search.term_frequencies(_docs(spark, sf), "word", K.WORD_NGRAMS)
+    return tfidf_search.frequencies(_docs(spark, sf), char_sizes=None).drop("kind")
 
 
 def char_ngrams(spark, sf):
-    return tfidf_search.term_frequencies(_docs(spark, sf), "char", K.CHAR_NGRAMS)
+    return tfidf_search.frequencies(_docs(spark, sf), word_sizes=None).drop("kind")
 
 
 def term_frequency(spark, sf):
-    return tfidf_search.term_counts(_docs(spark, sf), "word", K.WORD_NGRAMS)
+    return tfidf_search.word_counts(_docs(spark, sf))
 
 
 def tfidf_vocab(spark, sf):
     docs = _docs(spark, sf)
-    return rounded(tfidf_search.char_vocabulary(docs, docs.count()), "idf")
+    counted = tfidf_search.frequencies(docs, word_sizes=None)
+    return rounded(tfidf_search.char_vocabulary(counted, docs.count()), "idf")
 
 
 def tfidf_idf(spark, sf):
     docs = _docs(spark, sf)
-    known = tfidf_search.word_vocabulary(docs, docs.count())
+    known = tfidf_search.word_vocabulary(tfidf_search.frequencies(docs, char_sizes=None), docs.count())
     return rounded(known.where(F.col("idf").isNotNull()), "idf")
 
 
 def tfidf_norms(spark, sf):
-    index = tfidf_search.TfidfIndex.fit(S.documents(spark, sf), ["directions"])
     docs = _docs(spark, sf)
-    return rounded(index.word_vectors(docs).select("item_id", F.size("terms").alias("n_terms"), "norm"), "norm")
+    counted = stored(tfidf_search.frequencies(docs, char_sizes=None), "tfidf-frequencies")
+    index = tfidf_search.TfidfIndex(tfidf_search.word_vocabulary(counted, docs.count()), counted)
+    return rounded(index.word_lengths(docs), "norm")
 
 
 def tfidf_topk(spark, sf):

@@ -1,18 +1,67 @@
-"""Counting n-grams of Arrow batches: one row in, its distinct n-grams out, no shuffle.
+"""Counting n-grams of Arrow batches: a row's n-grams are counted where the row lies.
 
-A row's n-grams are counted where the row lies. Spark's own ``explode`` + ``groupBy``
-would send every (row, n-gram) pair over the network first.
+Spark's own ``explode`` + ``groupBy`` would first send every (row, n-gram) pair over the
+network. Here an n-gram is one integer, a batch is one sort, and only distinct n-grams
+become strings.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-
-# Rows are cut into runs of about this many units, so memory stays bounded.
-_RUN_UNITS = 2_000_000
+import pyarrow.compute as pc
+
+_RUN_UNITS = 2_000_000  # rows are worked on in runs of about this many units
+_KEY_LIMIT = 2**62
+_CODE_POINTS = 0x110000
+
+
+@dataclass
+class Counted:
+    """Distinct (row, n-gram) pairs of a run, ordered by n-gram, then by row."""
+
+    row: np.ndarray
+    tf: np.ndarray
+    gram: np.ndarray  # index into ``terms``
+    start: np.ndarray  # first pair of each n-gram
+    terms: pa.Array
+
+
+def _count(codes: np.ndarray, lengths: np.ndarray, n: int, letters: np.ndarray, join) -> Iterator[Counted]:
+    n_rows, base = len(lengths), max(2, len(letters))
+    if n_rows * base**n >= _KEY_LIMIT and n_rows > 1:
+        half = n_rows // 2
+        cut = int(lengths[:half].sum())
+        for part in _count(codes[:cut], lengths[:half], n, letters, join):
+            yield part
+        for part in _count(codes[cut:], lengths[half:], n, letters, join):
+            part.row += half
+            yield part
+        return
+    ends = np.cumsum(lengths)
+    at = np.flatnonzero(np.arange(len(codes)) + n <= np.repeat(ends, lengths))
+    if not len(at):
+        return
+    if base**n * n_rows >= _KEY_LIMIT:  # one row with a huge alphabet
+        grams, tf = np.unique(codes[at[:, None] + np.arange(n)], axis=0, return_counts=True)
+        here = np.arange(len(grams))
+        yield Counted(np.zeros(len(grams), np.int64), tf, here, here, join(letters[grams]))
+        return
+    key = np.zeros(len(at), np.int64)
+    for i in range(n):
+        key = key * base + codes[at + i]
+    key = key * n_rows + np.repeat(np.arange(n_rows), lengths)[at]
+    key.sort()
+    pairs = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    tf = np.diff(np.append(pairs, len(key)))
+    gram, row = np.divmod(key[pairs], n_rows)
+    new = np.append(True, gram[1:] != gram[:-1])
+    start = np.flatnonzero(new)
+    digits = gram[start][:, None] // base ** np.arange(n - 1, -1, -1) % base
+    yield Counted(row, tf, np.cumsum(new) - 1, start, join(letters[digits]))
 
 
 def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -25,143 +74,119 @@ def _runs(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def _count(codes: np.ndarray, row: np.ndarray, end: np.ndarray, n: int, base: int):
-    """(row, n-gram, count) of all n-grams; an n-gram is n columns of codes."""
-    at = np.arange(len(codes))
-    at = at[at + n <= end]
-    if not len(at):
-        empty = np.empty(0, np.int64)
-        return empty, np.empty((0, n), np.int64), empty
-    key, span = np.zeros(len(at), np.int64), 1
-    for i in range(n):
-        if span * base >= 2**62:  # a huge alphabet: number the prefixes seen instead
-            seen, key = np.unique(key, return_inverse=True)
-            span = len(seen)
-        key, span = key * base + codes[at + i], span * base
-    rows = row[at]
-    if span * (int(rows[-1]) + 1) < 2**62:
-        order = np.argsort(rows * span + key)
-    else:
-        order = np.lexsort((key, rows))
-    key, rows = key[order], rows[order]
-    first = np.ones(len(key), bool)
-    first[1:] = (key[1:] != key[:-1]) | (rows[1:] != rows[:-1])
-    starts = np.flatnonzero(first)
-    tf = np.diff(np.append(starts, len(key)))
-    grams = codes[at[order[starts]][:, None] + np.arange(n)]
-    return rows[starts], grams, tf
-
-
-def _rows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    ends = np.cumsum(lengths)
-    return np.repeat(np.arange(len(lengths)), lengths), np.repeat(ends, lengths)
-
-
-def char_ngrams(texts: pa.Array, low: int, high: int):
-    """Yield ``(row, gram string array, tf)`` per run of rows and n-gram size."""
-    values = texts.to_pylist()
-    lengths = np.array([len(t or "") for t in values], np.int64)
-    for start, stop in _runs(lengths):
-        joined = "".join(t or "" for t in values[start:stop])
-        points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        alphabet, codes = np.unique(points, return_inverse=True)
-        row, end = _rows_of(lengths[start:stop])
+def _join_letters(letters: np.ndarray) -> pa.Array:
+    if (letters == 0).any():  # a fixed-width string would lose a trailing NUL
+        return pa.array(["".join(map(chr, gram)) for gram in letters.tolist()], pa.string())
+    fixed = np.ascontiguousarray(letters, np.uint32).view(f"<U{letters.shape[1]}")
+    return pa.array(fixed.ravel(), pa.string())
+
+
+def _join_words(words: np.ndarray) -> pa.Array:
+    parts = [pa.array(words[:, i], pa.string()) for i in range(words.shape[1])]
+    return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, " ")
+
+
+def char_ngrams(texts: pa.Array, low: int, high: int) -> Iterator[Counted]:
+    values = [t or "" for t in texts.to_pylist()]
+    lengths = np.array([len(t) for t in values], np.int64)
+    code_of = np.empty(_CODE_POINTS, np.int64)
+    for first, stop in _runs(lengths):
+        points = np.frombuffer("".join(values[first:stop]).encode("utf-32-le"), np.uint32)
+        present = np.zeros(_CODE_POINTS, bool)
+        present[points] = True
+        letters = np.flatnonzero(present)
+        code_of[letters] = np.arange(len(letters))
+        codes = code_of[points]
         for n in range(low, high + 1):
-            rows, grams, tf = _count(codes, row, end, n, max(2, len(alphabet)))
-            letters = np.ascontiguousarray(alphabet[grams])
-            strings = letters.view(f"<U{n}").ravel() if len(rows) else np.empty(0, f"<U{n}")
-            yield rows + start, strings, tf
+            for found in _count(codes, lengths[first:stop], n, letters, _join_letters):
+                found.row += first
+                yield found
 
 
-def word_ngrams(words: pa.Array, low: int, high: int):
-    """The same for rows that are lists of words; grams are joined with one blank."""
-    lengths = np.diff(words.offsets.to_numpy())
+def word_ngrams(words: pa.Array, low: int, high: int) -> Iterator[Counted]:
+    lengths = pc.fill_null(pc.list_value_length(words), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     flat, done = words.flatten(), 0
-    for start, stop in _runs(lengths):
-        take = int(lengths[start:stop].sum())
+    for first, stop in _runs(lengths):
+        take = int(lengths[first:stop].sum())
         part = flat.slice(done, take).dictionary_encode()
         done += take
-        vocabulary = np.array(part.dictionary.to_pylist(), object)
+        letters = np.array(part.dictionary.to_pylist(), object)
         codes = part.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        row, end = _rows_of(lengths[start:stop])
         for n in range(low, high + 1):
-            rows, grams, tf = _count(codes, row, end, n, max(2, len(vocabulary)))
-            text = vocabulary[grams[:, 0]] if len(rows) else np.empty(0, object)
-            for i in range(1, n):
-                text = text + " " + vocabulary[grams[:, i]] if len(rows) else text
-            yield rows + start, text, tf
+            for found in _count(codes, lengths[first:stop], n, letters, _join_words):
+                found.row += first
+                yield found
 
 
-def pairs_mapper(kind: str, low: int, high: int):
-    """``mapInArrow`` body: (item_id, units) -> (item_id, term, tf)."""
-    count = char_ngrams if kind == "char" else word_ngrams
+def pairs_mapper(low: int, high: int):
+    """``mapInArrow`` body: (item_id, words) -> (item_id, term, tf)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
-            for rows, terms, tf in count(batch.column(1), low, high):
-                if len(rows):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[rows]), pa.array(terms, pa.string()), pa.array(tf, pa.int64())],
-                        names=["item_id", "term", "tf"],
-                    )
+            for c in word_ngrams(batch.column(1), low, high):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[c.row]), c.terms.take(pa.array(c.gram)), pa.array(c.tf, pa.int64())],
+                    names=["item_id", "term", "tf"],
+                )
 
     return run
 
 
-def frequency_mapper(kind: str, low: int, high: int):
-    """``mapInArrow`` body: units -> (term, df, cf), summed per run before any shuffle."""
-    count = char_ngrams if kind == "char" else word_ngrams
+def frequency_mapper(word_sizes: tuple[int, int] | None, char_sizes: tuple[int, int] | None):
+    """``mapInArrow`` body: (words, chars) -> (kind, term, df, cf), summed per run."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, terms, tf in count(batch.column(0), low, high):
-                if not len(rows):
+            for kind, sizes, count in (("word", word_sizes, word_ngrams), ("char", char_sizes, char_ngrams)):
+                if sizes is None:
                     continue
-                table = pa.table({"term": pa.array(terms, pa.string()), "tf": pa.array(tf, pa.int64())})
-                sums = table.group_by("term").aggregate([("tf", "count"), ("tf", "sum")])
-                sums = sums.select(["term", "tf_count", "tf_sum"]).rename_columns(["term", "df", "cf"])
-                yield from sums.combine_chunks().to_batches()
+                for c in count(batch.column(kind), *sizes):
+                    df = np.diff(np.append(c.start, len(c.gram)))
+                    cf = np.add.reduceat(c.tf, c.start)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([kind] * len(df)), c.terms, pa.array(df, pa.int64()), pa.array(cf, pa.int64())],
+                        names=["kind", "term", "df", "cf"],
+                    )
 
     return run
 
 
-def vocabulary_mapper(low: int, high: int, terms: list[str], idf: list[float]):
-    """``mapInArrow`` body: (item_id, text) -> (item_id, features, weights), unit length.
+def _known_chars(texts: pa.Array, sizes: tuple[int, int], known: pa.Array, idf: np.ndarray):
+    """(row, place in the vocabulary, tf-idf) of the n-grams the vocabulary holds."""
+    parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+    for c in char_ngrams(texts, *sizes):
+        place = pc.fill_null(pc.index_in(c.terms, value_set=known), -1)
+        place = place.to_numpy(zero_copy_only=False)[c.gram]
+        hit = place >= 0
+        parts.append((c.row[hit], place[hit], c.tf[hit] * idf[place[hit]]))
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
-    The vocabulary is the bounded character vocabulary; each row yields one row.
-    """
+
+def char_length_mapper(sizes: tuple[int, int], terms: list[str], idf: list[float]):
+    """``mapInArrow`` body: (item_id, char) -> (item_id, norm); 0 when nothing is known."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.array(terms, f"<U{high}")
-        order = np.argsort(known)
-        known, weight = known[order], np.array(idf, float)[order]
+        known, weight = pa.array(terms, pa.string()), np.array(idf, float)
         for batch in batches:
-            n = batch.num_rows
-            row_parts, term_parts, w_parts = [np.empty(0, int)], [np.empty(0, int)], [np.empty(0)]
-            for rows, grams, tf in char_ngrams(batch.column(1), low, high):
-                if not len(rows) or not len(known):
-                    continue
-                distinct, code = np.unique(grams, return_inverse=True)
-                at = np.minimum(np.searchsorted(known, distinct), len(known) - 1)
-                at = np.where(known[at] == distinct, at, -1)[code]
-                hit = at >= 0
-                row_parts.append(rows[hit])
-                term_parts.append(at[hit])
-                w_parts.append(tf[hit] * weight[at[hit]])
-            rows, at, w = map(np.concatenate, (row_parts, term_parts, w_parts))
-            order_rows = np.lexsort((at, rows))
-            rows, at, w = rows[order_rows], at[order_rows], w[order_rows]
-            norm = np.sqrt(np.bincount(rows, w * w, minlength=n))
-            offsets = pa.array(np.append(0, np.cumsum(np.bincount(rows, minlength=n))), pa.int32())
-            features = pa.array(known, pa.string()).take(pa.array(at))
+            row, _, value = _known_chars(batch.column(1), sizes, known, weight)
+            norm = np.sqrt(np.bincount(row, value * value, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(norm)], names=["item_id", "norm"])
+
+    return run
+
+
+def char_vector_mapper(sizes: tuple[int, int], terms: list[str], idf: list[float]):
+    """``mapInArrow`` body: (item_id, char) -> (item_id, term, value), tf-idf of known n-grams."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        for batch in batches:
+            row, place, value = _known_chars(batch.column(1), sizes, known, weight)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.ListArray.from_arrays(offsets, features),
-                    pa.ListArray.from_arrays(offsets, pa.array(w / norm[rows])),
-                ],
-                names=["item_id", "features", "weights"],
+                [batch.column(0).take(pa.array(row)), known.take(pa.array(place)),
+                 pa.array(weight[place]), pa.array(value)],
+                names=["item_id", "term", "idf", "value"],
             )
 
     return run

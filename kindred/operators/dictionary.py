@@ -28,7 +28,9 @@ def join_dictionary(
         "is_hot", F.col(rows_of_key) * F.lit(HOT_SHARE) > F.lit(total)
     )
     hot = packed.where("is_hot").select(key, F.col("value").alias("hot"))
-    cold = packed.where(~F.col("is_hot")).select(key, F.col("value").alias("cold"), F.lit(0).alias("spread"))
+    # Always 0, but computed from the key: a literal would be folded out of the join keys.
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("int")
+    cold = packed.where(~F.col("is_hot")).select(key, F.col("value").alias("cold"), zero.alias("spread"))
     marked = rows.join(F.broadcast(hot), key, "left").withColumn(
         "spread",
         F.when(F.col("hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(spread_by), F.lit(4096)).cast("int")),

@@ -14,10 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kindred.operators.scorers import PARTIAL_SCHEMA, DenseScoring, SparseScoring, rank_batches
+from kindred.operators.scorers import PARTIAL_SCHEMA, DenseScoring, SparseScoring, TextScoring, rank_batches
 from kindred.shared import MAX_BROADCAST_CELLS, MAX_BROADCAST_ROWS
 
-Scoring = DenseScoring | SparseScoring
+Scoring = DenseScoring | SparseScoring | TextScoring
 
 
 def query_size(queries: DataFrame) -> tuple[int, int]:

@@ -14,6 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from kindred.functions.ngrams import char_ngrams, word_ngrams
+
 _CELLS = 2_000_000
 NOT_ELIGIBLE = -np.inf
 RANK_DIGITS = 9  # scores equal to this many digits are ties; the smaller id wins
@@ -137,44 +139,98 @@ class _SparseScorer:
         flat = lists.flatten()
         self.vocabulary = pc.unique(flat)
         codes = pc.index_in(flat, value_set=self.vocabulary).to_numpy(zero_copy_only=False)
-        owner = np.repeat(np.arange(len(lists)), self._lengths(lists))
+        owner = np.repeat(np.arange(len(lists)), _lengths(lists))
         order = np.argsort(codes, kind="stable")
         self.owner = owner[order]
         weights = _numbers(_column(queries, "weights").flatten()) if spec.weighted else np.ones(len(flat))
         self.weight = weights[order]
         self.start = np.searchsorted(codes[order], np.arange(len(self.vocabulary) + 1))
 
-    @staticmethod
-    def _lengths(lists: pa.Array) -> np.ndarray:
-        return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-
     def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
-        n, n_queries = batch.num_rows, len(self.query_ids)
         lists = _column(batch, "features")
-        row = np.repeat(np.arange(n), self._lengths(lists))
+        row = np.repeat(np.arange(batch.num_rows), _lengths(lists))
         found = pc.index_in(lists.flatten(), value_set=self.vocabulary)
         hit = found.is_valid().to_numpy(zero_copy_only=False)
         code = found.drop_null().to_numpy(zero_copy_only=False)
-        row = row[hit]
+        weight = np.ones(len(code))
         if self.spec.weighted:
             weight = _numbers(_column(batch, "weights").flatten())[hit]
-        else:
-            weight = np.ones(len(row))
-        first = self.start[code]
-        width = self.start[code + 1] - first
-        ends = np.cumsum(width)
-        total, done = np.zeros(n * n_queries), 0
-        while done < len(row):
-            # One feature is in at most n_queries queries, so a run stays bounded.
-            base = ends[done - 1] if done else 0
-            stop = max(done + 1, int(np.searchsorted(ends, base + _CELLS, side="right")))
-            w = width[done:stop]
-            at = np.repeat(first[done:stop] - (ends[done:stop] - w - base), w) + np.arange(w.sum())
-            cell = np.repeat(row[done:stop] * n_queries, w) + self.owner[at]
-            value = np.repeat(weight[done:stop], w) * self.weight[at]
-            total += np.bincount(cell, value, minlength=n * n_queries)
-            done = stop
-        return {MAIN: total.reshape(n, n_queries)}
+        return {MAIN: self._products(batch.num_rows, [(row[hit], code, weight)])}
+
+    def _products(self, n: int, entries) -> np.ndarray:
+        """Sum of weight x query weight over (row, feature code, weight) entries."""
+        n_queries = len(self.query_ids)
+        total = np.zeros(n * n_queries)
+        for row, code, weight in entries:
+            first = self.start[code]
+            width = self.start[code + 1] - first
+            ends, done = np.cumsum(width), 0
+            while done < len(row):
+                # One feature is in at most n_queries queries, so a run stays bounded.
+                base = ends[done - 1] if done else 0
+                stop = max(done + 1, int(np.searchsorted(ends, base + _CELLS, side="right")))
+                w = width[done:stop]
+                at = np.repeat(first[done:stop] - (ends[done:stop] - w - base), w) + np.arange(w.sum())
+                cell = np.repeat(row[done:stop] * n_queries, w) + self.owner[at]
+                value = np.repeat(weight[done:stop], w) * self.weight[at]
+                total += np.bincount(cell, value, minlength=n * n_queries)
+                done = stop
+        return total.reshape(n, n_queries)
+
+
+def _lengths(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+
+
+@dataclass(frozen=True)
+class TextScoring:
+    """Sparse dot product whose item side is counted from the text as it streams by.
+
+    Items bring the units of both blocks (``word``, ``char``) and one factor per block
+    (``word_scale``, ``char_scale``). Only n-grams that some query holds are ever looked
+    at, so nothing as large as an item vector is stored or moved.
+    """
+
+    word_sizes: tuple[int, int]
+    char_sizes: tuple[int, int]
+    weighted: bool = True
+
+    def columns(self) -> list[str]:
+        return ["word", "char", "word_scale", "char_scale"]
+
+    def bind(self, queries: pa.Table) -> _TextScorer:
+        return _TextScorer(self, queries)
+
+
+class _TextScorer(_SparseScorer):
+    """Query features are n-grams with the letter of their block in front."""
+
+    def __init__(self, spec: TextScoring, queries: pa.Table) -> None:
+        super().__init__(spec, queries)
+        names = self.vocabulary.cast(pa.string())
+        self.blocks = []
+        for letter, kind, sizes, count in (
+            ("w", "word", spec.word_sizes, word_ngrams),
+            ("c", "char", spec.char_sizes, char_ngrams),
+        ):
+            mine = pc.starts_with(names, letter)
+            codes = np.flatnonzero(mine.to_numpy(zero_copy_only=False))
+            terms = pc.utf8_slice_codeunits(names.filter(mine), 1)
+            self.blocks.append((kind, sizes, count, terms, codes))
+
+    def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
+        return {MAIN: self._products(batch.num_rows, self._entries(batch))}
+
+    def _entries(self, batch: pa.RecordBatch):
+        for kind, sizes, count, terms, codes in self.blocks:
+            if not len(codes):
+                continue
+            scale = _numbers(_column(batch, f"{kind}_scale"))
+            for c in count(_column(batch, kind), *sizes):
+                place = pc.fill_null(pc.index_in(c.terms, value_set=terms), -1)
+                place = place.to_numpy(zero_copy_only=False)[c.gram]
+                hit = place >= 0
+                yield c.row[hit], codes[place[hit]], c.tf[hit] * scale[c.row[hit]]
 
 
 @dataclass(frozen=True)
