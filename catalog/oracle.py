@@ -436,11 +436,17 @@ ORACLE: dict[str, str] = {
     "tfidf_idf": f"""WITH {word_grams('documents', 'doc_id', 'text', 'g')}, n AS (SELECT count(*) AS n FROM documents)
         SELECT term, df, round(ln((1 + n) / (1 + df)::DOUBLE) + 1, 6) AS idf
         FROM (SELECT term, count(*) AS df FROM g GROUP BY term), n WHERE df <= 0.8::DOUBLE * n""",
-    "tfidf_norms": f"""WITH {word_grams('documents', 'doc_id', 'text', 'g')}, n AS (SELECT count(*) AS n FROM documents),
+    "tfidf_norms": f"""WITH {word_grams('documents', 'doc_id', 'text', 'g')}, {char_grams('documents', 'doc_id', 'text', 'h')},
+        n AS (SELECT count(*) AS n FROM documents),
         v AS (SELECT term, ln((1 + n) / (1 + df)::DOUBLE) + 1 AS idf
-              FROM (SELECT term, count(*) AS df FROM g GROUP BY term), n WHERE df <= 0.8::DOUBLE * n)
-        SELECT doc_id AS item_id, round(sqrt(sum(tf * idf * tf * idf)), 6) AS norm
-        FROM g JOIN v USING (term) GROUP BY doc_id""",
+              FROM (SELECT term, count(*) AS df FROM g GROUP BY term), n WHERE df <= 0.8::DOUBLE * n),
+        u AS (SELECT term, ln((1 + n) / (1 + df)::DOUBLE) + 1 AS idf
+              FROM (SELECT term, count(*) AS df, sum(tf) AS cf FROM h GROUP BY term), n
+              WHERE df <= 0.8::DOUBLE * n ORDER BY cf DESC, term LIMIT 5000),
+        a AS (SELECT doc_id, sqrt(sum(tf * idf * tf * idf)) AS x FROM g JOIN v USING (term) GROUP BY doc_id),
+        b AS (SELECT doc_id, sqrt(sum(tf * idf * tf * idf)) AS x FROM h JOIN u USING (term) GROUP BY doc_id)
+        SELECT d.doc_id AS item_id, round(coalesce(a.x, 0), 6) AS word, round(coalesce(b.x, 0), 6) AS char
+        FROM documents d LEFT JOIN a USING (doc_id) LEFT JOIN b USING (doc_id)""",
     "tfidf_topk": f"""WITH {DOCS}, {tfidf_topk('docs', 'asked', "directions || ' ' || ingr", "directions || '. ' || ingredients", 10)}
         SELECT query_id, rank, item_id, round(score, 6) AS score FROM tfidf""",
     "cosine_pairs": f"""WITH {VECTORS}, s AS (

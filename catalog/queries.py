@@ -205,9 +205,12 @@ def tfidf_idf(spark, sf):
 
 def tfidf_norms(spark, sf):
     docs = _docs(spark, sf)
-    counted = stored(tfidf_search.frequencies(docs, char_sizes=None), "tfidf-frequencies")
-    index = tfidf_search.TfidfIndex(tfidf_search.word_vocabulary(counted, docs.count()), counted)
-    return rounded(index.word_lengths(docs), "norm")
+    n = docs.count()
+    counted = stored(tfidf_search.frequencies(docs), "tfidf-frequencies")
+    index = tfidf_search.TfidfIndex(
+        tfidf_search.word_vocabulary(counted, n), tfidf_search.char_vocabulary(counted, n)
+    )
+    return rounded(index.lengths(docs), "word", "char")
 
 
 def tfidf_topk(spark, sf):

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_RUN_UNITS = 2_000_000  # rows are worked on in runs of about this many units
+_RUN_UNITS = 500_000  # rows are worked on in runs of about this many units
 _KEY_LIMIT = 2**62
 _CODE_POINTS = 0x110000
 
@@ -163,15 +163,29 @@ def _known_chars(texts: pa.Array, sizes: tuple[int, int], known: pa.Array, idf:
     return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
-def char_length_mapper(sizes: tuple[int, int], terms: list[str], idf: list[float]):
-    """``mapInArrow`` body: (item_id, char) -> (item_id, norm); 0 when nothing is known."""
+def length_mapper(word_sizes: tuple[int, int], char_sizes: tuple[int, int], terms: list[str], idf: list[float]):
+    """``mapInArrow`` body: (item_id, word, char) -> (item_id, term, tf, char_norm).
+
+    One row per word n-gram, and one row per item with the length of its character block
+    and no term; that length is 0 when the vocabulary holds none of its n-grams.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        names = ["item_id", "term", "tf", "char_norm"]
         for batch in batches:
-            row, _, value = _known_chars(batch.column(1), sizes, known, weight)
-            norm = np.sqrt(np.bincount(row, value * value, minlength=batch.num_rows))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(norm)], names=["item_id", "norm"])
+            ids, n = batch.column("item_id"), batch.num_rows
+            row, _, value = _known_chars(batch.column("char"), char_sizes, known, weight)
+            norm = pa.array(np.sqrt(np.bincount(row, value * value, minlength=n)))
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.nulls(n, pa.string()), pa.nulls(n, pa.int64()), norm], names=names
+            )
+            for c in word_ngrams(batch.column("word"), *word_sizes):
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(pa.array(c.row)), c.terms.take(pa.array(c.gram)), pa.array(c.tf, pa.int64()),
+                     pa.nulls(len(c.row), pa.float64())],
+                    names=names,
+                )
 
     return run
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,6 +14,15 @@ from kindred import constants as K
 SPACE = r"[\t-\r\x1c-\x1f\x85\p{Z}]"
 
 
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def string_array(values: Iterable[str]) -> Column:
+    """A constant array, parsed as one expression instead of one call per entry."""
+    return F.expr(f"cast(array({', '.join(map(_sql_string, values))}) as array<string>)")
+
+
 def collapse_spaces(text: Column) -> Column:
     """Runs of white space become one blank; both ends are trimmed."""
     return F.trim(F.regexp_replace(text, SPACE + "+", " "))
@@ -95,8 +104,8 @@ def singular(word: Column, exceptions: Mapping[str, str] | None = None) -> Colum
     out = F.when(F.endswith(lower, F.lit("s")), rules).otherwise(word)
     if not table:
         return out
-    pairs = [F.lit(x) for pair in table.items() for x in pair]
-    known = F.try_element_at(F.create_map(*pairs), lower)
+    pairs = ", ".join(_sql_string(x) for pair in table.items() for x in pair)
+    known = F.try_element_at(F.expr(f"map({pairs})"), lower)
     exception = F.concat(F.substring(word, 1, 1), F.substring(known, 2, 64))
     return F.when(lower.isin(*table), exception).otherwise(out)
 

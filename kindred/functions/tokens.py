@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from kindred import constants as K
-from kindred.functions.scalars import SPACE, singular
+from kindred.functions.scalars import SPACE, singular, string_array
 
 # What separates tokens in running English text, found in one pass. Commas and colons
 # stay inside numbers (1,000), hyphens and periods inside words (all-purpose, e.g).
@@ -30,8 +30,9 @@ def tokens(text: Column) -> Column:
 
 def kept_words(text: Column, stop_words: Sequence[str] = K.STOP_WORDS) -> Column:
     """Distinct tokens of letters and digits only: no numbers, no stop words."""
-    distinct = F.array_distinct(F.split(F.lower(text), SEPARATOR, -1))
-    return F.filter(distinct, lambda w: F.rlike(w, F.lit(WORD)) & ~w.isin(*stop_words))
+    words = F.split(F.lower(text), SEPARATOR, -1)
+    known = F.array_except(words, string_array(stop_words))  # by hash; drops repeats as well
+    return F.filter(known, lambda w: F.rlike(w, F.lit(WORD)))
 
 
 def unique_words(

@@ -20,8 +20,8 @@ def join_dictionary(
 ) -> DataFrame:
     """Left join on ``key`` in which no key meets more than 1/HOT_SHARE of the rows in a task.
 
-    Hot keys are looked up in a broadcast. Their rows then carry a spread number the cold
-    side does not have, so the shuffle deals them out evenly instead of by key.
+    Hot keys are looked up in a broadcast. Their rows, and those without a key, then carry a
+    spread number the cold side does not have, so the shuffle deals them out evenly.
     """
     values = [c for c in dictionary.columns if c != key]
     packed = dictionary.withColumn("value", F.struct(*values)).withColumn(
@@ -33,7 +33,7 @@ def join_dictionary(
     cold = packed.where(~F.col("is_hot")).select(key, F.col("value").alias("cold"), zero.alias("spread"))
     marked = rows.join(F.broadcast(hot), key, "left").withColumn(
         "spread",
-        F.when(F.col("hot").isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(spread_by), F.lit(4096)).cast("int")),
+        F.when(F.col("hot").isNull() & F.col(key).isNotNull(), 0).otherwise(1 + F.pmod(F.xxhash64(spread_by), F.lit(4096)).cast("int")),
     )
     joined = marked.join(cold, [key, "spread"], "left")
     value = F.coalesce("hot", "cold")

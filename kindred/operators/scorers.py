@@ -17,6 +17,7 @@ import pyarrow.compute as pc
 from kindred.functions.ngrams import char_ngrams, word_ngrams
 
 _CELLS = 2_000_000
+_DENSE_CELLS = 8_000_000
 NOT_ELIGIBLE = -np.inf
 RANK_DIGITS = 9  # scores equal to this many digits are ties; the smaller id wins
 
@@ -145,6 +146,7 @@ class _SparseScorer:
         weights = _numbers(_column(queries, "weights").flatten()) if spec.weighted else np.ones(len(flat))
         self.weight = weights[order]
         self.start = np.searchsorted(codes[order], np.arange(len(self.vocabulary) + 1))
+        self._split_features()
 
     def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
         lists = _column(batch, "features")
@@ -158,10 +160,19 @@ class _SparseScorer:
         return {MAIN: self._products(batch.num_rows, [(row[hit], code, weight)])}
 
     def _products(self, n: int, entries) -> np.ndarray:
-        """Sum of weight x query weight over (row, feature code, weight) entries."""
+        """Sum of weight x query weight over (row, feature code, weight) entries.
+
+        Features that many queries share go through one dense matrix product, the rest
+        through their query lists.
+        """
         n_queries = len(self.query_ids)
         total = np.zeros(n * n_queries)
+        dense = np.zeros((n, len(self.dense)))
         for row, code, weight in entries:
+            column = self.dense_column[code]
+            often = column >= 0
+            np.add.at(dense, (row[often], column[often]), weight[often])
+            row, code, weight = row[~often], code[~often], weight[~often]
             first = self.start[code]
             width = self.start[code + 1] - first
             ends, done = np.cumsum(width), 0
@@ -175,7 +186,20 @@ class _SparseScorer:
                 value = np.repeat(weight[done:stop], w) * self.weight[at]
                 total += np.bincount(cell, value, minlength=n * n_queries)
                 done = stop
-        return total.reshape(n, n_queries)
+        return total.reshape(n, n_queries) + dense @ self.dense
+
+    def _split_features(self) -> None:
+        """Choose the features of the dense product, at most ``_DENSE_CELLS`` weights in all."""
+        n_queries, width = len(self.query_ids), np.diff(self.start)
+        often = np.flatnonzero(width >= max(8, n_queries // 32))
+        most = _DENSE_CELLS // max(1, n_queries)
+        often = often[np.argsort(-width[often], kind="stable")][:most]
+        self.dense_column = np.full(len(width), -1)
+        self.dense_column[often] = np.arange(len(often))
+        self.dense = np.zeros((len(often), n_queries))
+        for column, feature in enumerate(often):
+            part = slice(self.start[feature], self.start[feature + 1])
+            np.add.at(self.dense[column], self.owner[part], self.weight[part])
 
 
 def _lengths(lists: pa.Array) -> np.ndarray:
