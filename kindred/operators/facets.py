@@ -97,6 +97,23 @@ def with_limits(queries: DataFrame, default: FacetFilter = FacetFilter()) -> Dat
     return queries.withColumns({c: e for c, e in columns.items() if c not in queries.columns})
 
 
+def envelope(queries: DataFrame, limits: CandidateLimits) -> Column:
+    """Range that holds the candidates of every query: a coarse filter the scan can take."""
+    asked = []
+    for _, low, high in limits.ranges:
+        for column, widest in ((low, F.min), (high, F.max)):
+            if column:
+                open_end = F.count_if(F.col(column).isNull()) > 0
+                asked.append(F.when(~open_end, widest(column)).alias(column))
+    if not asked:
+        return F.lit(True)
+    bounds = queries.agg(*asked).first().asDict()
+    parts = [
+        in_range(item, (bounds.get(low), bounds.get(high))) for item, low, high in limits.ranges
+    ]
+    return reduce(lambda a, b: a & b, [p for p in parts if p is not None], F.lit(True))
+
+
 def enough_candidates(candidates: DataFrame, least: int = K.MIN_CANDIDATES) -> bool:
     """True when at least ``least`` rows survive; reads no more than that."""
     return candidates.limit(least).count() >= least

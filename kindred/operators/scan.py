@@ -20,10 +20,14 @@ from kindred.shared import MAX_BROADCAST_CELLS, MAX_BROADCAST_ROWS
 Scoring = DenseScoring | SparseScoring | TextScoring
 
 
-def query_size(queries: DataFrame) -> tuple[int, int]:
-    """Rows and total vector elements of a query table."""
-    width = F.size("features" if "features" in queries.columns else "embedding")
-    row = queries.select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
+def table_size(table: DataFrame) -> tuple[int, int]:
+    """Rows, and what they hold in all: vector elements, features or characters."""
+    columns = table.columns
+    if "char" in columns:
+        width = F.length("char")
+    else:
+        width = F.size("features" if "features" in columns else "embedding")
+    row = table.select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
     return row[0], row[1] or 0
 
 
@@ -43,7 +47,7 @@ def scan_topk(
     # The block is read twice (size, then rows) but encoded once.
     queries = queries.persist()
     try:
-        n_rows, n_cells = query_size(queries)
+        n_rows, n_cells = table_size(queries)
         if n_rows <= max_rows and n_cells <= max_cells:
             return _broadcast_scan(items, queries.toArrow(), scoring, k)
     finally:
@@ -64,7 +68,8 @@ def _broadcast_scan(items: DataFrame, block: pa.Table, scoring: Scoring, k: int)
 def _grid_scan(
     items: DataFrame, queries: DataFrame, scoring: Scoring, k: int, q_blocks: int, item_block_rows: int
 ) -> DataFrame:
-    i_blocks = max(1, math.ceil(items.count() / item_block_rows))
+    n_rows, n_cells = table_size(items)
+    i_blocks = max(1, math.ceil(n_rows / item_block_rows), math.ceil(n_cells / MAX_BROADCAST_CELLS))
 
     def block(key: str, n: int):
         return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from kindred import constants as K
 from kindred.operators.scorers import MAIN, RANK_DIGITS
-from kindred.shared import MAX_LOOKUP_ROWS
+from kindred.shared import stored
 
 
 def best_first(score: str = "score", item: str = "item_id") -> list[Column]:
@@ -62,12 +62,10 @@ def ranked(merged: DataFrame) -> DataFrame:
     return merged.where(F.col("kind") == MAIN).select("query_id", "rank", "item_id", "score")
 
 
-def lookup(results: DataFrame, texts: DataFrame, max_rows: int | None = None) -> DataFrame:
+def lookup(results: DataFrame, texts: DataFrame) -> DataFrame:
     """Attach item columns to ranked rows; ``rank`` keeps the order.
 
-    ``max_rows`` is the proven size of ``results`` (queries x k); a small result is
-    broadcast so the item table is not shuffled, else Spark picks the join.
+    The results are stored first. Spark then knows their true size and broadcasts them when
+    they are small, so that the item table is not shuffled for a few rows.
     """
-    if max_rows is not None and max_rows <= MAX_LOOKUP_ROWS:
-        results = F.broadcast(results)
-    return texts.join(results, "item_id")
+    return texts.join(stored(results, "results"), "item_id")

@@ -37,8 +37,8 @@ def filtered_search(
     fields = [f for f in QUERY_FIELDS if f in queries.columns]
     ready = with_limits(queries.where(complete_query(*fields)))
     merged = merge_topk(index.restricted_partials(ready, k, limits=limits, demote=demote, scan=scan), k)
-    found = stored(merged.where(F.col("eligible") >= least), "found")  # small, read twice
-    hits = lookup(found, items_text.select("item_id", "url")).withColumn("status", F.lit("ok"))
+    found = stored(merged.where(F.col("eligible") >= least), "found")  # k rows a query, read twice
+    hits = items_text.select("item_id", "url").join(found, "item_id").withColumn("status", F.lit("ok"))
     # A query without any hit row either was incomplete or had too few candidates.
     reason = F.when(complete_query(*fields), "too_few_candidates").otherwise("incomplete_query")
     empty = queries.select("query_id", reason.alias("status")).join(
