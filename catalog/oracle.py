@@ -468,6 +468,32 @@ ORACLE: dict[str, str] = {
         asked AS (SELECT item_id AS query_id, text AS directions FROM benchmark),
         {overlap_topk('items', 'asked', [('directions', 'directions')], 5)}
         SELECT item_id, url, query_id, rank, score FROM overlap JOIN pages ON page_id = item_id""",
+    "csv_roundtrip": """SELECT doc_id AS item_id, text AS directions, lang AS ingr, lang || '/' || source AS url
+        FROM documents""",
+    "csv_line_ids": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS item_id, text AS directions, lang AS ingr,
+        source AS url FROM documents""",
+    "token_store": f"""WITH {TURNS},
+        {overlap_topk('turns', 'asked', [('directions', 'directions'), ('ingr', 'ingredients')], 5)}
+        SELECT * FROM overlap""",
+    "vector_store": f"""WITH {PAIRS}, {ranked('pairs', DEMOTED, 'top', 3)}
+        SELECT query_id, rank, item_id, round(score, 6) AS score FROM top""",
+    "tfidf_store": f"""WITH {TURNS},
+        {tfidf_topk('turns', 'asked', "directions || ' ' || ingr", "directions || '. ' || ingredients", 5)}
+        SELECT query_id, rank, item_id, round(score, 6) AS score FROM tfidf""",
+    "lemma_table": f"""WITH w AS (
+          SELECT DISTINCT p_partkey, unnest(string_split(p_name || ' ' || lower(p_type), ' ')) AS word FROM part),
+        l AS (SELECT lower(p_type) AS surface FROM part UNION SELECT string_split(p_name, ' ')[2] FROM part)
+        SELECT p_partkey AS item_id, string_agg(DISTINCT lemma, ',' ORDER BY lemma) AS words FROM (
+          SELECT p_partkey, CASE WHEN surface IS NULL THEN word ELSE word[1:3] END AS lemma
+          FROM w LEFT JOIN l ON surface = word) GROUP BY p_partkey""",
+    "ingredient_labels": f"""WITH {RAW},
+        lines AS (SELECT item_id, unnest(string_split(ingr, ',  ')) AS line FROM raw),
+        line AS (SELECT line, count(*) AS n FROM lines GROUP BY line),
+        {lexicon('line', 'line', 'line', K.INGREDIENT_LEXICON, 'grp')}
+        SELECT line, n, CASE WHEN score > 0.6::DOUBLE THEN label END AS grp FROM line JOIN grp USING (line)""",
+    "evaluation_facets": f"""WITH {FACETS} SELECT item_id, meal, coalesce(nullif(course, 'F'), '0') AS course,
+        cooking_methods, {', '.join(K.FLAG_COLUMNS)} FROM facets""",
+    "query_guard": "SELECT o_orderkey AS query_id FROM orders WHERE o_orderstatus = 'O'",
     "encode_concat": f"""WITH d AS (SELECT doc_id, text, lang || ' ' || source AS t FROM documents),
         {encoder('d', 'doc_id', 'text', 'a')}, {encoder('d', 'doc_id', 't', 'b')},
         s AS (SELECT doc_id, slot, value FROM a UNION ALL SELECT doc_id, slot + 64, value FROM b)

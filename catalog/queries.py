@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import wraps
 
@@ -13,8 +14,8 @@ from kindred import constants as K
 from kindred.functions import models, scalars, tokens, vectors
 from kindred.operators import dictionary, facets, flags, topk
 from kindred.plans import evaluation, feature_build, filtered_search, text_search, tfidf_search, vector_search
-from kindred.shared import ship_package, stored
-from kindred.sources import tables
+from kindred.shared import shared_dir, ship_package, stored
+from kindred.sources import schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -287,6 +288,73 @@ LANGUAGE_LEXICON = {"Pronoun": ["it", "that", "they"], "Article": ["the", "an",
 LANGUAGE_CLASSIFIER = models.partial(models.lexicon_classifier, LANGUAGE_LEXICON)
 
 
+# ------------------------------------------------------------------ stores
+
+
+def _folder(spark, name):
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def csv_roundtrip(spark, sf):
+    """Documents written as CSV, their multi-line texts read back by declared columns."""
+    path = _folder(spark, "csv")
+    headers = {"id": "item_id", "Directions": "directions", "Ingr": "ingr", "URL": "url"}
+    docs = S.table(spark, sf, "documents").select(
+        F.col("doc_id").alias("item_id"), F.col("text").alias("directions"), F.col("lang").alias("ingr"),
+        F.concat_ws("/", "lang", "source").alias("url"),
+    )
+    tables.write_csv(docs, path, headers)
+    return tables.read_csv(spark, path, schemas.TEXT_HEADERS, key="id")
+
+
+def csv_line_ids(spark, sf):
+    """The same without an id column: ids number the lines, in the order of one sorted file."""
+    path = _folder(spark, "csv")
+    docs = S.table(spark, sf, "documents").select(
+        "doc_id", F.col("text").alias("directions"), F.col("lang").alias("ingr"), F.col("source").alias("url")
+    )
+    tables.write_csv(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), path, schemas.TEXT_HEADERS)
+    return tables.read_csv(spark, path, schemas.TEXT_HEADERS)
+
+
+def token_store(spark, sf):
+    """Token sets written in their text form and read back, then searched."""
+    path = _folder(spark, "tokens")
+    text_search.WordOverlapIndex.fit(S.turns(spark, sf)).write_csv(path)
+    index = text_search.WordOverlapIndex.read_csv(spark, path)
+    return index.search(_turn_queries(spark, sf), 5)
+
+
+def vector_store(spark, sf):
+    path = _folder(spark, "vectors")
+    _index(spark, sf).write(path)
+    index = vector_search.EmbeddingIndex.read(spark, path)
+    return rounded(index.search(S.vector_queries(spark, sf), 3), "score")
+
+
+def tfidf_store(spark, sf):
+    path = _folder(spark, "tfidf")
+    tfidf_search.TfidfIndex.fit(S.turns(spark, sf)).write(path)
+    index = tfidf_search.TfidfIndex.read(spark, path)
+    return rounded(index.search(_turn_queries(spark, sf), 5), "score")
+
+
+def _turn_queries(spark, sf):
+    return evaluation.queries_from_items(S.turns(spark, sf), S.replies(spark, sf))
+
+
+def lemma_table(spark, sf):
+    """Token sets with a table of lemmas: every part name shortened to its first word."""
+    parts = S.table(spark, sf, "part").select(
+        F.col("p_partkey").alias("item_id"), F.concat_ws(" ", "p_name", F.lower("p_type")).alias("words")
+    )
+    surface = F.explode(F.array(F.lower("p_type"), F.split("p_name", " ", -1).getItem(1)))
+    lemmas = S.table(spark, sf, "part").select(surface.alias("surface")).distinct()
+    lemmas = lemmas.withColumn("lemma", F.substring("surface", 1, 3))
+    sets = text_search.token_sets(parts, "item_id", ["words"], lemmas=lemmas)
+    return sets.select("item_id", scalars.set_to_text(F.col("words")).alias("words"))
+
+
 # ------------------------------------------------------------------ jobs
 
 
@@ -294,6 +362,28 @@ def ingredient_flags(spark, sf):
     return feature_build.ingredient_flags(S.raw_items(spark, sf))
 
 
+def ingredient_labels(spark, sf):
+    lines = S.raw_items(spark, sf).select(F.explode(scalars.split_lines(F.col("ingr"))).alias("line"))
+    return feature_build.ingredient_labels(lines)
+
+
+def evaluation_facets(spark, sf):
+    """The facets the blended search compares, without missing values."""
+    facet_rows = S.facets(spark, sf).withColumn("course", F.nullif(F.col("course"), F.lit("F")))
+    kept = facet_rows.select("item_id", *K.EVALUATION_FACETS)
+    return kept.na.fill(0, K.FLAG_COLUMNS).na.fill("0", ["meal", "course", "cooking_methods"])
+
+
+def query_guard(spark, sf):
+    """Orders as queries whose second field is empty for some."""
+    asked = S.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("query_id"),
+        F.col("o_orderpriority").alias("directions"),
+        F.when(F.col("o_orderstatus") == "F", "").when(F.col("o_orderstatus") == "O", "x").alias("ingredients"),
+    )
+    return asked.where(facets.complete_query("directions", "ingredients")).select("query_id")
+
+
 def feature_build_query(spark, sf):
     return feature_build.build_facets(S.raw_items(spark, sf))
 
@@ -424,6 +514,15 @@ _ALL: dict[str, Query] = {
     "blend_topk": blend_topk,
     "blend_fallback": blend_fallback,
     "result_lookup": result_lookup,
+    "csv_roundtrip": csv_roundtrip,
+    "csv_line_ids": csv_line_ids,
+    "token_store": token_store,
+    "vector_store": vector_store,
+    "tfidf_store": tfidf_store,
+    "lemma_table": lemma_table,
+    "ingredient_labels": ingredient_labels,
+    "evaluation_facets": evaluation_facets,
+    "query_guard": query_guard,
     "encode_concat": encode_concat,
     "zero_shot": zero_shot,
     "ingredient_flags": ingredient_flags,

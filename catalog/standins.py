@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.sources.tables import read_table, spread
+from kindred.shared import spread
+from kindred.sources.tables import read_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -126,6 +126,11 @@ def normalize_categories(text: Column, exceptions: Mapping[str, str] | None = No
     return F.array_distinct(F.transform(kept, singular_words))
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once, however often the body names it."""
+    return F.transform(F.array(value), lambda v: body(v)).getItem(0)
+
+
 def drop_combined(categories: Column) -> Column:
     """Drop ``"a b"`` when ``a`` and ``b`` are other members of the same set.
 
@@ -133,21 +138,21 @@ def drop_combined(categories: Column) -> Column:
     and not with the pairs of the set.
     """
 
-    def is_combined(element: Column) -> Column:
+    def is_combined(element: Column, members: Column) -> Column:
         blanks = F.length(element) - F.length(F.replace(element, F.lit(" "), F.lit("")))
 
         def cut_matches(i: Column) -> Column:
             left = F.call_function("substring_index", element, F.lit(" "), i)
             right = F.call_function("substring_index", element, F.lit(" "), i - blanks - 1)
-            both = F.array_contains(categories, left) & F.array_contains(categories, right)
+            both = F.array_contains(members, left) & F.array_contains(members, right)
             return both & (left != right)
 
-        cuts = F.when(blanks > 0, F.sequence(F.lit(1), blanks)).otherwise(
-            F.array().cast("array<int>")
-        )
-        return F.exists(cuts, cut_matches)
+        return F.when(blanks > 0, F.exists(F.sequence(F.lit(1), blanks), cut_matches)).otherwise(F.lit(False))
+
+    def kept(members: Column) -> Column:
+        return F.filter(members, lambda e: ~is_combined(e, members))
 
-    return F.filter(categories, lambda e: ~is_combined(e))
+    return _let(categories, kept)
 
 
 def split_by_vocabulary(categories: Column, vocabulary: Sequence[str] = K.CATEGORIES) -> Column:

@@ -15,6 +15,7 @@ from kindred.operators.scan import scan_topk
 from kindred.operators.scorers import SparseScoring
 from kindred.operators.topk import check_k, merge_topk, ranked
 from kindred.shared import MAX_LOOKUP_ROWS
+from kindred.sources.tables import write_csv
 
 TEXT_FIELDS = ("directions", "ingr")
 QUERY_FIELDS = ("directions", "ingredients")
@@ -97,7 +98,7 @@ class WordOverlapIndex:
 
     def write_csv(self, path: str) -> None:
         texts = self.sets.withColumns({f: set_to_text(F.col(f)) for f in self.fields})
-        texts.write.option("header", True).csv(path)
+        write_csv(texts, path)
 
     @classmethod
     def read_csv(cls, spark: SparkSession, path: str, fields: Sequence[str] = TEXT_FIELDS) -> WordOverlapIndex:

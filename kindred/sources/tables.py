@@ -97,24 +97,19 @@ def read_table(spark: SparkSession, path: str, schema: str | None = None) -> Dat
     return reader.parquet(path)
 
 
-def spread(table: DataFrame, key: str) -> DataFrame:
-    """Deal a table with too few splits out over all cores before heavy work per row.
-
-    Only small tables have fewer splits than two per core; a large one is left as it lies.
-    """
-    cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores, key) if table.rdd.getNumPartitions() < 2 * cores else table
-
-
 def write_table(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, headers: Mapping[str, str] | None = None,
               mode: str = "errorifexists") -> None:
-    """CSV with a header; ``headers`` maps header -> column and fixes the order."""
+    """CSV with a header; ``headers`` maps header -> column and fixes the order.
+
+    Texts are written as they are: nothing is trimmed, and NULL differs from ``""``.
+    """
     out = df if headers is None else df.select(*[F.col(c).alias(h) for h, c in headers.items()])
-    out.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    writer = out.write.mode(mode).option("header", True).option("escape", '"')
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def parse_golden(document: Column) -> Column:
