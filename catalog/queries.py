@@ -211,7 +211,7 @@ def tfidf_norms(spark, sf):
     index = tfidf_search.TfidfIndex(
         tfidf_search.word_vocabulary(counted, n), tfidf_search.char_vocabulary(counted, n)
     )
-    return rounded(index.lengths(docs), "word", "char")
+    return rounded(index.lengths(docs).drop("text"), "word", "char")
 
 
 def tfidf_topk(spark, sf):

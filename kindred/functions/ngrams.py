@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-_RUN_UNITS = 500_000  # rows are worked on in runs of about this many units
+_RUN_UNITS = 1_000_000  # rows are worked on in runs of about this many units
 _KEY_LIMIT = 2**62
 _CODE_POINTS = 0x110000
 
@@ -190,6 +190,39 @@ def length_mapper(word_sizes: tuple[int, int], char_sizes: tuple[int, int], term
     return run
 
 
+def scale_mapper(
+    word_sizes: tuple[int, int], char_sizes: tuple[int, int], terms: list[str], idf: list[float],
+    shared_words, idf_of_single: float | None,
+):
+    """``mapInArrow`` body: (item_id, text, word, char) -> (item_id, text, word, char lengths).
+
+    ``shared_words`` is a broadcast of the (term, idf) rows of all words in two or more
+    documents; a word it does not hold is in one document. A NULL idf weighs nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        words = shared_words.value.combine_chunks()
+        word_idf = words.column("idf").to_numpy()
+        # The last entry serves the words that are not found (place -1).
+        word_idf = np.nan_to_num(np.append(word_idf, np.nan if idf_of_single is None else idf_of_single))
+        value_set = words.column("term")
+        for batch in batches:
+            n, squares = batch.num_rows, np.zeros(batch.num_rows)
+            for c in word_ngrams(batch.column("word"), *word_sizes):
+                place = pc.fill_null(pc.index_in(c.terms, value_set=value_set), -1)
+                value = c.tf * word_idf[place.to_numpy(zero_copy_only=False)][c.gram]
+                squares += np.bincount(c.row, value * value, minlength=n)
+            row, _, value = _known_chars(batch.column("char"), char_sizes, known, weight)
+            chars = np.bincount(row, value * value, minlength=n)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("item_id"), batch.column("text"), pa.array(np.sqrt(squares)), pa.array(np.sqrt(chars))],
+                names=["item_id", "text", "word", "char"],
+            )
+
+    return run
+
+
 def char_vector_mapper(sizes: tuple[int, int], terms: list[str], idf: list[float]):
     """``mapInArrow`` body: (item_id, char) -> (item_id, term, value), tf-idf of known n-grams."""
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 # A side is broadcast only below these sizes; every caller has another way beyond.
 MAX_BROADCAST_ROWS = 16_384
 MAX_BROADCAST_CELLS = 8_000_000
-MAX_BROADCAST_BYTES = 128 * 1024 * 1024
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_LOOKUP_ROWS = 200_000
 
 
