@@ -2,6 +2,7 @@
 
 A model is a *factory*: a picklable function without arguments that returns a batch
 function. It runs once per Python worker task, so weights load there and not per row.
+A missing text reaches the model as "".
 
 * encoder factory -> ``f(list[str]) -> array (n, dim)``
 * classifier factory -> ``f(list[str], labels) -> list[(label, score)]``, best label only
@@ -42,7 +43,7 @@ def hashing_encoder(dim: int = 64) -> Encoder:
     def encode(texts: list[str]) -> np.ndarray:
         out = np.zeros((len(texts), dim))
         for i, text in enumerate(texts):
-            for word in _WORD.findall((text or "").lower()):
+            for word in _WORD.findall(text.lower()):
                 if word not in slots:
                     if len(slots) > 500_000:
                         slots.clear()
@@ -66,7 +67,7 @@ def lexicon_classifier(lexicon: Mapping[str, Sequence[str]]) -> Classifier:
         out = []
         for text in texts:
             hits = dict.fromkeys(labels, 0)
-            for word in _WORD.findall((text or "").lower()):
+            for word in _WORD.findall(text.lower()):
                 for label in owner.get(word, ()):
                     if label in hits:
                         hits[label] += 1
@@ -90,7 +91,7 @@ def encode(text: Column, factory: Callable[[], Encoder] = DEFAULT_ENCODER) -> Co
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = factory()
         for texts in batches:
-            vectors = np.asarray(encoder(texts.tolist()), np.float32)
+            vectors = np.asarray(encoder(texts.fillna("").tolist()), np.float32)
             yield pd.Series(list(vectors), index=texts.index)
 
     return run(text)
@@ -116,7 +117,7 @@ def classify(
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         classifier = factory()
         for texts in batches:
-            values, out = texts.tolist(), []
+            values, out = texts.fillna("").tolist(), []
             for start in range(0, len(values), batch_size):
                 out.extend(classifier(values[start : start + batch_size], names))
             yield pd.DataFrame(out, columns=["label", "score"])

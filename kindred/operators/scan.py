@@ -40,7 +40,11 @@ def scan_topk(
     max_cells: int = MAX_BROADCAST_CELLS,
     item_block_rows: int = 50_000,
 ) -> DataFrame:
-    """Partial top-k rows (``PARTIAL_SCHEMA``) for :func:`kindred.operators.topk.merge_topk`."""
+    """Partial top-k rows (``PARTIAL_SCHEMA``) for :func:`kindred.operators.topk.merge_topk`.
+
+    ``item_id`` and ``query_id`` are whole numbers, each once in its table. A task that is
+    run again gives the same rows, as a list depends on scores and ids only.
+    """
     if k < 1:
         raise ValueError("k must be at least 1")
     items = items.select("item_id", *scoring.columns())

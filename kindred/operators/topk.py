@@ -44,9 +44,10 @@ def merge_topk(partials: DataFrame, k: int, fan_in: int = 16) -> DataFrame:
         .where(F.col("rank") <= k)
         .withColumn("eligible", F.when(F.col("rank") == 1, F.col("total")).otherwise(0))
     )
+    # By query alone: a later window over both kinds of a query then needs no further shuffle.
     last = W.partitionBy("query_id", "kind")
     return (
-        cut.withColumns(
+        cut.repartition("query_id").withColumns(
             {
                 "rank": F.row_number().over(last.orderBy(*best_first())),
                 "eligible": F.sum("eligible").over(last),

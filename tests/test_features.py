@@ -71,7 +71,7 @@ def test_encoder_and_classifier_defaults():
     a, b, empty = encode(["Bake the pie", "bake THE pie", ""])
     assert a.tolist() == b.tolist() and abs((a * a).sum() - 1) < 1e-12 and not empty.any()
     classify = models.lexicon_classifier({"A": ["x", "y"], "B": ["z"]})
-    assert classify(["x z x", "none", "z", None], ["A", "B"]) == [("A", 2 / 3), ("A", 0.5), ("B", 1.0), ("A", 0.5)]
+    assert classify(["x z x", "none", "z", ""], ["A", "B"]) == [("A", 2 / 3), ("A", 0.5), ("B", 1.0), ("A", 0.5)]
 
 
 def test_classifier_batches(spark):

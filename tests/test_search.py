@@ -410,3 +410,29 @@ def test_plan_has_no_cross_join_and_no_item_shuffle(spark, faceted, tmp_path):
     plan = partials._jdf.queryExecution().toString()
     assert "Cartesian" not in plan and "NestedLoop" not in plan and "Exchange" not in plan
     assert "ReadSchema: struct<item_id:bigint,embedding:array<double>>" in plan
+
+
+@pytest.mark.parametrize("rows", [[], [(0, "bake a pie", "salt")], [(0, "bake", "salt"), (1, "bake", "salt")]])
+def test_tfidf_of_tiny_corpora(spark, rows):
+    """max_df leaves no feature here; items still come back, at score 0."""
+    items = spark.createDataFrame(rows, "item_id long, directions string, ingr string")
+    asked = spark.createDataFrame([(5, "bake", "salt"), (6, "", "")], "query_id long, directions string, ingredients string")
+    found = lists(TfidfIndex.fit(items).search(asked, 3), "score")
+    want = [(i, 0.0) for i, _, _ in rows]
+    assert found == ({5: want, 6: want} if rows else {})
+
+
+def test_a_third_of_the_items_are_copies(spark):
+    """Ties by the hundred at the top, in every task: the smallest ids win, whatever the split."""
+    copies = spark.range(3000).select(
+        F.col("id").alias("item_id"),
+        F.when(F.col("id") % 3 == 1, "bake the apple pie").otherwise(F.concat(F.lit("boil water w"), "id")).alias("directions"),
+        F.lit("salt").alias("ingr"),
+    ).repartition(8, "directions")
+    asked = spark.createDataFrame([(1, "apple pie", "salt"), (2, "boil", "salt")], "query_id long, directions string, ingredients string")
+    words = WordOverlapIndex.fit(copies)
+    tfidf = TfidfIndex.fit(copies)
+    want = {1: [1, 4, 7, 10], 2: [0, 2, 3, 5]}
+    for scan in (None, {"max_rows": 1, "item_block_rows": 500}):
+        assert lists(words.search(asked, 4, scan=scan)) == want
+        assert lists(tfidf.search(asked, 4, scan=scan))[1] == want[1]
