@@ -246,8 +246,11 @@ def _open_units(members: DataFrame, labels: DataFrame) -> DataFrame:
 def _links(classes: DataFrame, rows: DataFrame) -> DataFrame:
     """All confirmed links between classes, as edges ``a, b`` that span the same components."""
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
-    pivots = banded.groupBy("bucket").agg(F.count("*").alias("c"), F.min(F.struct("node", "n")).alias("pivot")).where("c > 1")
-    members = stored(banded.join(pivots, "bucket"), "members")
+    # Only bucket numbers are shuffled to find the buckets with company; most classes end here.
+    shared = banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
+    together = stored(banded.join(shared, "bucket"), "shared-buckets")
+    pivots = together.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot"))
+    members = stored(together.join(pivots, "bucket"), "members")
 
     needed = members.select("node").distinct().join(classes.select("node", "rep"), "node")
     named = needed.select("node", F.col("rep._key").alias("_rep_key"), F.col("rep._hash").alias("_rep_hash"))
