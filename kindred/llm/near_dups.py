@@ -248,9 +248,8 @@ def _links(classes: DataFrame, rows: DataFrame) -> DataFrame:
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
     # Only bucket numbers are shuffled to find the buckets with company; most classes end here.
     shared = banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
-    together = stored(banded.join(shared, "bucket"), "shared-buckets")
-    pivots = together.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot"))
-    members = stored(together.join(pivots, "bucket"), "members")
+    members = stored(banded.join(shared, "bucket"), "members")
+    pivots = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot"))
 
     needed = members.select("node").distinct().join(classes.select("node", "rep"), "node")
     named = needed.select("node", F.col("rep._key").alias("_rep_key"), F.col("rep._hash").alias("_rep_hash"))
@@ -260,13 +259,13 @@ def _links(classes: DataFrame, rows: DataFrame) -> DataFrame:
         "texts",
     )
 
-    pairs = members.where((F.col("node") != F.col("pivot.node")) & _could_link(F.col("n"), F.col("pivot.n")))
+    pairs = members.join(pivots, "bucket").where((F.col("node") != F.col("pivot.node")) & _could_link(F.col("n"), F.col("pivot.n")))
     pairs = pairs.select(F.col("pivot.node").alias("a"), F.col("node").alias("b")).distinct()
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b")
     with_both = with_b.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
     stars = stored(_confirmed(with_both), "links")
 
-    units = _open_units(members.select("bucket", "node", "n", "c"), components(stars)).join(texts, "node")
+    units = _open_units(members, components(stars)).join(texts, "node")
     rest = units.groupBy("unit").applyInArrow(_unit_links, "a binary, b binary")
     return stars.union(rest)
 
