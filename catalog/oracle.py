@@ -375,9 +375,9 @@ METHODS = ["words", "tfidf", "embedding", "blended"]
 
 ORACLE: dict[str, str] = {
     "facet_filter": f"WITH {FACETS} SELECT item_id FROM facets WHERE {FILTER_WHERE}",
-    "facet_gate": f"""WITH {FACETS} SELECT meal, count(*) AS candidates,
-        CASE WHEN count(*) < 100 THEN 'too_few_candidates' ELSE 'ok' END AS status
-        FROM facets WHERE {FILTER_WHERE} GROUP BY meal""",
+    "facet_gate": f"""WITH {FACETS} SELECT meal, count(*) FILTER (WHERE {FILTER_WHERE}) AS candidates,
+        CASE WHEN count(*) FILTER (WHERE {FILTER_WHERE}) < 100 THEN 'too_few_candidates' ELSE 'ok' END AS status
+        FROM facets GROUP BY meal""",
     "facet_match": f"""WITH {VECTORS} SELECT item_id, (label = 3)::INT + (first_sign = 1)::INT
         + (second_sign = 'up')::INT AS matches FROM vectors""",
     "multi_hot": """SELECT l_orderkey, max((l_returnflag = 'A')::INT) AS a, max((l_returnflag = 'N')::INT) AS n,
@@ -522,7 +522,7 @@ ORACLE: dict[str, str] = {
           NULL, NULL, NULL, NULL FROM limits WHERE query_id NOT IN (FROM enough)""",
     "search_shared_filter": f"""WITH {PAIRS}, {FACETS},
         {ranked('pairs', DEMOTED, 'top', 5, f'item_id IN (SELECT item_id FROM facets WHERE {OPEN_WHERE})')}
-        SELECT query_id, rank, item_id, round(score, 6) AS score, 'order/' || item_id AS url FROM top""",
+        SELECT query_id, 'ok' AS status, rank, item_id, round(score, 6) AS score, 'order/' || item_id AS url FROM top""",
     "hit_report": f"WITH {BOTH_METHODS} {report(['restricted', 'blended'])}",
     "eval_listing": f"""WITH {BOTH_METHODS}, rows AS (
           SELECT query_id, 'request' AS source, 0 AS rank, query_id AS item_id FROM (SELECT DISTINCT query_id FROM golden)

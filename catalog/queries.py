@@ -45,8 +45,7 @@ def facet_filter(spark, sf):
 
 
 def facet_gate(spark, sf):
-    kept = S.facets(spark, sf).where(FILTER.predicate())
-    return facets.gate_by_group(kept, "meal")
+    return facets.gate_by_group(S.facets(spark, sf), "meal", FILTER.predicate())
 
 
 def multi_hot(spark, sf):

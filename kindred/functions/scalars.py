@@ -106,7 +106,9 @@ def singular(word: Column, exceptions: Mapping[str, str] | None = None) -> Colum
         return out
     pairs = ", ".join(_sql_string(x) for pair in table.items() for x in pair)
     known = F.try_element_at(F.expr(f"map({pairs})"), lower)
-    exception = F.concat(F.substring(word, 1, 1), F.substring(known, 2, 64))
+    # The exception keeps its own letters, whole; only the case of the first one follows the word.
+    raised = F.concat(F.upper(F.substring(known, 1, 1)), F.substr(known, F.lit(2)))
+    exception = F.when(F.substring(word, 1, 1) != F.substring(lower, 1, 1), raised).otherwise(known)
     return F.when(lower.isin(*table), exception).otherwise(out)
 
 

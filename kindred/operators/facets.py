@@ -119,11 +119,11 @@ def enough_candidates(candidates: DataFrame, least: int = K.MIN_CANDIDATES) -> b
     return candidates.limit(least).count() >= least
 
 
-def gate_by_group(candidates: DataFrame, key: str, least: int = K.MIN_CANDIDATES) -> DataFrame:
-    """The gate for many queries at once: (key, candidates, status)."""
+def gate_by_group(rows: DataFrame, key: str, predicate: Column, least: int = K.MIN_CANDIDATES) -> DataFrame:
+    """The gate for many queries at once: (key, candidates, status), groups without a candidate included."""
     return (
-        candidates.groupBy(key)
-        .agg(F.count("*").alias("candidates"))
+        rows.groupBy(key)
+        .agg(F.count_if(predicate).alias("candidates"))
         .withColumn(
             "status", F.when(F.col("candidates") < least, "too_few_candidates").otherwise("ok")
         )

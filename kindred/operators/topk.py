@@ -64,9 +64,15 @@ def ranked(merged: DataFrame) -> DataFrame:
 
 
 def lookup(results: DataFrame, texts: DataFrame) -> DataFrame:
-    """Attach item columns to ranked rows; ``rank`` keeps the order.
+    """Attach item columns to ranked rows; ``rank`` keeps the order, a row without its item has NULLs.
 
-    The results are stored first. Spark then knows their true size and broadcasts them when
-    they are small, so that the item table is not shuffled for a few rows.
+    The results are stored first. Spark then knows their true size and broadcasts their ids when
+    they are few, so that the item table is not shuffled for a few rows; what it finds is as small.
     """
-    return texts.join(stored(results, "results"), "item_id")
+    return attach(stored(results, "results"), texts)
+
+
+def attach(rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The same for rows that are stored already."""
+    found = texts.join(rows.select("item_id").distinct(), "item_id", "left_semi")
+    return rows.join(found, "item_id", "left")

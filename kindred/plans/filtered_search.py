@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from kindred import constants as K
 from kindred.operators.facets import QUERY_LIMITS, FacetFilter, complete_query, enough_candidates, with_limits
 from kindred.operators.scorers import CandidateLimits
-from kindred.operators.topk import check_k, lookup, merge_topk
+from kindred.operators.topk import attach, check_k, merge_topk
 from kindred.plans.text_search import QUERY_FIELDS
 from kindred.plans.vector_search import EmbeddingIndex
 from kindred.shared import stored
@@ -27,19 +27,27 @@ def filtered_search(
     limits: CandidateLimits = QUERY_LIMITS,
     demote: float = K.RESTRICTED_DUPLICATE,
     scan: dict | None = None,
+    k_max: int | None = None,
 ) -> DataFrame:
     """One row per result, and one row with a status for each query without results.
 
     Every query brings its own limits. They are checked inside the scoring scan, which also
     counts the candidates, so the corpus is read once whatever the number of queries.
     """
-    check_k(k, K.USER_K_MAX)
+    check_k(k, k_max)
     fields = [f for f in QUERY_FIELDS if f in queries.columns]
     ready = with_limits(queries.where(complete_query(*fields)))
     merged = merge_topk(index.restricted_partials(ready, k, limits=limits, demote=demote, scan=scan), k)
     found = stored(merged.where(F.col("eligible") >= least), "found")  # k rows a query, read twice
-    hits = items_text.select("item_id", "url").join(found, "item_id").withColumn("status", F.lit("ok"))
-    # A query without any hit row either was incomplete or had too few candidates.
+    return _answers(queries, fields, found, items_text)
+
+
+def _answers(queries: DataFrame, fields: Sequence[str], found: DataFrame, items_text: DataFrame) -> DataFrame:
+    """The hits with their links (NULL where an item has none), and a status row for every other query.
+
+    A query without any hit row either was incomplete or had too few candidates.
+    """
+    hits = attach(found, items_text.select("item_id", "url")).withColumn("status", F.lit("ok"))
     reason = F.when(complete_query(*fields), "too_few_candidates").otherwise("incomplete_query")
     empty = queries.select("query_id", reason.alias("status")).join(
         found.select("query_id").distinct(), "query_id", "left_anti"
@@ -55,21 +63,29 @@ def search_with_filter(
     k: int = K.USER_K_DEFAULT,
     least: int = K.MIN_CANDIDATES,
     facets: DataFrame | None = None,
-) -> DataFrame | None:
-    """The same with one shared filter, pushed into the scan; ``None`` when it is too strict.
+    k_max: int | None = None,
+) -> DataFrame:
+    """The same rows with one shared filter, pushed into the scan.
+
+    A filter that is too strict gives every complete query the status ``too_few_candidates``.
 
     Facets beside the vectors make the filter a predicate; a separate ``facets`` table
     makes it a semi join.
     """
-    check_k(k, K.USER_K_MAX)
+    check_k(k, k_max)
     fields = [f for f in QUERY_FIELDS if f in queries.columns]
     source = index.vectors if facets is None else facets
     if not enough_candidates(facet_filter.candidates(source), least):
-        return None
+        none = queries.sparkSession.createDataFrame([], f"{_kind(queries)}, rank int, item_id long, score double")
+        return _answers(queries, fields, none, items_text)
     ready = queries.where(complete_query(*fields))
     if facets is None:
         narrowed = EmbeddingIndex(index.vectors.where(facet_filter.predicate()), index.factory)
         top = narrowed.search(ready, k)
     else:
         top = index.search(ready, k, candidates=facet_filter.candidates(facets))
-    return lookup(top, items_text.select("item_id", "url")).select(*[c for c in RESULT if c != "status"])
+    return _answers(queries, fields, stored(top, "found"), items_text)
+
+
+def _kind(queries: DataFrame) -> str:
+    return f"query_id {queries.schema['query_id'].dataType.simpleString()}"

@@ -37,7 +37,7 @@ def token_sets(
         lemmas = F.broadcast(lemmas)
 
     def surfaces(field: str) -> Column:
-        words = kept_words(F.col(field), stop_words)
+        words = F.coalesce(kept_words(F.col(field), stop_words), F.array().cast("array<string>"))
         return F.transform(words, lambda w: F.struct(F.lit(field).alias("field"), w.alias("surface")))
 
     words = F.array(*[surfaces(f) for f in fields])

@@ -85,8 +85,10 @@ def test_filter_reaches_the_scan(spark, tmp_path):
 def test_gate(spark):
     table = spark.range(120).select((F.col("id") >= 100).cast("int").alias("key"))
     assert facets.enough_candidates(table) and not facets.enough_candidates(table.where("key = 1"))
-    rows = {r["key"]: (r["candidates"], r["status"]) for r in facets.gate_by_group(table, "key").collect()}
+    rows = {r["key"]: (r["candidates"], r["status"]) for r in facets.gate_by_group(table, "key", F.lit(True)).collect()}
     assert rows == {0: (100, "ok"), 1: (20, "too_few_candidates")}
+    strict = facets.gate_by_group(table, "key", F.col("key") == 0).collect()
+    assert {r["key"]: (r["candidates"], r["status"]) for r in strict} == {0: (100, "ok"), 1: (0, "too_few_candidates")}
 
 
 @pytest.mark.parametrize(
@@ -150,9 +152,12 @@ def test_shared_filter_both_layouts(spark, shop):
     for found in (search_with_filter(asked, index, chosen, urls, 3),
                   search_with_filter(asked, bare, chosen, urls, 3, facets=items)):
         assert [r["url"] for r in found.orderBy("rank").collect()] == ["u30", "u31", "u32"]
-    assert search_with_filter(asked, index, FacetFilter(calories=(0, 98)), urls, 3) is None
+    strict = search_with_filter(asked, index, FacetFilter(calories=(0, 98)), urls, 3).collect()
+    assert {r["status"] for r in strict} == {"too_few_candidates"} and len(strict) == asked.count()
+    unlinked = search_with_filter(asked, index, chosen, urls.where("item_id <> 31"), 3).orderBy("rank").collect()
+    assert [r["url"] for r in unlinked] == ["u30", None, "u32"]
     with pytest.raises(ValueError, match="k must be"):
-        search_with_filter(asked, index, chosen, urls, 51)
+        search_with_filter(asked, index, chosen, urls, 51, k_max=50)
 
 
 def test_evaluation(spark):
