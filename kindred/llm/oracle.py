@@ -1,5 +1,49 @@
-"""SQL each query must equal, where SQL can express it."""
+"""SQL each query must equal, where SQL can express it.
+
+Searches by checksum, trained models and byte-wise hashes have none; the tests hold those queries against
+plain versions.
+"""
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_QUALITY = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+        list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+g AS (SELECT r, unnest(range(1, len(ws) - 1)) AS i, ws FROM w WHERE len(ws) >= 3),
+h AS (SELECT r, i, count(*) OVER (PARTITION BY r, ws[i], ws[i + 1], ws[i + 2]) AS n FROM g),
+p AS (SELECT r, least(3, coalesce(lead(i) OVER (PARTITION BY r ORDER BY i) - i, 3)) AS step FROM h WHERE n > 1),
+c AS (SELECT r, sum(step)::BIGINT AS covered FROM p GROUP BY r),
+m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(covered, 0)::BIGINT AS n_repeat_words,
+    len(ls) AS n_lines, length(t) - length(regexp_replace(t, '\p{Lu}', '', 'g')) AS n_upper,
+    length(t) - length(regexp_replace(t, '\p{Ll}', '', 'g')) AS n_lower, length(t) - length(replace(t, '!', '')) AS n_shouts
+  FROM d JOIN w USING (r) LEFT JOIN c USING (r)),
+b AS (SELECT *, (n_words < 50)::BIGINT AS b0, (100 * n_repeat_words > 50 * n_words)::BIGINT AS b1,
+    (10 * n_symbols > n_words)::BIGINT AS b2, (n_upper > n_lower AND n_upper >= 20)::BIGINT AS b3,
+    (10 * n_shouts > n_words)::BIGINT AS b4, (100 * n_dup_lines > 50 * n_lines AND n_lines >= 4)::BIGINT AS b5,
+    (word_chars > 20 * n_words OR word_chars < 2 * n_words)::BIGINT AS b6 FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, b0 + b1 > 0 AS base_failed,
+  b0 + b1 + b2 + b3 + b4 + b5 + b6 = 0 AS kept,
+  (b0 + 2 * b1 + 4 * b2 + 8 * b3 + 16 * b4 + 32 * b5 + 64 * b6)::BIGINT AS fail_bits FROM b"""
+
+_PLAIN = r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', " \
+    r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+_CONTAMINATION = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_PLAIN} AS ws FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item, {_PLAIN} AS ws FROM benchmark),
+p AS (SELECT DISTINCT item, len(ws[i:i + 12]) AS size, array_to_string(ws[i:i + 12], ' ') AS pattern
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+sizes AS (SELECT DISTINCT size FROM p),
+s AS (SELECT r, i, size, array_to_string(ws[i:i + size - 1], ' ') AS pattern
+  FROM (SELECT r, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, sizes WHERE len(ws) >= size)),
+h AS (SELECT r, i, s.size, item FROM s JOIN p USING (size, pattern)),
+n AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + size)) AS place FROM h) GROUP BY r),
+k AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)"""
+
+ORACLE: dict[str, str] = {"op1_quality_rules": _QUALITY, "op9_decontaminate": _CONTAMINATION}
