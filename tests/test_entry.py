@@ -14,7 +14,7 @@ TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels"
     " conversations"
 ).split()
-TYPES = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+TYPES = {"boolean": "BOOLEAN", "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables are not here")
 
