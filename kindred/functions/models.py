@@ -1,7 +1,7 @@
 """Encoders and classifiers plugged into Spark as iterator pandas UDFs.
 
 A model is a *factory*: a picklable function without arguments that returns a batch
-function. It runs once per Python worker task, so weights load there and not per row.
+function. It runs once per Python worker process, so weights load there and not per task.
 A missing text reaches the model as "".
 
 * encoder factory -> ``f(list[str]) -> array (n, dim)``
@@ -20,6 +20,7 @@ from functools import partial
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -84,24 +85,44 @@ COOKING_CLASSIFIER = partial(lexicon_classifier, K.COOKING_LEXICON)
 INGREDIENT_CLASSIFIER = partial(lexicon_classifier, K.INGREDIENT_LEXICON)
 
 
-def encode(text: Column, factory: Callable[[], Encoder] = DEFAULT_ENCODER) -> Column:
-    """Embedding of one text column."""
+_MOST_MODELS = 4
+_LOADED: dict[str, Callable] = {}
 
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = factory()
-        for texts in batches:
-            vectors = np.asarray(encoder(texts.fillna("").tolist()), np.float32)
-            yield pd.Series(list(vectors), index=texts.index)
 
-    return run(text)
+def _name(factory: Callable[[], Callable]) -> str:
+    """Equal for equal factories, so that every task of a worker finds the same model."""
+    return hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()
+
+
+def _loaded(name: str, factory: Callable[[], Callable]) -> Callable:
+    """The model of a factory, kept in the worker process; the oldest goes when there are too many."""
+    if name not in _LOADED:
+        if len(_LOADED) >= _MOST_MODELS:
+            del _LOADED[next(iter(_LOADED))]
+        _LOADED[name] = factory()
+    return _LOADED[name]
+
+
+def encode(text: Column, factory: Callable[[], Encoder] = DEFAULT_ENCODER) -> Column:
+    """Embedding of one text column."""
+    return encode_fields([text], factory)
 
 
 def encode_fields(
     fields: Sequence[Column], factory: Callable[[], Encoder] = DEFAULT_ENCODER
 ) -> Column:
-    """One vector per field, laid side by side in the order given."""
-    return F.concat(*[encode(f, factory) for f in fields])
+    """One vector per field, laid side by side in the order given; one Python pass for all fields."""
+    name = _name(factory)
+
+    @F.pandas_udf("array<float>")
+    def run(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:
+        encoder = _loaded(name, factory)
+        for batch in batches:
+            texts = batch if isinstance(batch, tuple) else (batch,)
+            sides = [np.asarray(encoder(t.fillna("").tolist()), np.float32) for t in texts]
+            yield pd.Series(list(np.hstack(sides)), index=texts[0].index)
+
+    return run(*fields)
 
 
 def classify(
@@ -111,11 +132,11 @@ def classify(
     batch_size: int = K.CLASSIFIER_BATCH,
 ) -> Column:
     """Best label and its score, ``struct<label, score>``, in batches of ``batch_size``."""
-    names = list(labels)
+    names, name = list(labels), _name(factory)
 
     @F.pandas_udf("struct<label:string,score:double>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        classifier = factory()
+        classifier = _loaded(name, factory)
         for texts in batches:
             values, out = texts.fillna("").tolist(), []
             for start in range(0, len(values), batch_size):

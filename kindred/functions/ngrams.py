@@ -11,6 +11,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 
@@ -30,6 +31,17 @@ class Counted:
     terms: pa.Array
 
 
+class Lookup:
+    """Places of terms in a list of distinct ones; the hash table is built once and kept."""
+
+    def __init__(self, terms: pa.Array) -> None:
+        self._index = pd.Index(terms.to_numpy(zero_copy_only=False), dtype=object)
+
+    def places(self, terms: pa.Array) -> np.ndarray:
+        """-1 for a term that is not in the list."""
+        return self._index.get_indexer(pd.Index(terms.to_numpy(zero_copy_only=False), dtype=object))
+
+
 def _count(codes: np.ndarray, lengths: np.ndarray, n: int, letters: np.ndarray, join) -> Iterator[Counted]:
     n_rows, base = len(lengths), max(2, len(letters))
     if n_rows * base**n >= _KEY_LIMIT and n_rows > 1:
@@ -152,12 +164,11 @@ def frequency_mapper(word_sizes: tuple[int, int] | None, char_sizes: tuple[int,
     return run
 
 
-def _known_chars(texts: pa.Array, sizes: tuple[int, int], known: pa.Array, idf: np.ndarray):
+def _known_chars(texts: pa.Array, sizes: tuple[int, int], known: Lookup, idf: np.ndarray):
     """(row, place in the vocabulary, tf-idf) of the n-grams the vocabulary holds."""
     parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
     for c in char_ngrams(texts, *sizes):
-        place = pc.fill_null(pc.index_in(c.terms, value_set=known), -1)
-        place = place.to_numpy(zero_copy_only=False)[c.gram]
+        place = known.places(c.terms)[c.gram]
         hit = place >= 0
         parts.append((c.row[hit], place[hit], c.tf[hit] * idf[place[hit]]))
     return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
@@ -171,7 +182,7 @@ def length_mapper(word_sizes: tuple[int, int], char_sizes: tuple[int, int], term
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        known, weight = Lookup(pa.array(terms, pa.string())), np.array(idf, float)
         names = ["item_id", "term", "tf", "char_norm"]
         for batch in batches:
             ids, n = batch.column("item_id"), batch.num_rows
@@ -201,17 +212,16 @@ def scale_mapper(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        known, weight = Lookup(pa.array(terms, pa.string())), np.array(idf, float)
         words = shared_words.value.combine_chunks()
         word_idf = words.column("idf").to_numpy()
         # The last entry serves the words that are not found (place -1).
         word_idf = np.nan_to_num(np.append(word_idf, np.nan if idf_of_single is None else idf_of_single))
-        value_set = words.column("term")
+        shared = Lookup(pa.concat_arrays(words.column("term").chunks or [pa.array([], pa.string())]))
         for batch in batches:
             n, squares = batch.num_rows, np.zeros(batch.num_rows)
             for c in word_ngrams(batch.column("word"), *word_sizes):
-                place = pc.fill_null(pc.index_in(c.terms, value_set=value_set), -1)
-                value = c.tf * word_idf[place.to_numpy(zero_copy_only=False)][c.gram]
+                value = c.tf * word_idf[shared.places(c.terms)][c.gram]
                 squares += np.bincount(c.row, value * value, minlength=n)
             row, _, value = _known_chars(batch.column("char"), char_sizes, known, weight)
             chars = np.bincount(row, value * value, minlength=n)
@@ -227,11 +237,12 @@ def char_vector_mapper(sizes: tuple[int, int], terms: list[str], idf: list[float
     """``mapInArrow`` body: (item_id, char) -> (item_id, term, value), tf-idf of known n-grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        names, weight = pa.array(terms, pa.string()), np.array(idf, float)
+        known = Lookup(names)
         for batch in batches:
             row, place, value = _known_chars(batch.column(1), sizes, known, weight)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(row)), known.take(pa.array(place)),
+                [batch.column(0).take(pa.array(row)), names.take(pa.array(place)),
                  pa.array(weight[place]), pa.array(value)],
                 names=["item_id", "term", "idf", "value"],
             )

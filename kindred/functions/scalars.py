@@ -50,13 +50,10 @@ def time_to_minutes(text: Column, strict: bool = False, lenient: bool = False) -
     Both parts are needed, hours 0-23 and minutes 0-59. Anything else gives NULL,
     an error when ``strict``, and is read part by part when ``lenient``.
     """
-    short = text
-    for word, letter in ((" hrs", "H"), (" hr", "H"), (" mins", "M"), (" min", "M")):
-        short = F.replace(short, F.lit(word), F.lit(letter))
-    hours, minutes = r"(2[0-3]|[0-1]\d|\d)[Hh]", r"([0-5]\d|\d)[Mm]"
+    hours, minutes = r"([01]?[0-9]|2[0-3])(?: hrs?|[Hh])", r"([0-5]?[0-9])(?: mins?|[Mm])"
 
     def part(pattern: str, group: int) -> Column:
-        return F.nullif(F.regexp_extract(short, pattern, group), F.lit("")).cast("int")
+        return F.nullif(F.regexp_extract(text, pattern, group), F.lit("")).cast("int")
 
     both = rf"^{hours}{SPACE}+{minutes}\z"
     parsed = part(both, 1) * 60 + part(both, 2)
@@ -68,6 +65,11 @@ def time_to_minutes(text: Column, strict: bool = False, lenient: bool = False) -
     return parsed
 
 
+def unreadable_time(text: Column) -> Column:
+    """Whether a duration is there but gives no minutes; its sum counts the rows lost to that."""
+    return F.coalesce(text.isNotNull() & time_to_minutes(text).isNull(), F.lit(False))
+
+
 def max_minutes(hours: Column | int, minutes: Column | int) -> Column | int:
     """Time limit in minutes from an hour and a minute field."""
     return hours * 60 + minutes

@@ -1,33 +1,47 @@
 """Meet items and queries without a cross join, then keep only partial top-k lists.
 
-Up to a checked size the query block is broadcast and the items are read once, with no
-shuffle of the items at all. Beyond it, items and queries are cut into even blocks on a
-grid and cogrouped, so no side has to fit anywhere whole.
+The queries go out in blocks of checked size, each broadcast for one pass over the items. The
+items are never shuffled. With several blocks, the lists of a block are stored and its broadcast
+is released before the next one is read, so no side has to fit anywhere whole.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kindred.operators.scorers import PARTIAL_SCHEMA, DenseScoring, SparseScoring, TextScoring, rank_batches
-from kindred.shared import MAX_BROADCAST_CELLS, MAX_BROADCAST_ROWS
+from kindred.shared import MAX_BROADCAST_BYTES, MAX_BROADCAST_ROWS, stored_all
 
 Scoring = DenseScoring | SparseScoring | TextScoring
 
 
+def row_bytes(table: DataFrame) -> Column:
+    """About what a row takes in memory, every column counted."""
+
+    def size(field: T.StructField) -> Column:
+        column, kind = F.col(f"`{field.name}`"), field.dataType
+        if isinstance(kind, T.StringType):
+            return F.octet_length(column)
+        if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StringType):
+            lengths = F.transform(column, lambda x: F.coalesce(F.octet_length(x), F.lit(0)) + 8)
+            return F.aggregate(lengths, F.lit(0), lambda total, n: total + n)
+        return F.size(column) * 8 if isinstance(kind, T.ArrayType) else F.lit(8)
+
+    return reduce(add, [F.coalesce(size(f), F.lit(0)).cast("long") for f in table.schema.fields])
+
+
 def table_size(table: DataFrame) -> tuple[int, int]:
-    """Rows, and what they hold in all: vector elements, features or characters."""
-    columns = table.columns
-    if "char" in columns:
-        width = F.length("char")
-    else:
-        width = F.size("features" if "features" in columns else "embedding")
-    row = table.select(width.alias("w")).agg(F.count("*"), F.sum("w")).first()
+    """Rows, and the bytes they hold in all."""
+    row = table.agg(F.count("*"), F.sum(row_bytes(table))).first()
     return row[0], row[1] or 0
 
 
@@ -37,68 +51,45 @@ def scan_topk(
     scoring: Scoring,
     k: int,
     max_rows: int = MAX_BROADCAST_ROWS,
-    max_cells: int = MAX_BROADCAST_CELLS,
-    item_block_rows: int = 50_000,
+    max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
     """Partial top-k rows (``PARTIAL_SCHEMA``) for :func:`kindred.operators.topk.merge_topk`.
 
     ``item_id`` and ``query_id`` are whole numbers, each once in its table. A task that is
-    run again gives the same rows, as a list depends on scores and ids only.
+    run again gives the same rows, as a list depends on scores and ids only. A block larger
+    than ``max_rows`` or ``max_bytes`` arises only where a single query is larger.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     items = items.select("item_id", *scoring.columns())
-    # The block is read twice (size, then rows) but encoded once.
+    # The queries are read once for their size and once by blocks, but encoded once.
     queries = queries.persist()
     try:
-        n_rows, n_cells = table_size(queries)
-        if n_rows <= max_rows and n_cells <= max_cells:
-            return _broadcast_scan(items, queries.toArrow(), scoring, k)
+        n_rows, n_bytes = table_size(queries)
+        if n_rows <= max_rows and n_bytes <= max_bytes:
+            return _scan(items, _shared(queries), scoring, k)
+        # A tenth more blocks than needed: the hash does not deal them out quite evenly.
+        blocks = math.ceil(1.1 * max(n_rows / max_rows, n_bytes / max_bytes))
+        return stored_all(_passes(items, queries, scoring, k, blocks), "partials")
     finally:
         queries.unpersist()
-    blocks = max(math.ceil(n_rows / max_rows), math.ceil(n_cells / max_cells))
-    return _grid_scan(items, queries, scoring, k, blocks, item_block_rows)
 
 
-def _broadcast_scan(items: DataFrame, block: pa.Table, scoring: Scoring, k: int) -> DataFrame:
-    shared = items.sparkSession.sparkContext.broadcast(block)
+def _passes(items: DataFrame, queries: DataFrame, scoring: Scoring, k: int, blocks: int) -> Iterator[DataFrame]:
+    """One pass over the items per block; the caller has stored a pass when it asks for the next."""
+    of_query = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    for block in range(blocks):
+        shared = _shared(queries.where(of_query == block))
+        yield _scan(items, shared, scoring, k)
+        shared.destroy()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return rank_batches(batches, scoring.bind(shared.value), k)
-
-    return items.mapInArrow(run, PARTIAL_SCHEMA)
 
+def _shared(block: DataFrame) -> Broadcast[pa.Table]:
+    return block.sparkSession.sparkContext.broadcast(block.toArrow())
 
-def _grid_scan(
-    items: DataFrame, queries: DataFrame, scoring: Scoring, k: int, q_blocks: int, item_block_rows: int
-) -> DataFrame:
-    n_rows, n_cells = table_size(items)
-    i_blocks = max(1, math.ceil(n_rows / item_block_rows), math.ceil(n_cells / MAX_BROADCAST_CELLS))
-
-    def block(key: str, n: int):
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    def every(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = items.withColumn("ib", block("item_id", i_blocks)).withColumn("qb", every(q_blocks))
-    right = queries.withColumn("qb", block("query_id", q_blocks)).withColumn("ib", every(i_blocks))
-
-    def run(item_part: pa.Table, query_part: pa.Table) -> pa.Table:
-        found = rank_batches(iter(item_part.to_batches()), scoring.bind(query_part), k)
-        return pa.Table.from_batches(list(found), _ARROW_SCHEMA)
-
-    return (
-        left.groupBy("ib", "qb").cogroup(right.groupBy("ib", "qb")).applyInArrow(run, PARTIAL_SCHEMA)
-    )
 
+def _scan(items: DataFrame, shared: Broadcast[pa.Table], scoring: Scoring, k: int) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return rank_batches(batches, scoring.bind(shared.value), k)
 
-_ARROW_SCHEMA = pa.schema(
-    [
-        ("query_id", pa.int64()),
-        ("kind", pa.int32()),
-        ("item_id", pa.int64()),
-        ("score", pa.float64()),
-        ("eligible", pa.int64()),
-    ]
-)
+    return items.mapInArrow(run, PARTIAL_SCHEMA)

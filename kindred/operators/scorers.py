@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from kindred.functions.ngrams import char_ngrams, word_ngrams
+from kindred.functions.ngrams import Lookup, char_ngrams, word_ngrams
 
 _CELLS = 2_000_000
 _DENSE_CELLS = 8_000_000
@@ -138,8 +138,10 @@ class _SparseScorer:
         self.query_ids = _column(queries, "query_id").to_numpy()
         lists = _column(queries, "features")
         flat = lists.flatten()
-        self.vocabulary = pc.unique(flat)
-        codes = pc.index_in(flat, value_set=self.vocabulary).to_numpy(zero_copy_only=False)
+        coded = flat.dictionary_encode()
+        self.vocabulary = coded.dictionary
+        self.lookup = Lookup(self.vocabulary)
+        codes = coded.indices.to_numpy(zero_copy_only=False)
         owner = np.repeat(np.arange(len(lists)), _lengths(lists))
         order = np.argsort(codes, kind="stable")
         self.owner = owner[order]
@@ -151,9 +153,10 @@ class _SparseScorer:
     def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
         lists = _column(batch, "features")
         row = np.repeat(np.arange(batch.num_rows), _lengths(lists))
-        found = pc.index_in(lists.flatten(), value_set=self.vocabulary)
-        hit = found.is_valid().to_numpy(zero_copy_only=False)
-        code = found.drop_null().to_numpy(zero_copy_only=False)
+        coded = lists.flatten().dictionary_encode()
+        found = self.lookup.places(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        hit = found >= 0
+        code = found[hit]
         weight = np.ones(len(code))
         if self.spec.weighted:
             weight = _numbers(_column(batch, "weights").flatten())[hit]
@@ -240,7 +243,7 @@ class _TextScorer(_SparseScorer):
             mine = pc.starts_with(names, letter)
             codes = np.flatnonzero(mine.to_numpy(zero_copy_only=False))
             terms = pc.utf8_slice_codeunits(names.filter(mine), 1)
-            self.blocks.append((kind, sizes, count, terms, codes))
+            self.blocks.append((kind, sizes, count, Lookup(terms), codes))
 
     def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
         return {MAIN: self._products(batch.num_rows, self._entries(batch))}
@@ -251,8 +254,7 @@ class _TextScorer(_SparseScorer):
                 continue
             scale = _numbers(_column(batch, f"{kind}_scale"))
             for c in count(_column(batch, kind), *sizes):
-                place = pc.fill_null(pc.index_in(c.terms, value_set=terms), -1)
-                place = place.to_numpy(zero_copy_only=False)[c.gram]
+                place = terms.places(c.terms)[c.gram]
                 hit = place >= 0
                 yield c.row[hit], codes[place[hit]], c.tf[hit] * scale[c.row[hit]]
 

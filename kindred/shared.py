@@ -5,13 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 # A side is broadcast only below these sizes; every caller has another way beyond.
 MAX_BROADCAST_ROWS = 16_384
-MAX_BROADCAST_CELLS = 8_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 MAX_LOOKUP_ROWS = 200_000
 
@@ -43,6 +43,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stored_all(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """The same for tables of one schema, written one after the other into one table; at least one."""
+    path = None
+    for part in parts:
+        path = path or f"{shared_dir(part.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        part.write.mode("append").parquet(path)
+    return part.sparkSession.read.schema(part.schema).parquet(path)
+
+
 def spread(table: DataFrame, key: str) -> DataFrame:
     """Deal a table with too few splits out over all cores before heavy work per row.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -50,7 +51,8 @@ def read_csv(
     """Read a CSV with a header row into declared columns and an ``item_id``.
 
     ``key`` names an id column of the file. Without one, ids follow the line order of the
-    files in path order, fixed once at ingest in a stored table.
+    files in path order, fixed once at ingest in a stored table. A file whose header differs
+    from that of the others is an error, and so is a key that is no whole number.
     """
     head = csv_header(spark, path)
     named = ["item_id" if h == key else headers.get(h, h) for h in head]
@@ -58,17 +60,24 @@ def read_csv(
     if missing:
         raise ValueError(f"columns missing in {path}: {missing}")
     types = {"item_id": "bigint", **schemas.types_of(labels_as_codes)}
-    ddl = ", ".join(f"`{n}` {types.get(n, 'string')}" for n in named)
+    quoted = ["`" + h.replace("`", "``") + "`" for h in head]
+    ddl = ", ".join(f"{q} {types.get(n, 'string')}" for q, n in zip(quoted, named, strict=True))
     rows = (
         spark.read.schema(ddl)
         .option("header", True).option("multiLine", True).option("escape", '"')
+        # A nameless column has a name made up by the reader, which no header can equal.
+        .option("enforceSchema", any(re.fullmatch(r"_c\d+", h) for h in head))
         .csv(path)
     )
-    wanted = list(headers.values())
-    return rows.select("item_id", *wanted) if key else number_lines(rows, wanted)
+    columns = {n: F.col(q).alias(n) for q, n in zip(quoted, named, strict=True)}
+    wanted = [columns[n] for n in headers.values()]
+    if not key:
+        return number_lines(rows, wanted)
+    bad = F.raise_error(F.lit(f"a key in {path} is no whole number")).cast("bigint")
+    return rows.select(F.coalesce(columns["item_id"], bad).alias("item_id"), *wanted)
 
 
-def number_lines(rows: DataFrame, columns: list[str]) -> DataFrame:
+def number_lines(rows: DataFrame, columns: list[Column]) -> DataFrame:
     """Line numbers from 0 over all files; a multi-line CSV file is never split."""
     kept = stored(
         rows.select(
@@ -78,12 +87,12 @@ def number_lines(rows: DataFrame, columns: list[str]) -> DataFrame:
         ),
         "lines",
     )
-    # One row per file: a small window and a small broadcast.
+    # One row per file, so the window is small; the table's size decides whether it is broadcast.
     files = kept.groupBy("_file").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
     before = F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1))
     files = files.select("_file", "_first", F.coalesce(before, F.lit(0)).alias("_before"))
     number = F.col("_before") + F.col("_at") - F.col("_first")
-    return kept.join(F.broadcast(files), "_file").select(number.alias("item_id"), *columns)
+    return kept.join(stored(files, "files"), "_file").select(number.alias("item_id"), *kept.columns[:-2])
 
 
 def csv_header(spark: SparkSession, path: str) -> list[str]:

@@ -61,7 +61,7 @@ def test_filter_per_query_equals_shared_filter(spark):
     asked = spark.createDataFrame(rows, "query_id long, embedding array<double>, methods array<string>,"
                                         f" exclude array<string>, max_minutes double, {limits}")
     urls = items.select("item_id", F.concat(F.lit("u"), "item_id").alias("url"))
-    for scan in (None, {"max_rows": 2, "item_block_rows": 3}):
+    for scan in (None, {"max_rows": 2}):
         found = filtered_search(asked, EmbeddingIndex(items), urls, 50, 1, demote=2.0, scan=scan).collect()
         for q, (_, expected) in enumerate(CASES):
             assert sorted(r["item_id"] for r in found if r["query_id"] == q) == expected
@@ -94,17 +94,16 @@ def test_gate(spark):
 @pytest.mark.parametrize(
     ("row", "wanted", "expected"),
     [
-        ((1, 0, "Meat", "Soup", 25), (1, 1, "Meat", 0), 2),
-        ((2, 1, "Vegetable", "Salad", 30), (2, 1, "Vegetable", 0), 3),
-        ((1, 0, "Fish", "Stew", 20), (1, 1, "Fish", 0), 2),
-        ((3, 2, "Chicken", "Curry", 0), (3, 2, "Chicken", 0), 4),
-        ((4, 3, "Beef", "Burger", 35), (1, 0, "Meat", 25), 0),
-        ((None, None, None, None, None), (1, 0, "Meat", 25), 0),
+        ((7, "tin", 1), (7, "tin"), 2),
+        ((7, "tin", 1), (8, "tin"), 1),
+        ((7, "tin", 1), (8, "Tin"), 0),
+        ((None, "tin", 1), (7, "tin"), 1),
+        ((None, None, None), (7, "tin"), 0),
     ],
 )
 def test_facet_matches(spark, row, wanted, expected):
-    frame = spark.createDataFrame([row], "c1 int, c2 int, c3 string, c4 string, c5 int")
-    features = dict(zip(["c1", "c2", "c3", "c5"], wanted, strict=True))
+    frame = spark.createDataFrame([row], "size int, metal string, other int")
+    features = dict(zip(["size", "metal"], wanted, strict=True))
     assert frame.select(facets.facet_matches(features).alias("n")).first()["n"] == expected
 
 
@@ -206,6 +205,21 @@ def test_csv_with_a_key(spark, tmp_path):
         tables.read_csv(spark, str(tmp_path / "t.csv"), schemas.RAW_COLUMNS)
 
 
+def test_csv_with_another_header_or_a_bad_key_is_an_error(spark, tmp_path):
+    files = tmp_path / "in"
+    files.mkdir()
+    (files / "a.csv").write_text("id,URL,Directions,Ingr\n7,u,d,i\n")
+    (files / "b.csv").write_text("id,URL,Ingr,Directions\n8,u,i,d\n")
+    with pytest.raises(Exception, match="header"):
+        tables.read_csv(spark, str(files), schemas.TEXT_HEADERS, key="id").collect()
+    (tmp_path / "bad.csv").write_text("id,URL,Directions,Ingr\nseven,u,d,i\n")
+    with pytest.raises(Exception, match="no whole number"):
+        tables.read_csv(spark, str(tmp_path / "bad.csv"), schemas.TEXT_HEADERS, key="id").collect()
+    (tmp_path / "nameless.csv").write_text(",URL,Directions,Ingr\n0,u,d,i\n")
+    [row] = tables.read_csv(spark, str(tmp_path / "nameless.csv"), schemas.TEXT_HEADERS).collect()
+    assert tuple(row) == (0, "d", "i", "u")
+
+
 def test_encoded_facets_csv(spark, tmp_path):
     head = list(schemas.FACET_HEADERS)
     (tmp_path / "f.csv").write_text(",".join(f'"{h}"' for h in head) + "\n" + ",".join(["1"] * len(head)) + "\n")
@@ -214,10 +228,10 @@ def test_encoded_facets_csv(spark, tmp_path):
 
 
 def test_golden_file(spark, tmp_path):
-    golden = {"690": [14736, 11279], "16": [5772, 5772], "7": []}
+    golden = {"40": [3, 1], "8": [2**40, 2**40], "7": []}
     (tmp_path / "golden.txt").write_text(json.dumps(golden))
     rows = tables.read_golden(spark, str(tmp_path / "golden.txt")).collect()
-    assert sorted(map(tuple, rows)) == [(16, 5772), (16, 5772), (690, 11279), (690, 14736)]
+    assert sorted(map(tuple, rows)) == [(8, 2**40), (8, 2**40), (40, 1), (40, 3)]
 
 
 def test_stream_of_queries_and_items(spark, shop, tmp_path):

@@ -1,4 +1,4 @@
-"""Each search against a plain Python model on small fixtures, broadcast and grid path alike."""
+"""Each search against a plain Python model on small fixtures, with one query block and with several."""
 
 import math
 import random
@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from kindred import constants as K
 from kindred.operators.scorers import DenseScoring, RunningTopK, SparseScoring, rank_batches
-from kindred.operators.scan import scan_topk
+from kindred.operators.scan import scan_topk, table_size
 from kindred.operators.topk import check_k, lookup, merge_topk, ranked, topk_per_query
 from kindred.plans.text_search import WordOverlapIndex, token_sets
 from kindred.plans.tfidf_search import TfidfIndex
 from kindred.plans.vector_search import EmbeddingIndex, embed
 
-GRID = {"max_rows": 3, "item_block_rows": 4}
+BLOCKS = {"max_rows": 3}
 
 
 def lists(result, *extra):
@@ -82,17 +82,17 @@ def test_lookup_keeps_rank(spark):
 
 def test_word_overlap_fixture(spark):
     sets = [
-        (0, ["recipe", "direction"], ["meat", "chicken", "lemon"]),
-        (1, ["instruction", "cook", "apple", "pie"], ["orange", "fish", "apple"]),
-        (2, ["boil", "fry", "grill"], ["salt", "pepper", "garlic"]),
-        (3, ["prepare", "chop", "season"], ["onion", "tomato", "cucumber"]),
+        (3, ["river", "stone"], ["copper"]),
+        (5, ["river", "stone", "moss"], ["copper", "tin"]),
+        (6, [], ["river", "stone"]),
+        (9, ["cloud"], []),
     ]
     index = WordOverlapIndex(spark.createDataFrame(sets, "item_id long, directions array<string>, ingr array<string>"))
-    query = [(1, "recipe cook pie apple instructions boil", "apple pie cinnamon sugar salt lemon")]
-    asked = spark.createDataFrame(query, "query_id long, directions string, ingredients string")
-    assert lists(index.search(asked, 3), "score") == {1: [(1, 5), (0, 2), (2, 2)]}
+    asked = spark.createDataFrame([(4, "moss on a river stone", "tin")], "query_id long, directions string, ingredients string")
+    # A word counts in its own field only: item 6 has the words of the other one.
+    assert lists(index.search(asked, 2), "score") == {4: [(5, 4), (3, 2)]}
     # k beyond the matches: items without a shared word fill up, the smallest id first.
-    assert lists(index.search(asked, 10)) == {1: [1, 0, 2, 3]}
+    assert lists(index.search(asked, 10)) == {4: [5, 3, 6, 9]}
 
 
 @pytest.fixture(scope="module")
@@ -113,7 +113,7 @@ def corpus(spark):
     )
 
 
-@pytest.mark.parametrize("scan", [None, GRID])
+@pytest.mark.parametrize("scan", [None, BLOCKS])
 def test_word_overlap_equals_brute_force(corpus, scan):
     items, queries, item_rows, query_rows = corpus
     index = WordOverlapIndex.fit(items)
@@ -188,7 +188,7 @@ def _cosine(a, b):
     return dot / length if length else 0.0
 
 
-@pytest.mark.parametrize(("scan", "max_chars"), [(None, 5000), (GRID, 5000), (None, 20)])
+@pytest.mark.parametrize(("scan", "max_chars"), [(None, 5000), (BLOCKS, 5000), (None, 20)])
 def test_tfidf_equals_brute_force(corpus, scan, max_chars):
     items, queries, item_rows, query_rows = corpus
     found = lists(TfidfIndex.fit(items, max_char_features=max_chars).search(queries, 6, scan=scan), "score")
@@ -221,14 +221,13 @@ def test_tfidf_storage(corpus, spark, tmp_path):
     assert loaded.texts.count() == items.count()
 
 
-@pytest.mark.parametrize("k", [1, 2, 3, 4])
+@pytest.mark.parametrize("k", [1, 3, 6])
 def test_tfidf_gives_k_rows(spark, k):
-    rows = [(0, "Mix the ingredients well.", "flour sugar eggs"), (1, "Boil water.", "water salt"),
-            (2, "Bake", "lemon"), (3, "Fry", "fish"), (4, "Grill", "beef")]
+    rows = [(i, f"stone {w}", w[::-1]) for i, w in enumerate(["river", "cloud", "copper", "moss", "tin", "sand"])]
     items = spark.createDataFrame(rows, "item_id long, directions string, ingr string")
-    asked = spark.createDataFrame([(0, "Sample direction. recipe", "Sample ingredients. lemon")],
-                                  "query_id long, directions string, ingredients string")
-    assert len(lists(TfidfIndex.fit(items).search(asked, k))[0]) == k
+    asked = spark.createDataFrame([(8, "a moss stone", "no"), (9, "", "")], "query_id long, directions string, ingredients string")
+    found = lists(TfidfIndex.fit(items).search(asked, k))
+    assert {q: len(ids) for q, ids in found.items()} == {8: k, 9: k} and found[8][0] == 3
 
 
 # ------------------------------------------------------------------ vectors
@@ -246,10 +245,10 @@ def _unit(similarity):
 @pytest.mark.parametrize(
     ("ids", "k", "similarities", "expected"),
     [
-        ([0, 1, 4], 1, [0.7, 0.8, 0.85], [4]),
-        ([0, 2, 3, 4], 3, [0.6, 0.75, 0.9, 0.65], [3, 2, 4]),
-        ([0, 1, 2, 3, 4], 2, [0.55, 0.45, 0.8, 0.7, 0.6], [2, 3]),
-        ([0, 1, 2], 3, [0.5, 0.99, 0.4], [0, 2, 1]),
+        ([5], 1, [0.25], [5]),
+        ([5, 2], 4, [0.25, 0.3], [2, 5]),  # fewer candidates than k
+        ([1, 3, 5], 2, [-0.5, 0.1, 0.0], [3, 5]),
+        ([4, 0], 2, [0.995, -0.9], [0, 4]),  # a near copy goes last
         ([3, 1, 2], 3, [0.5, 0.5, 0.5], [1, 2, 3]),
     ],
 )
@@ -270,14 +269,30 @@ def test_zero_and_missing_vectors_score_zero(spark):
 
 
 def test_fields_are_laid_side_by_side(spark):
-    table = {"r1": [0.1, 0.2], "r2": [0.5, 0.6], "i1": [0.3, 0.4], "i2": [0.7, 0.8]}
+    def factory():
+        return lambda texts: np.array([[len(t), t.count("a"), 9] for t in texts])
+
+    items = spark.createDataFrame([(0, "aba", "c"), (1, "", None)], "item_id long, directions string, ingr string")
+    both = embed(items, "item_id", ["directions", "ingr"], factory)
+    rows = both.orderBy("item_id").collect()
+    assert [r["embedding"] for r in rows] == [[3, 2, 9, 1, 0, 9], [0, 0, 9, 0, 0, 9]]
+    assert embed(items, "item_id", ["ingr"], factory).where("item_id = 0").first()["embedding"] == [1, 0, 9]
+    assert both._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_model_is_loaded_once_per_process(spark, tmp_path):
+    import os
+    import uuid
 
     def factory():
-        return lambda texts: np.array([table[t] for t in texts])
+        (tmp_path / f"{os.getpid()}-{uuid.uuid4().hex}").touch()
+        return lambda texts: np.ones((len(texts), 1))
 
-    items = spark.createDataFrame([(0, "r1", "i1"), (1, "r2", "i2")], "item_id long, directions string, ingr string")
-    rows = embed(items, "item_id", ["directions", "ingr"], factory).orderBy("item_id").collect()
-    assert np.allclose([r["embedding"] for r in rows], [[0.1, 0.2, 0.3, 0.4], [0.5, 0.6, 0.7, 0.8]])
+    for _ in range(2):
+        rows = spark.range(40).select(F.col("id").alias("item_id"), F.lit("x").alias("a"), F.lit("y").alias("b"))
+        assert embed(rows.repartition(8), "item_id", ["a", "b"], factory).where("embedding[1] = 1").count() == 40
+    loads = [f.name.split("-")[0] for f in tmp_path.iterdir()]
+    assert loads and len(loads) == len(set(loads))
 
 
 def test_embedding_storage(spark, tmp_path):
@@ -305,7 +320,7 @@ def _sim(u, v):
     return float(np.dot(u, v) / np.linalg.norm(u) / np.linalg.norm(v))
 
 
-@pytest.mark.parametrize("scan", [None, GRID])
+@pytest.mark.parametrize("scan", [None, BLOCKS])
 @pytest.mark.parametrize("band", [(0.2, 0.95), (0.6, 0.9), (0.99999, 0.999999)])
 def test_blended_equals_brute_force(faceted, scan, band):
     items, queries, rows, asked = faceted
@@ -327,16 +342,17 @@ def test_blended_equals_brute_force(faceted, scan, band):
 
 
 def test_blended_fixture(spark):
+    # The less similar item shares more facets and wins; the third lies above the band.
     items = spark.createDataFrame(
-        [(0, _unit(0.85), 0.1, 0.2, "x"), (1, _unit(0.81), 0.2, 0.2, "a")],
-        "item_id long, embedding array<double>, f1 double, f2 double, f3 string",
+        [(2, _unit(0.93), 7, "p"), (4, _unit(0.82), 8, "q"), (6, _unit(0.97), 8, "q")],
+        "item_id long, embedding array<double>, size int, kind string",
     )
-    asked = spark.createDataFrame([(9, [1.0, 0.0], 0.1, 0.2, "b")],
-                                  "query_id long, embedding array<double>, f1 double, f2 double, f3 string")
+    asked = spark.createDataFrame([(1, [2.0, 0.0], 8, "q")], "query_id long, embedding array<double>, size int, kind string")
     index = EmbeddingIndex(items)
-    [(item, score)] = lists(index.search_blended(asked, ["f1", "f2", "f3"], 1), "score")[9]
-    assert item == 0 and score == pytest.approx(0.6 * 0.85 + 0.4 * 2 / 3)
-    assert lists(index.search_blended(asked, ["f1", "f2", "f3"], 3), "branch") == {9: [(0, "fallback"), (1, "fallback")]}
+    found = lists(index.search_blended(asked, ["size", "kind"], 2), "score")[1]
+    assert [i for i, _ in found] == [4, 2]
+    assert [s for _, s in found] == pytest.approx([0.6 * 0.82 + 0.4, 0.6 * 0.93])
+    assert lists(index.search_blended(asked, ["size", "kind"], 3), "branch") == {1: [(i, "fallback") for i in (6, 2, 4)]}
     with pytest.raises(ValueError, match="filter_features cannot be None"):
         index.search_blended(asked, None)
 
@@ -354,7 +370,15 @@ def test_item_as_its_own_query(faceted):
 # ------------------------------------------------------------------ the two ways to meet
 
 
-def test_grid_and_broadcast_agree_on_sparse(spark):
+def test_query_size_counts_every_column(spark):
+    rows = spark.createDataFrame(
+        [(1, "é", ["ab", None], [1.0, 2.0]), (2, None, None, None)],
+        "query_id long, text string, features array<string>, weights array<double>",
+    )
+    assert table_size(rows) == (2, (8 + 2 + 10 + 8 + 16) + 8)
+
+
+def test_blocks_and_one_broadcast_agree_on_sparse(spark):
     rnd = random.Random(1)
     def rows(n, key):
         data = []
@@ -365,7 +389,7 @@ def test_grid_and_broadcast_agree_on_sparse(spark):
     items, queries = rows(60, "item_id"), rows(11, "query_id")
     def run(**options):
         return lists(ranked(merge_topk(scan_topk(items, queries, SparseScoring(), 7, **options), 7)), "score")
-    one, two, three = run(), run(max_rows=2, item_block_rows=9), run(max_cells=5)
+    one, two, three = run(), run(max_rows=2), run(max_bytes=200)
     for q, found in one.items():
         for other in (two, three):
             assert [i for i, _ in other[q]] == [i for i, _ in found]
@@ -433,6 +457,6 @@ def test_a_third_of_the_items_are_copies(spark):
     words = WordOverlapIndex.fit(copies)
     tfidf = TfidfIndex.fit(copies)
     want = {1: [1, 4, 7, 10], 2: [0, 2, 3, 5]}
-    for scan in (None, {"max_rows": 1, "item_block_rows": 500}):
+    for scan in (None, {"max_rows": 1}):
         assert lists(words.search(asked, 4, scan=scan)) == want
         assert lists(tfidf.search(asked, 4, scan=scan))[1] == want[1]

@@ -29,11 +29,11 @@ def test_unique_words(value, text, expected):
 
 def test_word_overlap(spark):
     frame = spark.createDataFrame(
-        [(["recipe", "direction"], ["meat", "chicken", "lemon"], ["recipe", "ingredient"], ["lemon", "water"])],
+        [(["tin", "moss", "sand"], ["river"], ["sand", "tin"], ["moss", "river"])],
         "a array<string>, b array<string>, c array<string>, d array<string>",
     )
     score = tokens.word_overlap([F.col("a"), F.col("b")], [F.col("c"), F.col("d")])
-    assert frame.select(score.alias("n")).first()["n"] == 2
+    assert frame.select(score.alias("n")).first()["n"] == 3
 
 
 def test_char_text(value):
