@@ -406,6 +406,8 @@ ORACLE: dict[str, str] = {
         {vocabulary_split('kept', 'p_partkey', Q.CLEAN_VOCABULARY, 'cut')}
         SELECT p_partkey, parts AS categories FROM cut""",
     "time_to_minutes": f"SELECT p_partkey, {SIZE_AS_TIME} AS total_time, ({MINUTES})::INT AS minutes FROM part",
+    "unreadable_times": f"""SELECT p_brand, count(*) FILTER (WHERE t IS NOT NULL AND m IS NULL) AS unreadable, count(*) AS n
+        FROM (SELECT p_brand, {SIZE_AS_TIME} AS t, {MINUTES} AS m FROM part) GROUP BY p_brand""",
     "line_split": """SELECT doc_id, unnest(range(len(ls)))::INT AS pos, unnest(ls) AS line
         FROM (SELECT doc_id, string_split(replace(text, '. ', ',  '), ',  ') AS ls FROM documents)""",
     "unique_words": f"""WITH {words_of('documents', 'doc_id', 'text', 'ws')}
@@ -482,9 +484,9 @@ ORACLE: dict[str, str] = {
         SELECT query_id, rank, item_id, round(score, 6) AS score FROM tfidf""",
     "lemma_table": f"""WITH w AS (
           SELECT DISTINCT p_partkey, unnest(string_split(p_name || ' ' || lower(p_type), ' ')) AS word FROM part),
-        l AS (SELECT lower(p_type) AS surface FROM part UNION SELECT string_split(p_name, ' ')[2] FROM part)
+        l AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS surface FROM part)
         SELECT p_partkey AS item_id, string_agg(DISTINCT lemma, ',' ORDER BY lemma) AS words FROM (
-          SELECT p_partkey, CASE WHEN surface IS NULL THEN word ELSE word[1:3] END AS lemma
+          SELECT p_partkey, CASE WHEN surface IS NULL THEN word ELSE regexp_replace(word, '(ing|ed|er|s)$', '') END AS lemma
           FROM w LEFT JOIN l ON surface = word) GROUP BY p_partkey""",
     "ingredient_labels": f"""WITH {RAW},
         lines AS (SELECT item_id, unnest(string_split(ingr, ',  ')) AS line FROM raw),
@@ -528,7 +530,7 @@ ORACLE: dict[str, str] = {
           SELECT query_id, 'request' AS source, 0 AS rank, query_id AS item_id FROM (SELECT DISTINCT query_id FROM golden)
           UNION ALL SELECT DISTINCT query_id, 'golden', NULL, relevant_id FROM golden
           UNION ALL SELECT query_id, method, rank, item_id FROM found)
-        SELECT query_id, source, rank, item_id, 'order/' || item_id AS url FROM rows JOIN orders ON o_orderkey = item_id""",
+        SELECT query_id, source, rank, item_id, 'order/' || o_orderkey AS url FROM rows LEFT JOIN orders ON o_orderkey = item_id""",
     "method_report": f"""WITH {TURNS},
         {overlap_topk('turns', 'asked', [('directions', 'directions'), ('ingr', 'ingredients')], 10)},
         {tfidf_topk('turns', 'asked', "directions || ' ' || ingr", "directions || '. ' || ingredients", 10)},
@@ -543,3 +545,17 @@ ORACLE: dict[str, str] = {
                   SELECT 'blended', query_id, item_id FROM fb WHERE query_id NOT IN (FROM full_band))
         {report(METHODS)}""",
 }
+
+# The same answers by another way: several query blocks, an index with gaps, another store.
+ORACLE |= {
+    "word_overlap_blocks": ORACLE["word_overlap_topk"],
+    "tfidf_blocks": ORACLE["tfidf_topk"],
+    "vector_topk_blocks": ORACLE["vector_topk"],
+    "vector_topk_some_facets": ORACLE["vector_topk"],
+    "token_sets_parquet": ORACLE["token_store"],
+    "search_unlinked": ORACLE["search_e2e"].replace(
+        "'order/' || item_id AS url FROM top",
+        "CASE WHEN o_orderstatus = 'F' THEN 'order/' || item_id END AS url FROM top LEFT JOIN orders ON o_orderkey = item_id",
+    ),
+    "facets_csv_roundtrip": f"WITH {FACETS} SELECT * FROM facets",
+}

@@ -126,6 +126,12 @@ def time_to_minutes(spark, sf):
     )
 
 
+def unreadable_times(spark, sf):
+    """Durations that give no minutes, counted per brand."""
+    bad = scalars.unreadable_time(S.size_as_time()).cast("long")
+    return S.table(spark, sf, "part").groupBy("p_brand").agg(F.sum(bad).alias("unreadable"), F.count("*").alias("n"))
+
+
 def line_split(spark, sf):
     listed = F.replace(F.col("text"), F.lit(". "), F.lit(",  "))
     return S.text_table(spark, sf, "documents", "doc_id").select(
@@ -175,6 +181,16 @@ def word_overlap_topk(spark, sf):
     return index.search(S.benchmark_queries(spark, sf), 10)
 
 
+def _blocks(asked):
+    """Half the queries to a broadcast: the way of a query table too large for one, at every scale."""
+    return {"max_rows": max(1, asked.count() // 2)}
+
+
+def word_overlap_blocks(spark, sf):
+    asked = S.benchmark_queries(spark, sf)
+    return text_search.WordOverlapIndex.fit(S.documents(spark, sf)).search(asked, 10, scan=_blocks(asked))
+
+
 def _docs(spark, sf):
     return S.documents(spark, sf).select("item_id", F.col("directions").alias("text"))
 
@@ -218,6 +234,12 @@ def tfidf_topk(spark, sf):
     return rounded(index.search(S.benchmark_queries(spark, sf), 10), "score")
 
 
+def tfidf_blocks(spark, sf):
+    asked = S.benchmark_queries(spark, sf)
+    index = tfidf_search.TfidfIndex.fit(S.documents(spark, sf))
+    return rounded(index.search(asked, 10, scan=_blocks(asked)), "score")
+
+
 # ------------------------------------------------------------------ vector search
 
 
@@ -229,6 +251,18 @@ def vector_topk(spark, sf):
     return rounded(_index(spark, sf).search(S.vector_queries(spark, sf), 10, demote=None), "score")
 
 
+def vector_topk_blocks(spark, sf):
+    asked = S.vector_queries(spark, sf)
+    return rounded(_index(spark, sf).search(asked, 10, demote=None, scan=_blocks(asked)), "score")
+
+
+def vector_topk_some_facets(spark, sf):
+    """Most items have no facets; a search without limits finds them all the same."""
+    some = FILTER.candidates(S.facets(spark, sf))
+    index = vector_search.EmbeddingIndex.fit(S.vectors(spark, sf), facets=some)
+    return rounded(index.search(S.vector_queries(spark, sf), 10, demote=None), "score")
+
+
 def vector_topk_filtered(spark, sf):
     kept = OPEN_FILTER.candidates(S.facets(spark, sf))
     found = _index(spark, sf).search(S.vector_queries(spark, sf), 10, candidates=kept)
@@ -312,10 +346,26 @@ def csv_line_ids(spark, sf):
     docs = S.table(spark, sf, "documents").select(
         "doc_id", F.col("text").alias("directions"), F.col("lang").alias("ingr"), F.col("source").alias("url")
     )
-    tables.write_csv(docs.repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id"), path, schemas.TEXT_HEADERS)
+    tables.write_csv(docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id"), path, schemas.TEXT_HEADERS)
     return tables.read_csv(spark, path, schemas.TEXT_HEADERS)
 
 
+def facets_csv_roundtrip(spark, sf):
+    """Facets written as CSV and read back by their declared columns."""
+    path = _folder(spark, "facets")
+    rows = S.facets(spark, sf)
+    headers = {h: c for h, c in schemas.FACET_HEADERS.items() if c in rows.columns}
+    tables.write_csv(rows, path, {"id": "item_id", **headers})
+    return tables.read_csv(spark, path, headers, key="id")
+
+
+def token_sets_parquet(spark, sf):
+    """Token sets stored as a table, read back and searched."""
+    path = _folder(spark, "sets")
+    text_search.WordOverlapIndex.fit(S.turns(spark, sf)).write(path)
+    return text_search.WordOverlapIndex.read(spark, path).search(_turn_queries(spark, sf), 5)
+
+
 def token_store(spark, sf):
     """Token sets written in their text form and read back, then searched."""
     path = _folder(spark, "tokens")
@@ -343,13 +393,13 @@ def _turn_queries(spark, sf):
 
 
 def lemma_table(spark, sf):
-    """Token sets with a table of lemmas: every part name shortened to its first word."""
+    """Token sets with a table of lemmas: every word of a part name without its ending."""
     parts = S.table(spark, sf, "part").select(
         F.col("p_partkey").alias("item_id"), F.concat_ws(" ", "p_name", F.lower("p_type")).alias("words")
     )
-    surface = F.explode(F.array(F.lower("p_type"), F.split("p_name", " ", -1).getItem(1)))
+    surface = F.explode(F.split("p_name", " ", -1))
     lemmas = S.table(spark, sf, "part").select(surface.alias("surface")).distinct()
-    lemmas = lemmas.withColumn("lemma", F.substring("surface", 1, 3))
+    lemmas = lemmas.withColumn("lemma", F.regexp_replace("surface", "(ing|ed|er|s)$", ""))
     sets = text_search.token_sets(parts, "item_id", ["words"], lemmas=lemmas)
     return sets.select("item_id", scalars.set_to_text(F.col("words")).alias("words"))
 
@@ -429,6 +479,14 @@ def search_e2e(spark, sf):
     return rounded(found, "score")
 
 
+def search_unlinked(spark, sf):
+    """The same where only some items have a link: no rank and no query is lost."""
+    linked = S.table(spark, sf, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("item_id"))
+    pages = _order_pages(spark, sf).join(linked, "item_id", "left_semi")
+    found = filtered_search.filtered_search(_filtered_queries(spark, sf), _searchable(spark, sf), pages, 5, 40)
+    return rounded(found, "score")
+
+
 def search_shared_filter(spark, sf):
     found = filtered_search.search_with_filter(
         S.vector_queries(spark, sf), _searchable(spark, sf), OPEN_FILTER, _order_pages(spark, sf), 5
@@ -494,12 +552,14 @@ _ALL: dict[str, Query] = {
     "vocab_split": vocab_split,
     "clean_categories": clean_categories,
     "time_to_minutes": time_to_minutes,
+    "unreadable_times": unreadable_times,
     "line_split": line_split,
     "unique_words": unique_words,
     "word_overlap": word_overlap,
     "array_roundtrip": array_roundtrip,
     "golden_explode": golden_explode,
     "word_overlap_topk": word_overlap_topk,
+    "word_overlap_blocks": word_overlap_blocks,
     "word_ngrams": word_ngrams,
     "char_ngrams": char_ngrams,
     "term_frequency": term_frequency,
@@ -507,14 +567,19 @@ _ALL: dict[str, Query] = {
     "tfidf_idf": tfidf_idf,
     "tfidf_norms": tfidf_norms,
     "tfidf_topk": tfidf_topk,
+    "tfidf_blocks": tfidf_blocks,
     "cosine_pairs": cosine_pairs,
     "vector_topk": vector_topk,
+    "vector_topk_blocks": vector_topk_blocks,
+    "vector_topk_some_facets": vector_topk_some_facets,
     "vector_topk_filtered": vector_topk_filtered,
     "blend_topk": blend_topk,
     "blend_fallback": blend_fallback,
     "result_lookup": result_lookup,
     "csv_roundtrip": csv_roundtrip,
     "csv_line_ids": csv_line_ids,
+    "facets_csv_roundtrip": facets_csv_roundtrip,
+    "token_sets_parquet": token_sets_parquet,
     "token_store": token_store,
     "vector_store": vector_store,
     "tfidf_store": tfidf_store,
@@ -528,6 +593,7 @@ _ALL: dict[str, Query] = {
     "feature_build": feature_build_query,
     "feature_build_encoded": feature_build_encoded,
     "search_e2e": search_e2e,
+    "search_unlinked": search_unlinked,
     "search_shared_filter": search_shared_filter,
     "hit_report": hit_report,
     "eval_listing": eval_listing,
