@@ -35,6 +35,7 @@ MAX_CHAR_FEATURES = 5000
 WORD_NGRAMS = (1, 2)
 CHAR_NGRAMS = (2, 4)
 
+# The columns of a facet table and their order.
 FLAG_COLUMNS = [g.lower() for g in INGREDIENT_GROUPS]
 LABEL_COLUMNS = ["meal", "course", "special_nutrition", "cooking_methods"]
 NUTRIENT_COLUMNS = ["calories", "protein", "fat", "carbs"]

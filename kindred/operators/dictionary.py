@@ -42,6 +42,13 @@ def join_dictionary(
     )
 
 
+def join_counted(rows: DataFrame, dictionary: DataFrame, key: str, spread_by: str) -> DataFrame:
+    """The same for a dictionary that does not know how many rows a key has: they are counted first."""
+    counts = stored(rows.groupBy(key).agg(F.count("*").alias("_rows")), "key-counts")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    return join_dictionary(rows, dictionary.join(counts, key), key, "_rows", total, spread_by).drop("_rows")
+
+
 def numbered(values: DataFrame, column: str) -> DataFrame:
     """(value, code): sorted distinct values numbered 0..n-1 without a one-task sort."""
     parts = stored(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from kindred import constants as K
 from kindred.functions.scalars import set_to_text, text_to_set
 from kindred.functions.tokens import kept_words, unique_words
+from kindred.operators.dictionary import join_counted
 from kindred.operators.scan import scan_topk
 from kindred.operators.scorers import SparseScoring
 from kindred.operators.topk import check_k, merge_topk, ranked
@@ -33,20 +34,18 @@ def token_sets(
     if lemmas is None:
         sets = {f: unique_words(F.col(f), stop_words, exceptions) for f in fields}
         return rows.select(key, *[c.alias(f) for f, c in sets.items()])
-    if lemmas.limit(MAX_LOOKUP_ROWS + 1).count() <= MAX_LOOKUP_ROWS:
-        lemmas = F.broadcast(lemmas)
 
     def surfaces(field: str) -> Column:
         words = F.coalesce(kept_words(F.col(field), stop_words), F.array().cast("array<string>"))
         return F.transform(words, lambda w: F.struct(F.lit(field).alias("field"), w.alias("surface")))
 
     words = F.array(*[surfaces(f) for f in fields])
-    found = (
-        rows.select(key, F.explode_outer(F.flatten(words)).alias("w"))
-        .select(key, "w.*")
-        .join(lemmas, "surface", "left")
-        .withColumn("lemma", F.coalesce("lemma", "surface"))
-    )
+    each = rows.select(key, F.explode_outer(F.flatten(words)).alias("w")).select(key, "w.*")
+    if lemmas.limit(MAX_LOOKUP_ROWS + 1).count() <= MAX_LOOKUP_ROWS:
+        found = each.join(F.broadcast(lemmas), "surface", "left")
+    else:
+        found = join_counted(each, lemmas, "surface", key)
+    found = found.withColumn("lemma", F.coalesce("lemma", "surface"))
     return found.groupBy(key).agg(
         *[F.sort_array(F.collect_set(F.when(F.col("field") == f, F.col("lemma")))).alias(f) for f in fields]
     )

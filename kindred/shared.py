@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import warnings
 import zipfile
 from collections.abc import Iterable
 from pathlib import Path
@@ -27,6 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="kindred-")
+    warnings.warn(f"spark.checkpoint.dir is not set; this local session stores its tables in {folder}", stacklevel=2)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

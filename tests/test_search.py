@@ -145,6 +145,22 @@ def test_lemma_table(spark):
     assert [tuple(r) for r in rows] == [(1, ["geese", "good"], ["mouse"]), (2, [], [])]
 
 
+@pytest.mark.parametrize("share", [1, 3, 10_000])
+def test_large_lemma_table(spark, monkeypatch, share):
+    from kindred.operators import dictionary
+    from kindred.plans import text_search
+
+    items = spark.createDataFrame([(i, "mice " * (i % 3), None if i == 4 else "geese mice") for i in range(9)] + [(9, "", "")],
+                                  "item_id long, directions string, ingr string")
+    lemmas = spark.createDataFrame([("mice", "mouse"), ("unseen", "none")], "surface string, lemma string")
+    def sets():
+        return token_sets(items, "item_id", ["directions", "ingr"], lemmas=lemmas).orderBy("item_id").collect()
+    want = sets()
+    monkeypatch.setattr(text_search, "MAX_LOOKUP_ROWS", -1)
+    monkeypatch.setattr(dictionary, "HOT_SHARE", share)
+    assert sets() == want and want[1]["ingr"] == ["geese", "mouse"]
+
+
 # ------------------------------------------------------------------ tf-idf
 
 
