@@ -411,6 +411,19 @@ def test_language_model(spark, odd, hot):
     assert all(r["score"] < 0 for r in got)
 
 
+def test_frequent_words(spark):
+    """Whole classes of frequency, the highest first, as long as words and bytes stay within their bounds."""
+    counts = [(b"a", 900), (b"bb", 900), (b"c" * 50, 300), (b"d", 5), (b"e", 5), (b"f", 1)]
+    vocabulary = spark.createDataFrame(counts, "word binary, n long")
+
+    def found(*bounds):
+        return {bytes(r.word)[:1] for r in ctw.frequent(vocabulary, *bounds).collect()}
+
+    assert found(6) == {b"a", b"bb"[:1], b"c", b"d", b"e", b"f"}
+    assert found(4) == {b"a", b"b", b"c"} and found(2) == {b"a", b"b"} and found(1) == set()
+    assert found(6, 40) == {b"a", b"b"} and found(6, 2) == set()
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     pages = spark.createDataFrame([], "page_id long, url string, html string")
