@@ -46,10 +46,15 @@ RULES = (
 BLOCK_SITES = """casino-win casino-royal online-casino free-bets sport-bets bets-now cheap-pills buy-pills pills-online
 ads-track ads-server track-ads spam-farm spam-links link-farm adult-x adult-cams xxx-adult poker-win jackpot-slots
 viagra-shop free-ringtones payday-loans replica-watch warez-crack malware-download win-prize sexy-chat""".split()
-ORDINARY_SITES = """theother tioner therand tionthe thinghe thesh ththand eranble reedon ouvipa lichkeit ungbe ciongata
-osadoja mentoui city-hall open-library river-school garden-club museum hiking weather science recipes old-town
-thering ththre tiontion therst thnt theron therwh thernt ththes ththon theran tionsh ththan thered ththst tionble
-thintion handsome verwaltung leaux entender journal archive university travel-notes""".split()
+ORDINARY_SITES = """city-hall open-library river-school garden-club museum hiking weather science recipes old-town
+journal archive university travel-notes bakery railway-history harbour-news village-choir chess-club physics-notes
+maths-teacher birdwatch observatory fire-brigade county-record orchestra theatre bookshop carpenter gardening
+newspaper parliament hospital dentist veterinary plumber kindergarten grammar-school students alumni
+verwaltung stadtwerke gemeinde bibliothek wanderverein feuerwehr handwerk zeitung rathaus gesundheit
+mairie bibliotheque recettes jardinage actualites randonnee boulangerie patrimoine lycee musique
+ayuntamiento biblioteca cocina noticias escuela deportes turismo historia universidad periodico
+translation thesaurus mathematics geography literature philosophy engineering electronics architecture
+photography astronomy meteorology chemistry biology geology economics statistics languages dictionary""".split()
 PREFIXES = ["", "www.", "m.", "blog."]
 ENDINGS = [".example.com", ".example.net", ".example.org"]
 PATHS = ["/en/1207", "/de/884.html", "/fr/5310/", "/es/73", "/en/9", "/fr/2", "/de/6004/"]
