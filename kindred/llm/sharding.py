@@ -67,7 +67,8 @@ def assign(
         F.col(key).alias("_key"), size.alias("size"), F.crc32(body).alias("text_crc32"),
         F.inline(F.array(let(scores(F.col(key), [*weights, new_weight]), places))),
     )
-    part = F.substring(F.md5(F.concat_ws("#", F.coalesce(F.col("_key").cast("string"), F.lit("")), "size")), 1, 3)
+    row_name = F.concat_ws("#", F.coalesce(F.col("_key").cast("string"), F.lit("")), "size", "text_crc32")
+    part = F.substring(F.md5(row_name), 1, 3)
     rows = stored(rows.withColumn("_part", part), "shards")
 
     parts = rows.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
