@@ -6,7 +6,9 @@ import tempfile
 import uuid
 import warnings
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -33,6 +35,56 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+def _job_dir(spark: SparkSession) -> str:
+    """This application's folder of stored tables, or the one of the :func:`scratch` block it is in.
+
+    Its removal is left to the driver's file system, which does it when the application ends.
+    """
+    name = f"kindred-{spark.sparkContext.applicationId}"
+    folder = f"{shared_dir(spark)}/{name}"
+    if folder not in _FOLDERS:
+        path, system = _file_system(spark, folder)
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+        _FOLDERS.add(folder)
+    inner = _SCRATCH.get()
+    return f"{folder}/{inner}" if inner else folder
+
+
+def _file_system(spark: SparkSession, folder: str) -> tuple:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path, path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Remove what is stored inside the block when it ends; gives a ``stored`` whose tables outlive the block.
+
+    Results that read other tables of the block must be written before. Blocks may be nested; threads have their own.
+    """
+    outer = _SCRATCH.get()
+    inner = f"{outer + '/' if outer else ''}scratch-{uuid.uuid4().hex}"
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        _SCRATCH.set(outer)
+        try:
+            return stored(df, name)
+        finally:
+            _SCRATCH.set(inner)
+
+    _SCRATCH.set(inner)
+    try:
+        yield keep
+    finally:
+        path, system = _file_system(spark, _job_dir(spark))
+        _SCRATCH.set(outer)
+        system.delete(path, True)
+
+
+def _table_dir(spark: SparkSession, name: str) -> str:
+    return f"{_job_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
@@ -40,7 +92,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     re-run, and several readers share one computation.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = _table_dir(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -49,7 +101,7 @@ def stored_all(parts: Iterable[DataFrame], name: str) -> DataFrame:
     """The same for tables of one schema, written one after the other into one table; at least one."""
     path = None
     for part in parts:
-        path = path or f"{shared_dir(part.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        path = path or _table_dir(part.sparkSession, name)
         part.write.mode("append").parquet(path)
     return part.sparkSession.read.schema(part.schema).parquet(path)
 
@@ -78,3 +130,5 @@ def ship_package(spark: SparkSession) -> None:
 
 
 _SHIPPED: set[str] = set()
+_FOLDERS: set[str] = set()
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)

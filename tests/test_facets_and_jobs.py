@@ -259,3 +259,27 @@ def test_shared_folder_is_the_configured_one(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     kept = stored(spark.range(3), "three")
     assert kept.count() == 3 and shared_dir(spark) in kept.inputFiles()[0]
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    import os
+
+    from kindred.shared import scratch, stored
+
+    def folder(table):
+        return os.path.dirname(table.inputFiles()[0].removeprefix("file://").removeprefix("file:"))
+
+    with scratch(spark) as keep:
+        first = folder(stored(spark.range(3), "first"))
+        with scratch(spark) as keep_inner:
+            second = folder(stored(spark.range(4), "second"))
+            lifted = keep_inner(spark.range(5), "lifted")
+        assert os.path.exists(first) and not os.path.exists(second) and lifted.count() == 5
+        result = keep(lifted, "result")
+    assert not os.path.exists(first) and not os.path.exists(folder(lifted)) and result.count() == 5
+    with pytest.raises(ValueError), scratch(spark):
+        third = folder(stored(spark.range(2), "third"))
+        raise ValueError
+    assert not os.path.exists(third)
+    outside = stored(spark.range(2), "outside")
+    assert outside.count() == 2 and spark.sparkContext.applicationId in folder(outside)
