@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kindred.shared import stored
+from kindred.shared import scratch, stored
 
 SHINGLE = 3
 PERMUTATIONS = 60
@@ -278,19 +278,18 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``_key, _hash, n, component`` per row."""
     rows = _rows(docs, key, text)
     sketches = stored(_sketched(rows), "sketches")
-    classes = stored(
-        sketches.where("n > 0").groupBy("node").agg(
-            F.min("_key").alias("least"), F.min(F.struct("_key", "_hash")).alias("rep"), F.first("n").alias("n"),
-            F.first("bands").alias("bands"),
-        ), "classes",
-    )
-    labels = components(_links(classes, rows)).join(classes.select("node", "least"), "node")
-    smallest = labels.groupBy("root").agg(F.min("least").alias("component"))
-    moved = labels.join(smallest, "root").select("node", "component")
-    of_class = stored(
-        classes.select("node", "least").join(moved, "node", "left").select("node", F.coalesce("component", "least").alias("component")),
-        "components",
-    )
+    with scratch(docs.sparkSession) as keep:
+        classes = stored(
+            sketches.where("n > 0").groupBy("node").agg(
+                F.min("_key").alias("least"), F.min(F.struct("_key", "_hash")).alias("rep"), F.first("n").alias("n"),
+                F.first("bands").alias("bands"),
+            ), "classes",
+        )
+        labels = components(_links(classes, rows)).join(classes.select("node", "least"), "node")
+        smallest = labels.groupBy("root").agg(F.min("least").alias("component"))
+        moved = labels.join(smallest, "root").select("node", "component")
+        own = F.coalesce("component", "least").alias("component")
+        of_class = keep(classes.select("node", "least").join(moved, "node", "left").select("node", own), "components")
     found = sketches.select("_key", "_hash", "n", "node").join(of_class, "node", "left")
     return found.withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_key")))
 
@@ -304,22 +303,26 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     )
 
 
-def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of every group, its columns as they were; rows without words all stay.
-
-    The row with the smallest id stays; of rows with that id the one with the smallest text hash.
-    """
-    found = stored(_grouped(docs, key, text).where("n > 0"), "groups")
+def _losers(grouped: DataFrame) -> DataFrame:
+    """``_k, _h`` of the rows that go or that stand there several times; the others have no entry here."""
+    found = stored(grouped.where("n > 0"), "groups")
     stays = found.groupBy("component").agg(F.min_by(F.struct("_key", "_hash"), F.struct(F.col("_key").isNull(), "_key", "_hash")).alias("s"))
     same = found.groupBy("_key", "_hash").agg(F.first("component").alias("component"), F.count("*").alias("_times"))
     named = stays.select(F.col("component").alias("_of"), F.col("s._key").alias("_stay"), F.col("s._hash").alias("_stay_hash"))
     judged = same.join(named, F.col("component").eqNullSafe(F.col("_of")))
     loses = ~(F.col("_key").eqNullSafe(F.col("_stay")) & (F.col("_hash") == F.col("_stay_hash")))
-    # Only rows with something to lose are joined: the others have no entry here.
-    flags = stored(
-        judged.select(F.col("_key").alias("_k"), F.col("_hash").alias("_h"), loses.alias("_loses"), (F.col("_times") > 1).alias("_again"))
-        .where("_loses OR _again"), "losers",
-    )
+    return judged.select(
+        F.col("_key").alias("_k"), F.col("_hash").alias("_h"), loses.alias("_loses"), (F.col("_times") > 1).alias("_again")
+    ).where("_loses OR _again")
+
+
+def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of every group, its columns as they were; rows without words all stay.
+
+    The row with the smallest id stays; of rows with that id the one with the smallest text hash.
+    """
+    with scratch(docs.sparkSession) as keep:
+        flags = keep(_losers(_grouped(docs, key, text)), "losers")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     packed = docs.select(F.struct(*columns).alias("_row"), F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_hash"))
     marked = packed.join(flags, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")), "left")
