@@ -275,7 +275,7 @@ def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``_key, _hash, n, component`` per row."""
+    """``_key, _hash, n, component, root`` per row; ``root`` is the node that names the component itself, NULL without words."""
     rows = _rows(docs, key, text)
     sketches = stored(_sketched(rows), "sketches")
     with scratch(docs.sparkSession) as keep:
@@ -287,11 +287,14 @@ def _grouped(docs: DataFrame, key: str, text: str) -> DataFrame:
         )
         labels = components(_links(classes, rows)).join(classes.select("node", "least"), "node")
         smallest = labels.groupBy("root").agg(F.min("least").alias("component"))
-        moved = labels.join(smallest, "root").select("node", "component")
+        moved = labels.join(smallest, "root").select("node", "component", "root")
         own = F.coalesce("component", "least").alias("component")
-        of_class = keep(classes.select("node", "least").join(moved, "node", "left").select("node", own), "components")
+        of_class = keep(classes.select("node", "least").join(moved, "node", "left").select("node", own, "root"), "components")
     found = sketches.select("_key", "_hash", "n", "node").join(of_class, "node", "left")
-    return found.withColumn("component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_key")))
+    # An unlinked class is its own root; it is stored without one.
+    return found.withColumn("root", F.coalesce("root", "node")).withColumn(
+        "component", F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_key"))
+    )
 
 
 def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -305,11 +308,10 @@ def groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
 
 def _losers(grouped: DataFrame) -> DataFrame:
     """``_k, _h`` of the rows that go or that stand there several times; the others have no entry here."""
-    found = stored(grouped.where("n > 0"), "groups")
-    stays = found.groupBy("component").agg(F.min_by(F.struct("_key", "_hash"), F.struct(F.col("_key").isNull(), "_key", "_hash")).alias("s"))
-    same = found.groupBy("_key", "_hash").agg(F.first("component").alias("component"), F.count("*").alias("_times"))
-    named = stays.select(F.col("component").alias("_of"), F.col("s._key").alias("_stay"), F.col("s._hash").alias("_stay_hash"))
-    judged = same.join(named, F.col("component").eqNullSafe(F.col("_of")))
+    found = stored(grouped.where("n > 0").select("_key", "_hash", "root"), "groups")
+    stays = found.groupBy("root").agg(F.min_by(F.struct("_key", "_hash"), F.struct(F.col("_key").isNull(), "_key", "_hash")).alias("s"))
+    same = found.groupBy("_key", "_hash").agg(F.first("root").alias("root"), F.count("*").alias("_times"))
+    judged = same.join(stays.select("root", F.col("s._key").alias("_stay"), F.col("s._hash").alias("_stay_hash")), "root")
     loses = ~(F.col("_key").eqNullSafe(F.col("_stay")) & (F.col("_hash") == F.col("_stay_hash")))
     return judged.select(
         F.col("_key").alias("_k"), F.col("_hash").alias("_h"), loses.alias("_loses"), (F.col("_times") > 1).alias("_again")
@@ -317,9 +319,10 @@ def _losers(grouped: DataFrame) -> DataFrame:
 
 
 def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with one row of every group, its columns as they were; rows without words all stay.
+    """``docs`` with one row of every component, its columns as they were; rows without words all stay.
 
-    The row with the smallest id stays; of rows with that id the one with the smallest text hash.
+    The row with the smallest id stays, one without an id only if no row has one; of rows with that id the
+    one with the smallest text hash. Texts that nothing links are never one group, whatever ids they have.
     """
     with scratch(docs.sparkSession) as keep:
         flags = keep(_losers(_grouped(docs, key, text)), "losers")

@@ -299,6 +299,38 @@ def test_near_dups(spark, rows):
     assert kept.count() == len({r["component_id"] for r in got if r["n_shingles"]} | set()) + sum(not r["n_shingles"] for r in got)
 
 
+def plain_survivors(rows):
+    """Per linked component the smallest id that stays, every row without words."""
+    sets = [frozenset(near_dups.shingles(text, near_dups._WordHashes()).tolist()) for _, text in rows]
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and sets[j] and label[i] != label[j] and 100 * len(a & sets[j]) >= 85 * len(a | sets[j]):
+                old, new = label[i], label[j]
+                label = [new if x == old else x for x in label]
+    members = collections.defaultdict(list)
+    for (key, _), one, a in zip(rows, label, sets, strict=True):
+        if a:
+            members[one].append(key)
+    ids = [min((k for k in keys if k is not None), default=None) for keys in members.values()]
+    return collections.Counter([*ids, *(key for (key, _), a in zip(rows, sets, strict=True) if not a)])
+
+
+def shared_ids():
+    """Texts under no id or one id: most of them linked with nothing, some of them copies or near copies."""
+    rows = [(None if i % 2 else 77, " ".join(f"t{i}x{k}" for k in range(60))) for i in range(24)]
+    near = [(None if i % 3 else 5, text) for i, text in near_copies(11, 3, 6, 90)]
+    return rows + near + rows[:5] + [(None, None), (None, ""), (500, rows[1][1])]
+
+
+def test_near_dups_of_rows_without_an_id_of_their_own(spark):
+    """Rows are one group by their links only: every text that nothing links stays, under NULL or one id as well."""
+    rows = shared_ids()
+    kept = near_dups.deduplicated(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {text for _, text in rows[:24]} <= {r.text for r in kept}
+    assert collections.Counter(r.doc_id for r in kept) == plain_survivors(rows)
+
+
 def test_near_dups_in_small_blocks(spark, monkeypatch):
     """The same groups when buckets are cut into many blocks."""
     monkeypatch.setattr(near_dups, "BLOCK_CLASSES", 8)
@@ -449,6 +481,36 @@ def test_pipeline_stages(spark, odd, tmp_path):
     assert docs.count() > 0 and set(docs.columns) >= {"doc_id", "shard", "slot"}
 
 
+def test_pipeline_against_plain_stages(spark, tmp_path):
+    """Rows out of the first three stages by id, and words out of the mix, are those of plain versions."""
+    bench = spark.read.parquet(f"{SMALL}/benchmark.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    small = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(150).collect()]
+    rows = shared_ids() + [(key if i % 3 else None, text) for i, (key, text) in enumerate(small)]
+    docs = spark.createDataFrame([(*row, "ab"[i % 2]) for i, row in enumerate(rows)], "doc_id long, text string, source string")
+    strict = quality_rules.mask(quality_rules.RULE_NAMES)
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        before = [(r.doc_id, r.text, r.source) for r in docs.collect()]
+        stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{name}")
+        after = spark.read.parquet(f"{tmp_path}/{name}")
+        got = [(r.doc_id, r.text, r.source) for r in after.collect()]
+        if name == "quality rules":
+            bits = quality_rules.ledger(docs).where(f"fail_bits & {strict} = 0")
+            assert collections.Counter(x[0] for x in got) == collections.Counter(r.doc_id for r in bits.collect())
+        elif name == "near-duplicates":
+            assert len(got) < len(before)
+            assert collections.Counter(x[0] for x in got) == plain_survivors([x[:2] for x in before])
+        elif name == "decontamination":
+            assert collections.Counter(got) == collections.Counter(x for x in before if not plain_contamination(x[1], items)[4])
+        else:
+            sizes, target = plain_mix(before)
+            for source in sizes:
+                of_source = [len(words_of(x[1])) for x in got if x[2] == source]
+                assert abs(sum(of_source) - target[source]) <= max(len(words_of(x[1])) for x in before if x[2] == source)
+        docs = after
+
+
 def test_queries_are_registered():
     import __spark_entry__
 
