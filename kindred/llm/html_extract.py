@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -29,6 +30,8 @@ INLINE = frozenset(
     strike strong sub sup time tt u var wbr""".split()
 )
 SKIPPED = frozenset("script style noscript template textarea select option button iframe svg math title object canvas".split())
+# Their content is plain text up to their own end tag, whatever it holds.
+RAW = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in "script style noscript textarea iframe title".split()}
 FURNITURE = frozenset("head nav header footer aside form dialog menu".split())
 BODY = frozenset("article main".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -76,7 +79,8 @@ def blocks(page: str) -> list[Block]:
         text.clear()
         linked.clear()
 
-    for token in _TOKEN.finditer(page):
+    inside_option: list[str] = []
+    for token in _tokens(page):
         tag = token["tag"]
         if tag is None:
             piece = token.group()
@@ -90,9 +94,13 @@ def blocks(page: str) -> list[Block]:
         if skip:
             if ends and tag == skip:
                 skip = ""
-            continue
+                continue
+            if skip != "option" or not _leaves_option(inside_option, tag, ends):
+                continue
+            skip = ""
         if tag in SKIPPED and not ends:
             skip = "" if token["rest"].endswith("/") else tag
+            inside_option.clear()
             text.append(" ")
         elif tag in INLINE:
             if tag == "a":
@@ -117,6 +125,37 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _tokens(page: str) -> Iterator[re.Match]:
+    """The tokens of a page; after the start tag of a raw-text element its end tag comes next, or the end of the page."""
+    at, foreign = 0, ""
+    while at < len(page):
+        for token in _TOKEN.finditer(page, at):
+            yield token
+            at = token.end()
+            tag = (token["tag"] or "").lower()
+            if tag in ("svg", "math"):
+                if token["end"]:
+                    foreign = "" if tag == foreign else foreign
+                elif not foreign and not token["rest"].endswith("/"):
+                    foreign = tag
+            if tag in RAW and not token["end"] and not token["rest"].endswith("/") and not foreign:
+                end = RAW[tag].search(page, at)
+                at = end.start() if end else len(page)
+                break
+
+
+def _leaves_option(inside: list[str], tag: str, ends: bool) -> bool:
+    """Whether a tag ends an open option, whose end tag may be left out: the end of an element around it does."""
+    if not ends:
+        if tag not in VOID:
+            inside.append(tag)
+    elif tag in inside:
+        del inside[len(inside) - 1 - inside[::-1].index(tag) :]
+    else:
+        return True
+    return False
+
+
 def _pop(open_tags: list[tuple[str, bool, bool]], tag: str) -> None:
     for place in range(len(open_tags) - 1, -1, -1):
         if open_tags[place][0] == tag:

@@ -197,6 +197,19 @@ def test_html(spark):
     assert (html_extract.keep(html_extract.trained(), rows) == labels).all()
 
 
+@pytest.mark.parametrize("before", [
+    "<script>for(i=0;i<n;i++){f(i)}</script>", "<SCRIPT>if(a<b&&c>d)e='<!--'</Script >", "<style>a::after{content:'<b'}</style>",
+    "<textarea><x '</textarea>", "<noscript><img src='a></noscript>", "<datalist><option value=a></datalist>",
+    "<datalist><option value=a><option value=b>B</option><optgroup><option>C<b>d</b></optgroup></datalist>",
+    "<select><option>One<option>Two</select>", "<template><script>a<b</script></template>", "<svg><title>A<b/></title></svg>",
+    "<div><option>A</div>",
+])
+def test_html_after_skipped_elements(before):
+    """The article after an element that is passed over is whole, and nothing of that element is in it."""
+    page = f"<body>{before}<article><h1>Owls</h1><p>They hear a mouse under the snow.</p></article><script>var a=1</script><p>"
+    assert [b.text for b in html_extract.blocks(page)] == ["Owls", "They hear a mouse under the snow."]
+
+
 def test_html_of_the_pages(spark):
     """Held out: on the driver's pages the article's blocks, by its own tags, are what is kept."""
     for row in spark.read.parquet(f"{SMALL}/pages.parquet").collect():
