@@ -31,6 +31,15 @@ _DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)+")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+# Characters of a number by country, blanks not counted.
+IBAN_LENGTHS = {
+    country: int(length) for length, countries in (x.split(":") for x in (
+        "15:NO 16:BE 18:DK,FK,FI,FO,GL,NL,SD 19:MK,SI 20:AT,BA,EE,KZ,LT,LU,MN,XK 21:CH,HR,LI,LV "
+        "22:BG,BH,CR,DE,GB,GE,IE,ME,RS,VA 23:AE,GI,IL,IQ,OM,SO,TL 24:AD,CZ,ES,MD,PK,RO,SA,SE,SK,TN,VG 25:AO,CV,GW,LY,MZ,PT,ST "
+        "26:DZ,IR,IS,TR 27:BI,CF,CG,CM,DJ,GA,GQ,KM,MG,TD,FR,GR,IT,MC,MR,SM 28:AL,AZ,BF,BJ,BY,CI,CY,DO,GT,HN,HU,LB,MA,ML,NE,NI,PL,SN,SV,TG "
+        "29:BR,EG,PS,QA,UA 30:JO,KW,MU,YE 31:MT,SC 32:LC 33:RU"
+    ).split()) for country in countries.split(",")
+}
 _NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
 _SECRET = re.compile(r"(?<![A-Za-z0-9])(?:[0-9a-f]{32,64}|[0-9A-F]{32,64})(?![A-Za-z0-9])")
 
@@ -121,7 +130,22 @@ def _phones(text: str) -> list[tuple[int, int]]:
 
 
 def _ibans(text: str) -> list[tuple[int, int]]:
-    return [m.span() for m in _IBAN.finditer(text) if mod97(m.group().replace(" ", ""))]
+    """Proposed spans, cut at a blank where words follow the number; what is no number is searched from its next place on.
+
+    The ending at the country's length goes first, then the whole span.
+    """
+    out, m = [], _IBAN.search(text)
+    while m:
+        start, ends = m.start(), [m.end()]
+        ends += [m.end() - k for k in range(1, m.end() - m.start()) if text[m.end() - k] == " "]
+        length = IBAN_LENGTHS.get(text[start : start + 2])
+        sizes = {end: end - start - text.count(" ", start, end) for end in ends}
+        tried = [e for e in ends if sizes[e] == length] + ends[:1]
+        end = next((e for e in tried if mod97(text[start:e].replace(" ", ""))), None)
+        if end is not None:
+            out.append((start, end))
+        m = _IBAN.search(text, start + 1 if end is None else end)
+    return out
 
 
 def _plain(pattern: re.Pattern) -> callable:

@@ -133,6 +133,21 @@ def test_pii(spark):
         assert row["n_iban"] == (row["doc_id"] == 800) and row["n_national_id"] == (row["doc_id"] == 804)
 
 
+@pytest.mark.parametrize("number", [
+    "AT61 1904 3002 3457 3201", "ES91 2100 0418 4502 0005 1332", "SE45 5000 0000 0583 9825 7466", "BE68 5390 0754 7034",
+    "PL61 1090 1014 0000 0712 1981 2874", "DE89 3704 0044 0532 0130 00", "GB29NWBK60161331926819",
+])
+@pytest.mark.parametrize("after", [
+    "", " BIC OPSKATWW", " EUR", " PAID", " VISA", " EUR 120", " SWIFT", " AT61 1904 3002 3457 3201", " BE68 5390 0754 7034 BIC",
+])
+def test_iban_before_other_words(number, after):
+    """A number ends where its country's length ends, whatever upper-case words or numbers follow."""
+    text = "REF " + number + after
+    found = [text[s:e] for s, e in pii._ibans(text)]
+    more = [x for x in (after[1:], after[1:].removesuffix(" BIC")) if pii._IBAN.fullmatch(x) and pii.mod97(x.replace(" ", ""))]
+    assert found == [number, *more[:1]]
+
+
 def plain_mix(rows):
     """Targets by repeated sharing, and each source's taken words."""
     sizes = collections.Counter()
