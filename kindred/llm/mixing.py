@@ -10,7 +10,8 @@ the budget ends is cut into 256 again, three times in all, and only the rows of
 a map with a join against the small table of sources.
 
 Defined cases: a NULL text has size 0; NULL is a source of its own, the last one; a source without
-words has target 0; rows equal in key and id are taken together; NULL ids are hashed as the empty id.
+words has target 0; NULL ids are hashed as the empty id. Rows equal in key, id and size are one line with a
+count at the cut, and as many of them are taken as the budget holds; which ones is open.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from kindred.shared import stored
 
 MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
+PARTS = 4096
 RANK_BITS = 24
 STEP_BITS = 8
 SEED = "mix-1"
@@ -85,7 +87,8 @@ def targets(rows: DataFrame) -> DataFrame:
 
 
 def plan(rows: DataFrame) -> DataFrame:
-    """The cut of every source: ``source_size, target, _epochs`` and the last rank, key and id of the fraction."""
+    """The cut of every source: ``source_size, target, _epochs``, the last rank, key, id and size of the fraction
+    and how many of the rows equal in these it takes (``_fits``)."""
     state = stored(targets(rows).withColumn("_prefix", F.lit(0)), "mix-targets")
     for shift in range(RANK_BITS - STEP_BITS, -1, -STEP_BITS):
         inside = _joined(rows, state).where(F.shiftright("_rank", shift + STEP_BITS) == F.col("_prefix"))
@@ -103,13 +106,17 @@ def plan(rows: DataFrame) -> DataFrame:
         )
         state = stored(state, "mix-state")
     last = _joined(rows, state).where(F.col("_rank") == F.col("_prefix"))
-    order = Window.partitionBy("_source").orderBy("_key", "_id").rowsBetween(Window.unboundedPreceding, 0)
-    fits = F.sum("_size").over(order) - F.col("_size") / 2 <= F.col("_left")
-    cut = last.withColumn("_fits", fits).where("_fits").groupBy(F.col("_source").alias("_of")).agg(
-        F.max(F.struct("_key", "_id")).alias("_cut")
-    )
+    lines = last.groupBy("_source", "_key", "_id", "_size", "_left").agg(F.count("*").alias("_n"))
+    order = Window.partitionBy("_source").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, 0)
+    room = F.col("_left") - (F.sum(F.col("_n") * F.col("_size")).over(order) - F.col("_n") * F.col("_size"))
+    # A row fits if the budget reaches its middle; rows without words as long as any budget is left.
+    held = F.when(F.col("_size") > 0, F.floor(room / F.col("_size") + 0.5)).otherwise(F.when(room >= 0, F.col("_n")).otherwise(0))
+    fits = F.least(F.col("_n"), held.cast("long"))
+    cut = lines.withColumn("_fits", fits).where("_fits > 0").groupBy(F.col("_source").alias("_of")).agg(
+        F.max(F.struct("_key", "_id", "_size", "_fits")).alias("_last")
+    ).select("_of", F.struct("_last._key", "_last._id", "_last._size").alias("_cut"), F.col("_last._fits").alias("_fits"))
     whole = state.join(cut, F.col("_source").eqNullSafe(F.col("_of")), "left")
-    return stored(whole.select("_source", "source_size", "target", "_epochs", "_prefix", "_cut"), "mix-plan")
+    return stored(whole.select("_source", "source_size", "target", "_epochs", "_prefix", "_cut", "_fits"), "mix-plan")
 
 
 def _joined(rows: DataFrame, state: DataFrame) -> DataFrame:
@@ -120,13 +127,30 @@ def _joined(rows: DataFrame, state: DataFrame) -> DataFrame:
 
 def take(rows: DataFrame, cuts: DataFrame) -> DataFrame:
     """``rows`` with ``source_size, target`` and ``copies``, how often the mix takes the row."""
-    under = (F.col("_rank") < F.col("_prefix")) | (
-        (F.col("_rank") == F.col("_prefix")) & (F.struct("_key", "_id") <= F.col("_cut"))
-    )
-    copies = F.col("_epochs") + F.when(F.coalesce(under, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
-    return _joined(rows, cuts).withColumn("copies", F.least(copies, F.lit(MAX_EPOCHS))).drop(
-        "_epochs", "_prefix", "_cut"
+    names = [*rows.columns, "source_size", "target"]
+    joined = _joined(rows, cuts)
+    place = F.struct("_key", "_id", "_size")
+    at_cut = F.coalesce((F.col("_rank") == F.col("_prefix")) & (place == F.col("_cut")), F.lit(False))
+    under = (F.col("_rank") < F.col("_prefix")) | ((F.col("_rank") == F.col("_prefix")) & (place < F.col("_cut")))
+
+    def copies(extra: Column) -> Column:
+        more = F.when(F.coalesce(extra, F.lit(False)), F.lit(1)).otherwise(F.lit(0))
+        return F.least(F.col("_epochs") + more, F.lit(MAX_EPOCHS)).alias("copies")
+
+    # The equal rows at the cut are stored as dealt out and numbered in parts, so no task holds a hot group.
+    dealt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(PARTS)).cast("int")
+    edge = stored(joined.where(at_cut).withColumn("_part", dealt), "mix-edge")
+    parts = edge.groupBy("_source", "_part").agg(F.count("*").alias("_n"))
+    earlier = Window.partitionBy("_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        F.col("_source").alias("_of"), F.col("_part").alias("_of_part"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset")
     )
+    same = F.col("_source").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_of_part"))
+    numbered = edge.withColumn(
+        "_number", F.row_number().over(Window.partitionBy("_source", "_part").orderBy("_key"))
+    ).join(offsets, same)
+    taken = numbered.select(*names, copies(F.col("_offset") + F.col("_number") <= F.col("_fits")))
+    return joined.where(~at_cut).select(*names, copies(under)).unionByName(taken)
 
 
 def mix(docs: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:

@@ -194,6 +194,20 @@ def test_mixing(request, table):
     assert mixing.sampled(docs).count() == sum(r["copies"] for r in collected(whole))
 
 
+@pytest.mark.parametrize("key", [None, 7])
+def test_mixing_of_equal_rows(spark, key):
+    """Copies at the cut are taken one by one: each source meets its target to half a row."""
+    rows = [(key, "the same words stand here", "a")] * 400 + [(i, f"row number {i}", "b") for i in range(300)]
+    rows += [(key, "the same words stand here", "c")] * 90 + [(i, f"row number {i}", "c") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    whole = collected(mixing.mix(docs))
+    assert len(whole) == len(rows)
+    for source in (400 * 5, 300 * 3, 90 * 5 + 20 * 3):
+        of_source = [r for r in whole if r["source_size"] == source]
+        assert abs(sum(r["taken"] for r in of_source) - of_source[0]["target"]) <= 2.5
+    assert mixing.sampled(docs).count() == sum(r["taken"] // r["size"] for r in whole)
+
+
 def test_html(spark):
     pages = [
         (1, "u", "<body><nav><a href=1>Home</a></nav><article><h1>A &amp; B</h1><p>First  <b>bold\n</b>text.<br>Next<p>Second"),
