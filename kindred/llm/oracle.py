@@ -46,4 +46,18 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM d LEFT JOIN n USING (r) LEFT JOIN k USING (r)"""
 
-ORACLE: dict[str, str] = {"op1_quality_rules": _QUALITY, "op9_decontaminate": _CONTAMINATION}
+_SUBSTRINGS = r"""
+WITH d AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+g AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 19], ' ')) AS h
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d WHERE len(ws) >= 20)),
+o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS turn FROM g),
+p AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS place FROM o WHERE turn > 1),
+s AS (SELECT doc_id, list(place) AS gone FROM p GROUP BY doc_id)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN ws
+    ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN s USING (doc_id)"""
+
+ORACLE: dict[str, str] = {
+    "op1_quality_rules": _QUALITY, "op9_decontaminate": _CONTAMINATION, "op11_substring_dups": _SUBSTRINGS,
+}

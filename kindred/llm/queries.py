@@ -17,6 +17,7 @@ from kindred.llm import (
     pii,
     quality_rules,
     sharding,
+    substring_dups,
     url_filter,
 )
 from kindred.shared import ship_package
@@ -77,6 +78,10 @@ def op10_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score(_table(spark, sf_dir, "documents"))
 
 
+def op11_substring_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dups.repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,6 +95,6 @@ QUERIES: dict[str, Query] = {
     query.__name__: _shipped(query)
     for query in (
         op1_quality_rules, op2_pii, op3_mixing, op4_html_extract, op5_url_filter, op6_sharding, op7_near_dups, op8_licenses,
-        op9_decontaminate, op10_ctw,
+        op9_decontaminate, op10_ctw, op11_substring_dups,
     )
 }
