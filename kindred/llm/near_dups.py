@@ -27,6 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kindred.llm.bitmaps import bitmap, only_marked, with_mark
 from kindred.shared import scratch, stored
 
 SHINGLE = 3
@@ -247,15 +248,18 @@ def _links(classes: DataFrame, rows: DataFrame) -> DataFrame:
     """All confirmed links between classes, as edges ``a, b`` that span the same components."""
     banded = classes.select("node", "n", F.explode("bands").alias("bucket"))
     # Only bucket numbers are shuffled to find the buckets with company; most classes end here.
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1")
-    members = stored(banded.join(shared, "bucket"), "members")
-    pivots = members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot"))
+    shared = stored(banded.groupBy("bucket").agg(F.count("*").alias("c")).where("c > 1"), "buckets")
+    members = stored(only_marked(banded, F.col("bucket"), bitmap(shared, "bucket")).join(shared, "bucket"), "members")
+    # Stored, so that the join with it is one whose large partitions can be split.
+    pivots = stored(members.groupBy("bucket").agg(F.min(F.struct("node", "n")).alias("pivot")), "pivots")
 
     needed = members.select("node").distinct().join(classes.select("node", "rep"), "node")
     named = needed.select("node", F.col("rep._key").alias("_rep_key"), F.col("rep._hash").alias("_rep_hash"))
-    same = rows["_key"].eqNullSafe(named["_rep_key"]) & (rows["_hash"] == named["_rep_hash"])
+    # The texts of other rows are dropped before the shuffle.
+    asked = only_marked(rows, F.xxhash64("_key", "_hash"), bitmap(named.select(F.xxhash64("_rep_key", "_rep_hash").alias("h")), "h"))
+    same = F.col("_key").eqNullSafe(F.col("_rep_key")) & (F.col("_hash") == F.col("_rep_hash"))
     texts = stored(
-        rows.join(named, same).groupBy("_rep_key", "_rep_hash", "node").agg(F.first("_text").alias("text")).select("node", "text"),
+        asked.join(named, same).groupBy("_rep_key", "_rep_hash", "node").agg(F.first("_text").alias("text")).select("node", "text"),
         "texts",
     )
 
@@ -322,14 +326,18 @@ def deduplicated(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     """``docs`` with one row of every component, its columns as they were; rows without words all stay.
 
     The row with the smallest id stays, one without an id only if no row has one; of rows with that id the
-    one with the smallest text hash. Texts that nothing links are never one group, whatever ids they have.
+    one with the smallest text hash, of rows equal in both the one with the smallest other columns. Texts that
+    nothing links are never one group, whatever ids they have. Columns of maps cannot be compared and are an error.
     """
     with scratch(docs.sparkSession) as keep:
         flags = keep(_losers(_grouped(docs, key, text)), "losers")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     packed = docs.select(F.struct(*columns).alias("_row"), F.col(key).alias("_key"), F.xxhash64(F.col(text)).alias("_hash"))
-    marked = packed.join(flags, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")), "left")
-    kept = marked.where(~F.coalesce("_loses", F.lit(False)))
-    single = kept.where(~F.coalesce("_again", F.lit(False))).select("_row.*")
-    repeated = kept.where(F.coalesce("_again", F.lit(False))).groupBy("_key", "_hash").agg(F.first("_row").alias("_row"))
-    return single.union(repeated.select("_row.*"))
+    # Most rows are in no list: they are kept where they lie, and only the others are shuffled, once.
+    listed = bitmap(flags.select(F.xxhash64("_k", "_h").alias("h")), "h")
+    marked = with_mark(packed, F.xxhash64("_key", "_hash"), listed, "_may")
+    joined = marked.where("_may").join(flags, F.col("_key").eqNullSafe(F.col("_k")) & (F.col("_hash") == F.col("_h")), "left")
+    kept = stored(joined.where(~F.coalesce("_loses", F.lit(False))).select("_row", "_key", "_hash", "_again"), "kept")
+    single = kept.where(~F.coalesce("_again", F.lit(False)))
+    repeated = kept.where(F.coalesce("_again", F.lit(False))).groupBy("_key", "_hash").agg(F.min("_row").alias("_row"))
+    return marked.where("NOT _may").select("_row.*").union(single.select("_row.*")).union(repeated.select("_row.*"))
