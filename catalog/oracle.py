@@ -558,4 +558,47 @@ ORACLE |= {
         "CASE WHEN o_orderstatus = 'F' THEN 'order/' || item_id END AS url FROM top LEFT JOIN orders ON o_orderkey = item_id",
     ),
     "facets_csv_roundtrip": f"WITH {FACETS} SELECT * FROM facets",
+    "word_overlap_postings": ORACLE["word_overlap_topk"],
+    "vector_topk_cells": ORACLE["vector_topk"],
+    "tfidf_vocab_two_pass": ORACLE["tfidf_vocab"],
+    "facet_filter_clustered": ORACLE["facet_filter"],
+    "facet_filter_packed": ORACLE["facet_filter"],
+    "facet_match_packed": ORACLE["facet_match"],
+    "zero_shot_columns": ORACLE["zero_shot"],
+    "encoded_csv_roundtrip": ORACLE["feature_build_encoded"],
+    "golden_file": ORACLE["golden_explode"],
+}
+
+# A vocabulary as a table, in an order of its own.
+VOCABULARY = """v AS (SELECT name, md5(name) AS pos FROM (
+    SELECT p_brand AS name FROM part UNION SELECT p_name FROM part UNION SELECT unnest(string_split(p_name, ' ')) FROM part))"""
+
+ORACLE |= {
+    "first_category_table": f"""WITH {VOCABULARY} SELECT p_partkey, coalesce(min_by(name, pos), 'None') AS category
+        FROM part LEFT JOIN v ON contains(p_name, name) GROUP BY p_partkey""",
+    "vocab_split_table": f"""WITH {VOCABULARY},
+        a AS (SELECT '\\b(?:' || string_agg(name, '|' ORDER BY pos) || ')\\b' AS pattern FROM v),
+        s AS (SELECT p_partkey, unnest([{PART_CATEGORIES}, p_name]) AS cat FROM part),
+        x AS (SELECT p_partkey, cat, pattern, regexp_extract_all(cat, pattern) AS found FROM s, a),
+        y AS (SELECT DISTINCT p_partkey, unnest(CASE WHEN len(found) = 0 THEN [cat] ELSE list_concat(found, list_filter(
+          list_transform(string_split_regex(cat, pattern), lambda p: trim(p)), lambda p: p <> '')) END) AS part FROM x)
+        SELECT p_partkey, string_agg(part, ', ' ORDER BY part) AS parts FROM y GROUP BY p_partkey""",
+    "request_guards": """SELECT o_orderkey, CASE WHEN o_custkey % 60 NOT BETWEEN 1 AND 50 THEN 'k_out_of_range'
+        WHEN o_orderstatus = 'P' THEN 'no_filter_features' ELSE 'ok' END AS status FROM orders""",
+    "csv_bad_cells": """SELECT 'calories' AS "column", count(*) FILTER (o_orderstatus = 'F') AS unreadable, count(*) AS n FROM orders
+        UNION ALL SELECT 'time_mins', count(*), count(*) FROM orders UNION ALL SELECT 'fat', 0, count(*) FROM orders""",
+    "positional_align": """SELECT row_number() OVER (ORDER BY doc_id) - 1 AS pos, doc_id, length(text)::INT AS n, lang,
+        sha256(text) AS digest FROM documents""",
+    "label_batches": f"""WITH {RAW},
+        lines AS (SELECT item_id, fat, unnest(string_split(ingr, ',  ')) AS line FROM raw),
+        line AS (SELECT line, bool_or(fat <= 10) AS early FROM lines GROUP BY line),
+        {lexicon('line', 'line', 'line', K.INGREDIENT_LEXICON, 'grp')}
+        SELECT item_id, line, CASE WHEN score > 0.6::DOUBLE THEN label END AS grp,
+          CASE WHEN early THEN 'first' ELSE 'second' END AS batch FROM lines JOIN line USING (line) JOIN grp USING (line)""",
+    "candidates_per_query": f"""WITH {VECTORS}, {FACETS} SELECT q.item_id AS query_id, i.item_id
+        FROM vectors q CROSS JOIN vectors i JOIN facets f ON f.item_id = i.item_id
+        WHERE f.calories >= 1000 AND f.calories <= 100000.0 + q.label * 50000
+          AND (q.label < 3 OR q.label >= 6 OR f.cooking_methods IN ('1-URGENT', '5-LOW'))
+          AND (q.label <= 7 OR f.nuts = 0) AND (q.label <> 4 OR f.time_mins <= 150)
+          AND f.protein BETWEEN 0 AND 40 AND f.fat BETWEEN 0 AND 50 AND f.carbs BETWEEN 0 AND 100""",
 }

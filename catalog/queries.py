@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 from functools import wraps
@@ -12,10 +13,23 @@ from pyspark.sql import functions as F
 from catalog import standins as S
 from kindred import constants as K
 from kindred.functions import models, scalars, tokens, vectors
-from kindred.operators import dictionary, facets, flags, topk
-from kindred.plans import evaluation, feature_build, filtered_search, text_search, tfidf_search, vector_search
+from kindred.operators import dictionary, facets, flags, packed, range_grid, topk
+from kindred.plans import (
+    clustered_facets,
+    evaluation,
+    feature_build,
+    filtered_search,
+    frequent_ngrams,
+    label_store,
+    postings_search,
+    text_search,
+    tfidf_search,
+    vector_cells,
+    vector_search,
+    vocabulary_join,
+)
 from kindred.shared import shared_dir, ship_package, stored
-from kindred.sources import schemas, tables
+from kindred.sources import positions, schemas, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +58,38 @@ def facet_filter(spark, sf):
     return FILTER.candidates(S.facets(spark, sf))
 
 
+def facet_filter_clustered(spark, sf):
+    """The same filter over facets written along a curve, so that it skips row groups."""
+    path = _folder(spark, "curve")
+    rows = S.facets(spark, sf)
+    clustered_facets.write_clustered(rows, path, row_group_bytes=64 * 1024)
+    return FILTER.candidates(spark.read.schema(rows.schema).parquet(path))
+
+
+def facet_filter_packed(spark, sf):
+    """The same filter with methods and exclusions as masks of bits."""
+    rows = S.facets(spark, sf)
+    methods = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+    layout = packed.PackedFacets.of(K.FLAG_COLUMNS, {"cooking_methods": methods})
+    ranges = dataclasses.replace(FILTER, methods=(), exclude=())
+    bits = layout.pack(rows, "item_id", *K.NUTRIENT_COLUMNS, "time_mins").where(ranges.predicate())
+    excluded = layout.none_of([g.lower() for g in FILTER.exclude])
+    return bits.where(layout.one_of("cooking_methods", FILTER.methods) & excluded).select("item_id")
+
+
+def facet_match_packed(spark, sf):
+    layout = packed.PackedFacets.of(labels={"label": range(10), "first_sign": [0, 1], "second_sign": ["up", "down"]})
+    bits = layout.pack(S.vectors(spark, sf), "item_id")
+    return bits.select("item_id", layout.matches(MATCH_VALUES).alias("matches"))
+
+
+def request_guards(spark, sf):
+    """Orders as search requests: the customer number as k, the status as the wanted facet."""
+    features = F.nullif(F.col("o_orderstatus"), F.lit("P")).isNotNull()
+    status = facets.request_status(F.col("o_custkey") % 60, K.USER_K_MAX, features)
+    return S.table(spark, sf, "orders").select("o_orderkey", status.alias("status"))
+
+
 def facet_gate(spark, sf):
     return facets.gate_by_group(S.facets(spark, sf), "meal", FILTER.predicate())
 
@@ -114,6 +160,22 @@ def vocab_split(spark, sf):
     )
 
 
+def _part_vocabulary(spark, sf):
+    """Brands, names and words of names, in an order of their own."""
+    words = F.concat(F.array("p_brand", "p_name"), F.split("p_name", " ", -1))
+    names = S.table(spark, sf, "part").select(F.explode(words).alias("name")).distinct()
+    return names.withColumn("pos", F.conv(F.substring(F.md5("name"), 1, 15), 16, 10).cast("bigint"))
+
+
+def first_category_table(spark, sf):
+    return vocabulary_join.first_category(S.table(spark, sf, "part"), "p_partkey", "p_name", _part_vocabulary(spark, sf))
+
+
+def vocab_split_table(spark, sf):
+    rows = S.table(spark, sf, "part").select("p_partkey", F.array(S.part_categories(), F.col("p_name")).alias("names"))
+    return vocabulary_join.split_by_vocabulary(rows, "p_partkey", "names", _part_vocabulary(spark, sf))
+
+
 def clean_categories(spark, sf):
     return S.text_table(spark, sf, "part", "p_partkey").select(
         "p_partkey", scalars.clean_categories(S.part_categories(), CLEAN_VOCABULARY).alias("categories")
@@ -165,6 +227,16 @@ def array_roundtrip(spark, sf):
     )
 
 
+def golden_file(spark, sf):
+    """The same pairs written as golden files, a hundred conversations to a file, and read back."""
+    path = _folder(spark, "golden")
+    pairs = S.replies(spark, sf).withColumn("part", F.expr("query_id DIV 100000"))
+    entry = F.struct(F.col("query_id").cast("string").alias("key"), F.array("relevant_id", "query_id").alias("value"))
+    objects = pairs.groupBy("part").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+    objects.write.partitionBy("part").text(path)
+    return tables.read_golden(spark, path)
+
+
 def golden_explode(spark, sf):
     """Golden JSON written from the replies, then read with the golden parser."""
     pairs = S.replies(spark, sf)
@@ -181,6 +253,12 @@ def word_overlap_topk(spark, sf):
     return index.search(S.benchmark_queries(spark, sf), 10)
 
 
+def word_overlap_postings(spark, sf):
+    """The same lists from an inverted index, rare words first."""
+    index = postings_search.PostingsIndex.fit(S.documents(spark, sf), _folder(spark, "postings"))
+    return index.search(S.benchmark_queries(spark, sf), 10)
+
+
 def _blocks(asked):
     """Half the queries to a broadcast: the way of a query table too large for one, at every scale."""
     return {"max_rows": max(1, asked.count() // 2)}
@@ -213,6 +291,12 @@ def tfidf_vocab(spark, sf):
     return rounded(tfidf_search.char_vocabulary(counted, docs.count()), "idf")
 
 
+def tfidf_vocab_two_pass(spark, sf):
+    """The same vocabulary from bounded summaries and exact counts of their survivors."""
+    docs = _docs(spark, sf)
+    return rounded(frequent_ngrams.char_vocabulary(docs, docs.count()), "idf")
+
+
 def tfidf_idf(spark, sf):
     docs = _docs(spark, sf)
     known = tfidf_search.word_vocabulary(tfidf_search.frequencies(docs, char_sizes=None), docs.count())
@@ -256,6 +340,12 @@ def vector_topk_blocks(spark, sf):
     return rounded(_index(spark, sf).search(asked, 10, demote=None, scan=_blocks(asked)), "score")
 
 
+def vector_topk_cells(spark, sf):
+    """The same lists from cells that the triangle inequality can rule out."""
+    index = vector_cells.CellIndex.fit(S.vectors(spark, sf), _folder(spark, "cells"))
+    return rounded(index.search(S.vector_queries(spark, sf), 10), "score")
+
+
 def vector_topk_some_facets(spark, sf):
     """Most items have no facets; a search without limits finds them all the same."""
     some = FILTER.candidates(S.facets(spark, sf))
@@ -317,6 +407,12 @@ def zero_shot(spark, sf):
     return rounded(rows.select("doc_id", "best.label", "best.score"), "score")
 
 
+def zero_shot_columns(spark, sf):
+    best = models.lexicon_label(F.col("text"), LANGUAGE_LEXICON, ["Pronoun", "Article", "French"])
+    rows = S.text_table(spark, sf, "documents", "doc_id").select("doc_id", best.alias("best"))
+    return rounded(rows.select("doc_id", "best.label", "best.score"), "score")
+
+
 LANGUAGE_LEXICON = {"Pronoun": ["it", "that", "they"], "Article": ["the", "an", "la"], "French": ["le", "la", "des"]}
 LANGUAGE_CLASSIFIER = models.partial(models.lexicon_classifier, LANGUAGE_LEXICON)
 
@@ -359,6 +455,36 @@ def facets_csv_roundtrip(spark, sf):
     return tables.read_csv(spark, path, headers, key="id")
 
 
+def encoded_csv_roundtrip(spark, sf):
+    """Facets with labels as codes written as CSV and read back."""
+    path = _folder(spark, "encoded")
+    rows = feature_build.build_features(S.raw_items(spark, sf)).facets_encoded
+    tables.write_csv(rows, path, {"id": "item_id", **schemas.FACET_HEADERS})
+    return tables.read_csv(spark, path, schemas.FACET_HEADERS, key="id", labels_as_codes=True)
+
+
+def csv_bad_cells(spark, sf):
+    """Orders as facets in which some prices and days are words."""
+    path = _folder(spark, "bad")
+    price = F.when(F.col("o_orderstatus") == "F", F.lit("dear")).otherwise(F.col("o_totalprice").cast("string"))
+    day = F.when(F.col("o_orderpriority") == "5-LOW", F.lit("")).otherwise(F.dayofyear("o_orderdate").cast("string"))
+    header_of = {c: h for h, c in schemas.FACET_HEADERS.items()}
+    orders = S.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), price.alias("calories"), F.concat(day, F.lit("d")).alias("time_mins"), F.lit(None).cast("string").alias("fat")
+    )
+    headers = {header_of[c]: c for c in ("calories", "time_mins", "fat")}
+    tables.write_csv(orders, path, headers)
+    return tables.unreadable_cells(spark, path, headers)
+
+
+def positional_align(spark, sf):
+    """Two tables in the order of their rows, without a key in the second, laid side by side."""
+    docs = S.table(spark, sf, "documents").repartitionByRange(7, "doc_id").sortWithinPartitions("doc_id")
+    left = stored(docs.select("doc_id", F.length("text").alias("n")), "left")
+    right = stored(docs.select("lang", F.sha2("text", 256).alias("digest")), "right")
+    return positions.align(left, right)
+
+
 def token_sets_parquet(spark, sf):
     """Token sets stored as a table, read back and searched."""
     path = _folder(spark, "sets")
@@ -416,6 +542,16 @@ def ingredient_labels(spark, sf):
     return feature_build.ingredient_labels(lines)
 
 
+def label_batches(spark, sf):
+    """Lines labelled in two runs: the second sends only what the first has not seen."""
+    store = label_store.LabelStore(spark, _folder(spark, "labels"))
+    raw = S.raw_items(spark, sf)
+    lines = raw.select("item_id", "fat", F.explode(scalars.split_lines(F.col("ingr"))).alias("line"))
+    store.add(lines.where("fat <= 10").select("line"), batch="first")
+    store.add(lines.select("line"), batch="second")
+    return store.labelled(lines.select("item_id", "line"), "item_id")
+
+
 def evaluation_facets(spark, sf):
     """The facets the blended search compares, without missing values."""
     facet_rows = S.facets(spark, sf).withColumn("course", F.nullif(F.col("course"), F.lit("F")))
@@ -472,6 +608,12 @@ def _filtered_queries(spark, sf):
     )
 
 
+def candidates_per_query(spark, sf):
+    """Every pair of a query and an item inside its limits."""
+    asked = facets.with_limits(_filtered_queries(spark, sf))
+    return range_grid.candidates_per_query(asked, _searchable(spark, sf).vectors, facets.QUERY_LIMITS)
+
+
 def search_e2e(spark, sf):
     found = filtered_search.filtered_search(
         _filtered_queries(spark, sf), _searchable(spark, sf), _order_pages(spark, sf), 5, 40
@@ -598,6 +740,22 @@ _ALL: dict[str, Query] = {
     "hit_report": hit_report,
     "eval_listing": eval_listing,
     "method_report": method_report,
+    "facet_filter_clustered": facet_filter_clustered,
+    "facet_filter_packed": facet_filter_packed,
+    "facet_match_packed": facet_match_packed,
+    "request_guards": request_guards,
+    "first_category_table": first_category_table,
+    "vocab_split_table": vocab_split_table,
+    "golden_file": golden_file,
+    "word_overlap_postings": word_overlap_postings,
+    "tfidf_vocab_two_pass": tfidf_vocab_two_pass,
+    "vector_topk_cells": vector_topk_cells,
+    "zero_shot_columns": zero_shot_columns,
+    "encoded_csv_roundtrip": encoded_csv_roundtrip,
+    "csv_bad_cells": csv_bad_cells,
+    "positional_align": positional_align,
+    "label_batches": label_batches,
+    "candidates_per_query": candidates_per_query,
 }
 
 

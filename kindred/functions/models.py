@@ -80,6 +80,30 @@ def lexicon_classifier(lexicon: Mapping[str, Sequence[str]]) -> Classifier:
     return classify
 
 
+def lexicon_label(text: Column, lexicon: Mapping[str, Sequence[str]], labels: Sequence[str]) -> Column:
+    """The same best label and score as :func:`lexicon_classifier`, as columns and without Python."""
+    found = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"(?U)[^\W_]+"), F.lit(0))
+
+    def hits_of(words: Column, name: str) -> Column:
+        own = list(lexicon.get(name, ()))
+        return F.size(F.filter(words, lambda w: w.isin(own)))
+
+    def best(words: Column) -> Column:
+        counted = [
+            F.struct(hits_of(words, name).alias("hits"), F.lit(-i).alias("turn"), F.lit(name).alias("label"))
+            for i, name in enumerate(labels)
+        ]
+        return F.transform(F.array(F.array(*counted)), scored)[0]
+
+    def scored(hits: Column) -> Column:
+        total = F.aggregate(hits, F.lit(0), lambda n, h: n + h["hits"])
+        first = F.array_max(hits)  # most hits; the first label wins a tie
+        share = F.when(total > 0, first["hits"] / total).otherwise(F.lit(1.0 / len(labels)))
+        return F.struct(first["label"].alias("label"), share.alias("score"))
+
+    return F.transform(F.array(found), best)[0]
+
+
 DEFAULT_ENCODER = partial(hashing_encoder, 64)
 COOKING_CLASSIFIER = partial(lexicon_classifier, K.COOKING_LEXICON)
 INGREDIENT_CLASSIFIER = partial(lexicon_classifier, K.INGREDIENT_LEXICON)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kindred import constants as K
-from kindred.operators.scorers import CandidateLimits
+from kindred.operators.range_grid import QueryLimits
 
 Range = tuple[float | None, float | None]
 
@@ -73,7 +73,7 @@ def within_minutes(limit: float | None, column: str = "time_mins") -> Column | N
 
 
 # The same filter with one set of limits per query: columns of the query table.
-QUERY_LIMITS = CandidateLimits(
+QUERY_LIMITS = QueryLimits(
     ranges=(
         *((n, f"{n}_min", f"{n}_max") for n in K.NUTRIENT_COLUMNS),
         ("time_mins", None, "max_minutes"),
@@ -97,23 +97,6 @@ def with_limits(queries: DataFrame, default: FacetFilter = FacetFilter()) -> Dat
     return queries.withColumns({c: e for c, e in columns.items() if c not in queries.columns})
 
 
-def envelope(queries: DataFrame, limits: CandidateLimits) -> Column:
-    """Range that holds the candidates of every query: a coarse filter the scan can take."""
-    asked = []
-    for _, low, high in limits.ranges:
-        for column, widest in ((low, F.min), (high, F.max)):
-            if column:
-                open_end = F.count_if(F.col(column).isNull()) > 0
-                asked.append(F.when(~open_end, widest(column)).alias(column))
-    if not asked:
-        return F.lit(True)
-    bounds = queries.agg(*asked).first().asDict()
-    parts = [
-        in_range(item, (bounds.get(low), bounds.get(high))) for item, low, high in limits.ranges
-    ]
-    return reduce(lambda a, b: a & b, [p for p in parts if p is not None], F.lit(True))
-
-
 def enough_candidates(candidates: DataFrame, least: int = K.MIN_CANDIDATES) -> bool:
     """True when at least ``least`` rows survive; reads no more than that."""
     return candidates.limit(least).count() >= least
@@ -137,6 +120,14 @@ def complete_query(*fields: str) -> Column:
     )
 
 
+def request_status(k: Column, most: int, has_features: Column) -> Column:
+    """Whether a search request can be run: ``ok``, or what is wrong with it."""
+    return (
+        F.when(k.isNull() | (k < K.USER_K_MIN) | (k > most), "k_out_of_range")
+        .when(~F.coalesce(has_features, F.lit(False)), "no_filter_features").otherwise("ok")
+    )
+
+
 def facet_matches(features: dict[str, object] | None) -> Column:
     """Number of facets equal to the given values; NULL equals nothing."""
     if features is None:

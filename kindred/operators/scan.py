@@ -45,6 +45,11 @@ def table_size(table: DataFrame) -> tuple[int, int]:
     return row[0], row[1] or 0
 
 
+def repeated_ids(table: DataFrame, key: str = "item_id") -> DataFrame:
+    """(key, n): ids that stand in a table more than once; NULL counts as an id."""
+    return table.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
+
+
 def scan_topk(
     items: DataFrame,
     queries: DataFrame,
@@ -55,7 +60,8 @@ def scan_topk(
 ) -> DataFrame:
     """Partial top-k rows (``PARTIAL_SCHEMA``) for :func:`kindred.operators.topk.merge_topk`.
 
-    ``item_id`` and ``query_id`` are whole numbers, each once in its table. A task that is
+    ``item_id`` and ``query_id`` are whole numbers, each once in its table; a repeated query is an
+    error, repeated items can be found with :func:`repeated_ids`. A task that is
     run again gives the same rows, as a list depends on scores and ids only. A block larger
     than ``max_rows`` or ``max_bytes`` arises only where a single query is larger.
     """
@@ -66,6 +72,8 @@ def scan_topk(
     queries = queries.persist()
     try:
         n_rows, n_bytes = table_size(queries)
+        if queries.select("query_id").distinct().count() != n_rows:
+            raise ValueError("query_id must stand in its table once")
         if n_rows <= max_rows and n_bytes <= max_bytes:
             return _scan(items, _shared(queries), scoring, k)
         # A tenth more blocks than needed: the hash does not deal them out quite evenly.

@@ -7,8 +7,8 @@ at most ``_CELLS`` scores at a time to a running top-k.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -268,18 +268,15 @@ class DenseScoring:
                   scores inside the band and the plain similarity of everything
     facets        (item column, query column) pairs compared inside the band
     weight        share of the similarity in the blended score
-    candidates    per-query facet limits, see :class:`CandidateLimits`
     """
 
     demote: float | None = None
     band: tuple[float, float] | None = None
     facets: tuple[tuple[str, str], ...] = ()
     weight: float = 1.0
-    candidates: CandidateLimits | None = None
 
     def columns(self) -> list[str]:
-        limits = self.candidates.item_columns() if self.candidates else []
-        return ["embedding", *dict.fromkeys([*(f for f, _ in self.facets), *limits])]
+        return ["embedding", *dict.fromkeys(f for f, _ in self.facets)]
 
     def bind(self, queries: pa.Table) -> _DenseScorer:
         return _DenseScorer(self, queries)
@@ -293,7 +290,6 @@ class _DenseScorer:
         self.dim = q.shape[1]
         self.unit = q / self._safe(np.sqrt((q * q).sum(axis=1)))[:, None]
         self.facets = [(item, _column(queries, query)) for item, query in spec.facets]
-        self.limits = spec.candidates.bind(queries) if spec.candidates else None
 
     @staticmethod
     def _safe(norms: np.ndarray) -> np.ndarray:
@@ -316,8 +312,6 @@ class _DenseScorer:
     def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
         x = _matrix(_column(batch, "embedding"), self.dim)
         similarity = (x @ self.unit.T) / self._safe(np.sqrt((x * x).sum(axis=1)))[:, None]
-        if self.limits is not None:
-            allowed = self.limits.mask(batch)
         if self.spec.band is not None:
             low, high = self.spec.band
             inside = (similarity >= low) & (similarity <= high)
@@ -327,86 +321,4 @@ class _DenseScorer:
             return {MAIN: np.where(inside, score, NOT_ELIGIBLE), FALLBACK: similarity}
         if self.spec.demote is not None:
             similarity = np.where(similarity > self.spec.demote, -1.0, similarity)
-        if self.limits is not None:
-            similarity = np.where(allowed, similarity, NOT_ELIGIBLE)
         return {MAIN: similarity}
-
-
-@dataclass(frozen=True)
-class CandidateLimits:
-    """Which item columns hold the facets, and which query columns hold the limits.
-
-    ranges   (item column, query column of the least, query column of the greatest);
-             a NULL end is open
-    method   (item column, query column with the accepted values); empty or ``Any`` = all
-    exclude  (flag columns, query column with the names of flags that must be 0)
-    """
-
-    ranges: tuple[tuple[str, str | None, str | None], ...] = ()
-    method: tuple[str, str] | None = None
-    exclude: tuple[tuple[str, ...], str] | None = None
-
-    def item_columns(self) -> list[str]:
-        names = [r[0] for r in self.ranges]
-        names += [self.method[0]] if self.method else []
-        return names + (list(self.exclude[0]) if self.exclude else [])
-
-    def query_columns(self) -> list[str]:
-        names = [c for r in self.ranges for c in r[1:] if c]
-        names += [self.method[1]] if self.method else []
-        return names + ([self.exclude[1]] if self.exclude else [])
-
-    def bind(self, queries: pa.Table) -> _BoundLimits:
-        return _BoundLimits(self, queries)
-
-
-@dataclass
-class _BoundLimits:
-    spec: CandidateLimits
-    queries: pa.Table
-    _bounds: list = field(default_factory=list)
-
-    def __post_init__(self) -> None:
-        n = self.queries.num_rows
-        for _, low, high in self.spec.ranges:
-            a = _numbers(_column(self.queries, low)) if low else np.full(n, np.nan)
-            b = _numbers(_column(self.queries, high)) if high else np.full(n, np.nan)
-            self._bounds.append((a, b))
-        if self.spec.method:
-            lists = _column(self.queries, self.spec.method[1]).to_pylist()
-            self._methods = pa.array(sorted({m for x in lists for m in x or ()}), pa.string())
-            place = {m: i for i, m in enumerate(self._methods.to_pylist())}
-            # One column more: values no query names, and NULL.
-            self._accepts = np.zeros((n, len(place) + 1), bool)
-            for q, names in enumerate(lists):
-                if not names or "Any" in names:
-                    self._accepts[q] = True
-                for name in names or ():
-                    self._accepts[q, place[name]] = True
-        if self.spec.exclude:
-            flags, column = self.spec.exclude
-            self._banned = np.zeros((len(flags), n))
-            for q, names in enumerate(_column(self.queries, column).to_pylist()):
-                for name in names or ():
-                    self._banned[_flag_index(flags, name), q] = 1
-
-    def mask(self, batch: pa.RecordBatch) -> np.ndarray:
-        ok = np.ones((batch.num_rows, self.queries.num_rows), bool)
-        for (name, _, _), (low, high) in zip(self.spec.ranges, self._bounds, strict=True):
-            x = _numbers(_column(batch, name))[:, None]
-            ok &= np.isnan(low) | (x >= low)
-            ok &= np.isnan(high) | (x <= high)
-        if self.spec.method:
-            code = pc.index_in(_column(batch, self.spec.method[0]), value_set=self._methods)
-            code = pc.fill_null(code, len(self._methods)).to_numpy(zero_copy_only=False)
-            ok &= self._accepts.T[code]
-        if self.spec.exclude:
-            flags = [np.nan_to_num(_numbers(_column(batch, f))) != 0 for f in self.spec.exclude[0]]
-            ok &= (np.stack(flags, axis=1).astype(float) @ self._banned) == 0
-        return ok
-
-
-def _flag_index(flags: Sequence[str], name: str) -> int:
-    if name.lower() not in flags:
-        raise ValueError(f"unknown ingredient group: {name}")
-    return list(flags).index(name.lower())

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from kindred import constants as K
 from kindred.operators.scorers import MAIN, RANK_DIGITS
@@ -31,31 +32,22 @@ def merge_topk(partials: DataFrame, k: int, fan_in: int = 16) -> DataFrame:
     """Merge the partial lists of all tasks into one list per query and kind.
 
     With many input partitions one query would get k rows from each of them in a single
-    task, so a salted first round cuts every query to ``fan_in * k`` rows. ``eligible``
-    becomes the number of items that could have entered the list.
+    task, so a salted first round cuts every query to ``fan_in * k`` rows. Both rounds are a rank
+    below a limit and nothing else, so Spark cuts every task's rows before it shuffles them.
     """
     salt = F.pmod(F.xxhash64("item_id"), F.lit(fan_in)).alias("salt")
-    first = W.partitionBy("query_id", "kind", "salt")
-    total = F.sum("eligible").over(first)
-    rank = F.row_number().over(first.orderBy(*best_first()))
-    cut = (
-        partials.select("*", salt)
-        .withColumns({"rank": rank, "total": total})
-        .where(F.col("rank") <= k)
-        .withColumn("eligible", F.when(F.col("rank") == 1, F.col("total")).otherwise(0))
-    )
-    # By query alone: a later window over both kinds of a query then needs no further shuffle.
-    last = W.partitionBy("query_id", "kind")
-    return (
-        cut.repartition("query_id").withColumns(
-            {
-                "rank": F.row_number().over(last.orderBy(*best_first())),
-                "eligible": F.sum("eligible").over(last),
-            }
-        )
-        .where(F.col("rank") <= k)
-        .select("query_id", "kind", "rank", "item_id", "score", "eligible")
-    )
+    lists = W.partitionBy("query_id", "kind")
+    cut = _best(partials.select("query_id", "kind", "item_id", "score", salt), W.partitionBy("query_id", "kind", "salt"), k)
+    return _best(cut, lists, k).select("query_id", "kind", "rank", "item_id", "score")
+
+
+def _best(rows: DataFrame, lists: WindowSpec, k: int) -> DataFrame:
+    return rows.withColumn("rank", F.row_number().over(lists.orderBy(*best_first()))).where(F.col("rank") <= k)
+
+
+def eligible_items(partials: DataFrame, kind: int) -> DataFrame:
+    """(query_id, eligible): how many items could have entered a query's list."""
+    return partials.where(F.col("kind") == kind).groupBy("query_id").agg(F.sum("eligible").alias("eligible"))
 
 
 def ranked(merged: DataFrame) -> DataFrame:

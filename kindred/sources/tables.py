@@ -77,6 +77,23 @@ def read_csv(
     return rows.select(F.coalesce(columns["item_id"], bad).alias("item_id"), *wanted)
 
 
+def unreadable_cells(
+    spark: SparkSession, path: str, headers: Mapping[str, str], labels_as_codes: bool = False
+) -> DataFrame:
+    """(column, unreadable, n): cells of each typed column that hold something :func:`read_csv` turns into NULL."""
+    types = {c: kind for c, kind in schemas.types_of(labels_as_codes).items() if c in headers.values() and kind != "string"}
+    header_of = {c: h for h, c in headers.items()}
+    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("inferSchema", False).csv(path)
+
+    def bad(column: str) -> Column:
+        cell = F.col("`" + header_of[column].replace("`", "``") + "`")
+        return F.count_if(cell.isNotNull() & cell.try_cast(types[column]).isNull())
+
+    counts = raw.agg(F.count("*").alias("n"), *[bad(c).alias(c) for c in types])
+    each = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("unreadable"), F.col("n").alias("n")) for c in types])
+    return counts.select(F.explode(each).alias("c")).select("c.*")
+
+
 def number_lines(rows: DataFrame, columns: list[Column]) -> DataFrame:
     """Line numbers from 0 over all files; a multi-line CSV file is never split."""
     kept = stored(

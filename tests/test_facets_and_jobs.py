@@ -50,7 +50,7 @@ def test_filter(spark, chosen, expected):
 
 
 def test_filter_per_query_equals_shared_filter(spark):
-    """All filters at once as columns of the query table; the scan counts what they keep."""
+    """All filters at once as columns of the query table."""
     items = facet_table(spark, *CHANGES).withColumn("embedding", F.array(F.lit(1.0), F.col("item_id") / 100))
     rows = []
     for q, (f, _) in enumerate(CASES):
@@ -61,10 +61,9 @@ def test_filter_per_query_equals_shared_filter(spark):
     asked = spark.createDataFrame(rows, "query_id long, embedding array<double>, methods array<string>,"
                                         f" exclude array<string>, max_minutes double, {limits}")
     urls = items.select("item_id", F.concat(F.lit("u"), "item_id").alias("url"))
-    for scan in (None, {"max_rows": 2}):
-        found = filtered_search(asked, EmbeddingIndex(items), urls, 50, 1, demote=2.0, scan=scan).collect()
-        for q, (_, expected) in enumerate(CASES):
-            assert sorted(r["item_id"] for r in found if r["query_id"] == q) == expected
+    found = filtered_search(asked, EmbeddingIndex(items), urls, 50, 1, demote=2.0).collect()
+    for q, (_, expected) in enumerate(CASES):
+        assert sorted(r["item_id"] for r in found if r["query_id"] == q) == expected
 
 
 def test_unknown_group_is_an_error():
