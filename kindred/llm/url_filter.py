@@ -1,7 +1,9 @@
 """URL filter: rules for hosts and paths first, then logistic regression on hashed character n-grams.
 
 The model is fitted on the small labelled table below with Spark's own logistic regression over hashed
-3- to 5-grams of host and path; scoring is one map pass in the JVM.
+3- to 5-grams of host and path; scoring is one map pass in the JVM. Labels stand on sites and on paths, so junk in the
+path of an ordinary site is found as well. It knows kinds of junk by their words, in any compound; junk whose words
+look like none of the table's is allowed.
 
 Defined cases: a NULL url, or one without ``://``, has an empty host and path, meets no rule and is
 allowed; repeated rows and equal or NULL ids are judged one by one; other columns are ignored.
@@ -19,7 +21,7 @@ from pyspark.sql import functions as F
 
 from kindred.llm.texts import lower_ascii
 
-FEATURES = 1 << 14
+FEATURES = 1 << 18
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.5
 
@@ -41,23 +43,33 @@ RULES = (
     Rule("allow", "com", "/fr/"), Rule("block", "com", "/de/"),
 )
 
-# The labelled table: names of sites to block and of ordinary ones. Each stands in it under every
-# prefix, the endings and paths in turn, so that those carry no label.
-BLOCK_SITES = """casino-win casino-royal online-casino free-bets sport-bets bets-now cheap-pills buy-pills pills-online
-ads-track ads-server track-ads spam-farm spam-links link-farm adult-x adult-cams xxx-adult poker-win jackpot-slots
-viagra-shop free-ringtones payday-loans replica-watch warez-crack malware-download win-prize sexy-chat""".split()
-ORDINARY_SITES = """city-hall open-library river-school garden-club museum hiking weather science recipes old-town
-journal archive university travel-notes bakery railway-history harbour-news village-choir chess-club physics-notes
-maths-teacher birdwatch observatory fire-brigade county-record orchestra theatre bookshop carpenter gardening
-newspaper parliament hospital dentist veterinary plumber kindergarten grammar-school students alumni
-verwaltung stadtwerke gemeinde bibliothek wanderverein feuerwehr handwerk zeitung rathaus gesundheit
-mairie bibliotheque recettes jardinage actualites randonnee boulangerie patrimoine lycee musique
-ayuntamiento biblioteca cocina noticias escuela deportes turismo historia universidad periodico
-translation thesaurus mathematics geography literature philosophy engineering electronics architecture
-photography astronomy meteorology chemistry biology geology economics statistics languages dictionary""".split()
-PREFIXES = ["", "www.", "m.", "blog."]
-ENDINGS = [".example.com", ".example.net", ".example.org"]
-PATHS = ["/en/1207", "/de/884.html", "/fr/5310/", "/es/73", "/en/9", "/fr/2", "/de/6004/"]
+# The labelled table is made of words. A site or a path is to block if it holds a junk word, wherever it stands; words of
+# daily life, words that only look like junk, and names without any word in them are ordinary.
+JUNK = """casino poker jackpot roulette blackjack slots bingo betting bets bookmaker gamble lotto scratchcards
+viagra cialis pills pharma-deals xanax tramadol steroids slimming potency
+porn xxx sex sexy adult escorts webcams nude hentai erotic hookup milf cams
+payday loanshark getrich cryptodoubler bitcoin-doubler forexsignals
+warez cracked keygen serials torrents pirated malware spyware adware phishing
+spam linkfarm clickbait ads adserver popunder tracker replica fakewatches ringtones giveaway prizes
+spielbank wetten sportwetten potenzmittel paris-sportifs rencontres-coquines apuestas tragaperras pastillas-baratas""".split()
+ORDINARY = """hall library school garden museum hiking weather science recipes town journal archive university
+travel bakery railway harbour village choir chess physics maths birdwatch observatory brigade county orchestra theatre
+bookshop carpenter newspaper parliament hospital dentist veterinary plumber kindergarten grammar students alumni
+verwaltung stadtwerke gemeinde bibliothek wanderverein feuerwehr handwerk zeitung rathaus gesundheit mairie recettes
+jardinage actualites randonnee boulangerie patrimoine lycee musique ayuntamiento biblioteca cocina noticias escuela
+deportes turismo historia universidad periodico translation thesaurus geography literature philosophy engineering
+electronics architecture photography astronomy meteorology chemistry biology geology economics statistics languages
+dictionary bridge river mountain forest island castle market kitchen furniture tailor cinema radio football swimming
+essex sussex adsorption advent address adventure betony alphabet diabetes beta pilsner spillway caterpillar pilgrim
+crackers classic analysis bingham loaning railtrack trackside farmhouse farming windmill winter window freedom freezer
+cheapside xylophone sportsclub camera camping campus cameo serial serially nudibranch escorial slotted hackney
+prizren pornic poketown torrential warehouse lottie clothing bathing building
+painting spring meeting wedding evening thinking author eastern southern anthem the-other""".split()
+PARTS = "royal best grand top my online live world zone hub star direct now central daily shop point box line house".split()
+SYLLABLES = "ba del fo gur hi jem ka lor mi nus pe qua ris so tun ve wo xi yar zet".split()
+ENDINGS = [".com", ".net", ".org", ".info", ".eu", ".de", ".fr", ".es", ".co.uk", ".io"]
+PREFIXES = ["", "www.", "shop.", "forum."]
+PLAIN_PATHS = ["", "/", "/index.html", "/2019/07/a", "/12", "/archive/334.html", "/about", "/p/8891/", "/news/today", "/a/b/c"]
 
 
 def host(url: Column) -> Column:
@@ -89,22 +101,18 @@ def _longest(rules: tuple[Rule, ...], value) -> Column:
 
 
 def grams(host_column: Column, path_column: Column) -> Column:
-    """Character n-grams of host and path, each part marked and closed by blanks."""
+    """Character n-grams of host and path, each closed by blanks: a word is the same in either."""
 
-    def cut(mark: str, text: Column) -> Column:
+    def cut(text: Column) -> Column:
         closed = F.concat(F.lit(" "), text, F.lit(" "))
-        parts = [
-            F.transform(
-                F.when(F.length(closed) >= n, F.sequence(F.lit(1), F.length(closed) - n + 1)).otherwise(
-                    F.array().cast("array<int>")
-                ),
-                lambda i, n=n: F.concat(F.lit(mark), F.substring(closed, i, F.lit(n))),
-            )
-            for n in GRAMS
-        ]
-        return F.concat(*parts)
+        return F.concat(*[_windows(closed, n) for n in GRAMS])
 
-    return F.concat(cut("h:", host_column), cut("p:", path_column))
+    return F.concat(cut(host_column), cut(lower_ascii(path_column)))
+
+
+def _windows(text: Column, n: int) -> Column:
+    places = F.when(F.length(text) >= n, F.sequence(F.lit(1), F.length(text) - n + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(places, lambda i: F.substring(text, i, F.lit(n)))
 
 
 def _hashed(rows: DataFrame) -> DataFrame:
@@ -112,19 +120,46 @@ def _hashed(rows: DataFrame) -> DataFrame:
     return HashingTF(inputCol="_grams", outputCol="_features", numFeatures=FEATURES, binary=True).transform(with_grams)
 
 
+def _sites() -> list[tuple[str, float]]:
+    """Names of sites with their label: a word alone, and with other parts before and behind it."""
+    out = []
+    for label, names, times in ((1.0, JUNK, 8), (0.0, ORDINARY, 6)):
+        for i, name in enumerate(names):
+            out.append((name, label))
+            for k in range(times):
+                part = PARTS[(i + 5 * k) % len(PARTS)]
+                out.append(((f"{part}-{name}", f"{name}{part}", f"{part}{name}", f"{name}-{part}")[k % 4], label))
+    n = len(SYLLABLES)
+    for i in range(2 * n * n):
+        out.append((SYLLABLES[i % n] + SYLLABLES[i // n % n] + (SYLLABLES[(7 * i + i // n) % n] if i % 3 else ""), 0.0))
+    return out
+
+
+def _paths() -> list[tuple[str, float]]:
+    """Paths with their label; shapes are the same for both."""
+    out = []
+    for label, names in ((1.0, JUNK), (0.0, ORDINARY)):
+        for i, name in enumerate(names):
+            a, b = PARTS[(3 * i + 1) % len(PARTS)], PARTS[(7 * i + 2) % len(PARTS)]
+            out += [(path, label) for path in (f"/{name}/", f"/{a}/{name}-{i}.html", f"/{a}-{name}", f"/{b}-{name}-{a}/{i}", f"/en/{name}/{b}")]
+    return out
+
+
 def labelled(spark: SparkSession) -> DataFrame:
-    rows = []
-    for label, sites in ((1.0, BLOCK_SITES), (0.0, ORDINARY_SITES)):
-        for i, site in enumerate(sites):
-            for k, prefix in enumerate(PREFIXES):
-                rows.append((prefix + site + ENDINGS[(i + k) % len(ENDINGS)], PATHS[(i + 2 * k) % len(PATHS)], label))
+    """``host, path, label``: sites under plain paths, and paths on ordinary sites."""
+    sites, rows = _sites(), []
+    ordinary = [site for site, label in sites if label == 0.0]
+    for i, (site, label) in enumerate(sites):
+        rows.append((PREFIXES[i % len(PREFIXES)] + site + ENDINGS[i % len(ENDINGS)], PLAIN_PATHS[(3 * i) % len(PLAIN_PATHS)], label))
+    for i, (path, label) in enumerate(_paths()):
+        rows.append((PREFIXES[(i // 3) % len(PREFIXES)] + ordinary[(11 * i) % len(ordinary)] + ENDINGS[(7 * i) % len(ENDINGS)], path, label))
     return spark.createDataFrame(rows, "host string, path string, label double").coalesce(1)
 
 
 def fit(table: DataFrame) -> LogisticRegressionModel:
     """A model from rows of ``host, path, label``; the table is small and stays in one partition."""
     learner = LogisticRegression(
-        featuresCol="_features", labelCol="label", regParam=0.002, maxIter=40, probabilityCol="_chances",
+        featuresCol="_features", labelCol="label", regParam=0.0005, maxIter=60, probabilityCol="_chances",
         rawPredictionCol="_raw", predictionCol="_prediction",
     )
     return learner.fit(_hashed(table).cache())
