@@ -3,7 +3,8 @@
 A page is cut into blocks of text at every block-level tag. A block is described by its words, its
 share of linked words, the same of the blocks before and after it, and by where it stands (inside an
 article or main element, inside an element whose tag, class or id speaks of page furniture). A decision
-tree, trained on the labelled pages below, keeps or drops it.
+tree, trained on the labelled pages below, keeps or drops it. What a wrapper around the first article or
+main element is called says nothing about the article, nor do the article's own names.
 
 Defined cases: a NULL or empty page has the empty text; broken markup (unclosed elements, a tag cut off
 at the end, stray ``<``) is read as browsers do, as far as it matters for text; NULL urls stay NULL;
@@ -27,9 +28,10 @@ from kindred.llm.texts import map_texts
 
 INLINE = frozenset(
     """a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span
-    strike strong sub sup time tt u var wbr""".split()
+    strike strong sub sup time tt u var wbr math mfrac mi mn mo mover mroot mrow ms mspace msqrt msub msubsup msup mtext munder
+    object label picture output""".split()
 )
-SKIPPED = frozenset("script style noscript template textarea select option button iframe svg math title object canvas".split())
+SKIPPED = frozenset("script style noscript template textarea select option button iframe svg title canvas".split())
 # Their content is plain text up to their own end tag, whatever it holds.
 RAW = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.IGNORECASE) for tag in "script style noscript textarea iframe title".split()}
 FURNITURE = frozenset("head nav header footer aside form dialog menu".split())
@@ -43,6 +45,8 @@ HINT = re.compile(
     r"signup|social|sponsor\w*|subscribe|tags|teasers?|toolbar|widgets?)(?=$|[\s_-])",
     re.IGNORECASE,
 )
+# "with-sidebar" and "no-menu" tell how a page is laid out, not what an element holds.
+LAYOUT = re.compile(r"(?:with|without|no|has|is|not|hide|show|js)[_-]", re.IGNORECASE)
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|"
     r"<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+[^>]*)(?:>|\Z)|[^<]+|<",
@@ -67,7 +71,7 @@ def blocks(page: str) -> list[Block]:
     text: list[str] = []
     linked: list[str] = []
     open_tags: list[tuple[str, bool, bool]] = []  # tag, body so far, furniture so far
-    link = heading = False
+    link = heading = seen_body = False
     skip = ""
 
     def close() -> None:
@@ -115,9 +119,13 @@ def blocks(page: str) -> list[Block]:
                 _pop(open_tags, tag)
             elif tag not in VOID and tag not in LOOSE and not token["rest"].endswith("/"):
                 _, body, furniture = open_tags[-1] if open_tags else ("", False, False)
-                named = " ".join(m.group(1).strip("\"'") for m in _NAMED.finditer(token["rest"]))
-                odd = (tag in FURNITURE and not (tag == "header" and body)) or bool(HINT.search(named))
-                open_tags.append((tag, body or tag in BODY, furniture or odd))
+                if tag in BODY:
+                    # Wrappers of the first one are the page; later ones may stand among comments or teasers.
+                    furniture = furniture and seen_body
+                    body = seen_body = True
+                else:
+                    furniture = furniture or (tag in FURNITURE and not (tag == "header" and body)) or _hinted(token["rest"])
+                open_tags.append((tag, body, furniture))
             elif tag in LOOSE:
                 if tag == "body":
                     _pop(open_tags, "head")
@@ -125,6 +133,12 @@ def blocks(page: str) -> list[Block]:
     return out
 
 
+def _hinted(attributes: str) -> bool:
+    """Whether a class, id or role names page furniture."""
+    names = " ".join(m.group(1).strip("\"'") for m in _NAMED.finditer(attributes)).split()
+    return any(HINT.search(name) and not LAYOUT.match(name) for name in names)
+
+
 def _tokens(page: str) -> Iterator[re.Match]:
     """The tokens of a page; after the start tag of a raw-text element its end tag comes next, or the end of the page."""
     at, foreign = 0, ""
@@ -234,10 +248,41 @@ LABELLED = [
     """<body><div class="promo">Sale!</div><article><p>+Owls hear a mouse under the snow from the far side of a field and strike it
     without ever having seen it, in full darkness, on silent wings.</p><p>+Yes.</p><p>+No bird is better made for the night than
     the owl, whose feathers have soft edges that break up the rush of the air.</p><p>+Listen.</p></article></body>""",
+    # Lines of links inside an article say nothing about its paragraphs.
+    """<body><article><h1>+Slate</h1><p><a href=1>Part one</a> <a href=2>Part two</a></p><p>+Slate splits along planes that were pressed
+    into it when the mountains rose, and a skilled hand gets forty sheets from a block.</p><p><a href=3>Read more about quarries</a></p>
+    <p>+Roofs laid with it have lasted five hundred years and more in the wet valleys of the west.</p></article><p><a href=4>Top</a></p></body>""",
+    """<body><main><p><a href=1>Overview</a></p><p>+Dew.</p><p><a href=2>Figure</a></p><p>+It settles on clear nights.</p><p><a href=3>Table</a></p>
+    <p>+Grass loses its warmth to the open sky and cools below the air around it until water gathers on every blade.</p></main></body>""",
+    """<body><article><p><a href=1>First chapter</a></p><p>+Oak.</p></article><div><a href=2>Next</a></div></body>""",
+    """<body><article><h1>+Ice</h1><p>+It floats on water.</p></article></body>""",
+    """<h1>+Tin</h1><p>+It melts early.</p>""",
+    """<body><article><h1>+A walk</h1><p>+Rain.</p></article></body>""",
+    # Pages without an article or a telling name: a short block goes with the blocks around it.
+    """<body><div><a href=1>Home</a> <a href=2>News</a> <a href=3>Map</a></div><div>Sections</div><div><a href=4>Sport</a>
+    <a href=5>Arts</a></div><div><h1>+Peat</h1><p>+Peat forms where moss dies faster than it rots, a few feet in a thousand years.</p>
+    <p>+It burns.</p><p>+Cut into bricks and dried by the wind it has warmed the houses of the north since the bronze age.</p></div>
+    <div><a href=6>Imprint</a></div><div>Follow us</div><div><a href=7>Letters</a> <a href=8>Contact</a></div></body>""",
+    """<body><div><a href=1>All</a></div><div>Page tools</div><div><a href=2>Print</a> <a href=3>Mail</a></div><div><p>+Cork is the
+    bark of an oak that grows it anew after each harvest, which comes every nine years.</p><p>+No tree is felled.</p><p>+The plates are
+    boiled, pressed flat, sorted by hand and punched into stoppers along the grain.</p></div><div><a href=4>Top</a></div>
+    <div>Copyright 2019</div></body>""",
+    """<body><div><a href=1>Shop</a> <a href=2>Cart</a></div><div>Welcome back</div><div><a href=3>Leave</a></div>
+    <div><p>+Amber is resin that has lain in the ground for forty million years or more.</p><p>+Some holds flies.</p><p>+The sea washes
+    it up after autumn storms, and people walk the beaches at dawn to look for it.</p><p>+Good luck.</p></div></body>""",
+    """<body><div>Main menu</div><div><a href=1>One</a> <a href=2>Two</a></div><p>+Frost splits rock because water grows as it
+    freezes, and does so again every winter.</p><p>+It takes time.</p><p>+What falls from the cliff is carried off by the stream below and
+    ends as sand on a far shore.</p><div><a href=3>Back</a></div><div>Search</div></body>""",
+    """<body><div class="wrap"><p>+Chalk is made of shells too small to see, laid down grain by grain in a warm sea.</p><p>+White cliffs.</p>
+    <p>+Rain goes through it, so rivers are rare there and the wells are deep.</p></div><div>Our partners</div>
+    <div><a href=1>Mill</a> <a href=2>Quarry</a></div><div>More topics</div><div><a href=3>Clay</a> <a href=4>Slate</a></div></body>""",
+    """<body class="layout with-sidebar"><form id="page"><article class="post social tags"><h1>+Felt</h1><p>+Wool that is wetted, rubbed and pressed
+    turns into felt, the oldest cloth there is.</p><p>+No loom.</p><p>+Herders still make their tents of it and carry them along.</p></article>
+    <p>Your mail address</p></form></body>""",
     """<body><article><h2>+Rope</h2><p>+Hemp was spun into yarn, yarn into strands, and three strands laid into a rope on a walk that
     was as long as the rope was to be, often more than a quarter of a mile.</p><p>+Men walked it backwards.</p></article></body>""",
 ]
-DEPTH = 6
+DEPTH = 8
 
 
 def _labelled() -> tuple[np.ndarray, np.ndarray]:

@@ -249,6 +249,45 @@ def test_html_of_the_pages(spark):
         assert html_extract.main_text(row.html, html_extract.trained()) == want
 
 
+ARTICLE = "<h1>Owls</h1><p>They hear a mouse under the snow from far away.</p><p>Short.</p><p>No bird is better made for the night than they are.</p>"
+
+
+@pytest.mark.parametrize("page", [
+    '<div class="layout with-sidebar"><article>%s</article></div>', '<div class="no-menu has-header"><article>%s</article></div>',
+    '<form id="aspnetForm"><article>%s</article></form>', '<article class="post social tags">%s</article>', '<div class="layout with-sidebar">%s</div>',
+    '<div class="comments-layout menu"><main>%s</main></div>', "<article>%s</article>", "%s",
+    '<main>%s<div class="comments"><article class="comment"><p>I do not think so at all, dear friends of owls.</p></article></div></main>',
+    "<div><a href=1>Home</a> <a href=2>B</a></div><div>Sections</div><div><a href=3>C</a></div><div>%s</div><div><a href=4>Imprint</a></div><div>Follow us</div><div><a href=5>D</a></div>",
+])
+def test_html_wrappers_do_not_empty_a_page(page):
+    found = html_extract.main_text(f"<body>{page % ARTICLE}</body>", html_extract.trained())
+    assert found == "Owls\n\nThey hear a mouse under the snow from far away.\n\nShort.\n\nNo bird is better made for the night than they are."
+
+
+def test_html_formulas_and_short_articles_stay():
+    tree = html_extract.trained()
+    page = "<article><p>Here <math><mi>x</mi><mo>+</mo><mn>1</mn></math> and <object><b>this</b></object> count.</p></article>"
+    assert html_extract.main_text(page, tree) == "Here x+1 and this count."
+    for words in (("Hi", "Five words are in here."), ("A", "B"), ("Title of it", "x " * 30)):
+        text = "\n\n".join(w.strip() for w in words)
+        assert html_extract.main_text(f"<body><article><h1>{words[0]}</h1><p>{words[1]}</p></article></body>", tree) == text
+
+
+def test_html_tree_uses_the_neighbours():
+    """Words and link density of the blocks before and after are among the splits."""
+    def splits(tree):
+        return [] if len(tree) == 1 else [html_extract.FEATURES[tree[0]], *splits(tree[2]), *splits(tree[3])]
+
+    used = set(splits(html_extract.trained()))
+    assert {"words", "link_density"} <= used
+    assert used & {"words_before", "words_after"} and used & {"link_density_before", "link_density_after"}
+    # The same short block is kept between paragraphs and dropped between lists of links.
+    paragraph, links = "<div>%s</div>" % ("A paragraph of a dozen words about nothing but the weather in spring. " * 2), "<div><a href=1>One</a> <a href=2>Two</a></div>"
+    for around, kept in ((paragraph, True), (links, False)):
+        page = f"<body>{paragraph}{around}<div>So it is</div>{around}{paragraph}</body>"
+        assert ("So it is" in html_extract.main_text(page, html_extract.trained())) == kept
+
+
 def test_url_filter(spark):
     urls = [
         ("http://A.Example.ORG/es/1?x", "a.example.org", "/es/1", "example.org/es/", "block"),
