@@ -69,6 +69,10 @@ _WRITTEN = [
     # grants by name
     ("mit", f"(?:released|licensed|distributed|available|provided){BY} mit license", "license", 80),
     ("mit", f"(?:released|licensed|distributed|available|provided){BY} mit licence", "licence", 80),
+    ("mit", f"(?:released|licensed|distributed|available|provided){BY} (?:the )?mit", "mit", 75),
+    ("isc", f"(?:released|licensed|distributed|available|provided){BY} (?:the )?isc", "isc", 75),
+    ("bsd-2-clause", "bsd 2 clause", "bsd", 70), ("bsd-3-clause", "bsd 3 clause", "bsd", 70), ("bsd-4-clause", "bsd 4 clause", "bsd", 70),
+    ("bsd-2-clause", "(?:simplified|2 clause) bsd", "bsd", 70), ("bsd-3-clause", "(?:new|modified|revised|3 clause) bsd", "bsd", 70),
     ("apache", f"(?:released|licensed|distributed|available|provided){BY} apache(?: {LIC})?", "apache", 75),
     ("gpl", f"(?:released|licensed|distributed|available|provided){BY} (?:gnu )?gpl", "gpl", 75),
     ("gpl", f"(?:released|licensed|distributed|available|provided){BY} gnu general public {LIC}", "gnu", 75),
@@ -135,10 +139,16 @@ def _versioned() -> list[tuple[str, str, str, int]]:
         for version in versions.split():
             # "2.0" is also written "2"; a version that goes on with another number is another version.
             major, _, minor = version.partition(".")
-            number = f"{major}(?: {minor})?" if minor == "0" else version.replace(".", " ")
+            number = version.replace(".", " ") if minor not in ("", "0") else f"{major}(?: 0)?"
             end = "(?! [0-9])" if minor in ("", "0") else ""
             out.append((f"{label}-{version}", f"{name}(?: version)? v?{number}{end}", keyword, 70))
             out.append((f"{label}-{version}-or-later", f"{name}(?: version)? v?{number} or (?:any )?later", keyword, 78))
+            # Written as one word, as in gplv3 or apache2: the word itself is the keyword.
+            if name == keyword:
+                for joined in (f"{keyword}v{major}", f"{keyword}{major}"):
+                    rest = f" {minor}" if minor not in ("", "0") else "(?: 0)?"
+                    out.append((f"{label}-{version}", f"{joined}{rest}{end}", joined, 70))
+                    out.append((f"{label}-{version}-or-later", f"{joined}{rest} or (?:any )?later", joined, 78))
     return out
 
 

@@ -21,6 +21,8 @@ from kindred.shared import stored
 SHARDS = 24
 ROW_OVERHEAD = 8
 HASH_BITS = 52
+PARTS = 16**3  # of a shard
+HOT_SHARE = 2000
 
 
 def unit_hash(text: Column) -> Column:
@@ -42,6 +44,13 @@ def rendezvous(key: Column, weights: Sequence[float]) -> Column:
     return let(scores(key, weights), lambda found: (F.array_position(found, F.array_min(found)) - 1).cast("int"))
 
 
+def _frequent(rows: DataFrame) -> DataFrame:
+    """``_name`` of the rows that make up more than 1 / HOT_SHARE of the table, so never more than HOT_SHARE of them."""
+    names = rows.groupBy("_name").agg(F.count("*").alias("_n"))
+    total = rows.agg(F.count("*").alias("_all"))
+    return names.where(F.col("_n") > 1).join(F.broadcast(total), F.col("_n") * HOT_SHARE > F.col("_all")).select("_name")
+
+
 def assign(
     docs: DataFrame, key: str = "doc_id", text: str = "text", weights: Sequence[float] = (1.0,) * SHARDS,
     new_weight: float = 1.0,
@@ -49,7 +58,8 @@ def assign(
     """``key, size, text_crc32, shard, slot, grown_shard``; ``grown_shard`` is the place after one more shard.
 
     Slots number the rows of a shard from 0 without gaps. A shard is counted and numbered in 4096 parts
-    by a hash of the row, so no task holds a whole shard; only the parts' counts are summed per shard.
+    by a hash of the row, so no task holds a whole shard; only the parts' counts are summed per shard. Rows
+    that stand there very often, equal in key, size and text, are dealt over all parts.
     """
     old = len(weights)
     body = F.encode(F.coalesce(F.col(text), F.lit("")), "UTF-8")
@@ -68,8 +78,12 @@ def assign(
         F.inline(F.array(let(scores(F.col(key), [*weights, new_weight]), places))),
     )
     row_name = F.concat_ws("#", F.coalesce(F.col("_key").cast("string"), F.lit("")), "size", "text_crc32")
-    part = F.substring(F.md5(row_name), 1, 3)
-    rows = stored(rows.withColumn("_part", part), "shards")
+    # Stored, so that a row keeps its number whatever reads it.
+    rows = stored(rows.withColumns({"_name": F.md5(row_name), "_at": F.monotonically_increasing_id()}), "shards")
+    often = F.broadcast(_frequent(rows).withColumn("_often", F.lit(True)))
+    anywhere = F.lower(F.lpad(F.hex(F.pmod(F.xxhash64("_at"), F.lit(PARTS))), 3, "0"))
+    part = F.when(F.col("_often"), anywhere).otherwise(F.substring("_name", 1, 3))
+    rows = rows.join(often, "_name", "left").withColumn("_part", part)
 
     parts = rows.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
     earlier = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

@@ -384,6 +384,35 @@ def test_sharding(request, table):
     assert all(len(p) == 1 for p in places.values())
 
 
+def test_sharding_deals_equal_rows_over_all_parts(spark, monkeypatch):
+    """A row that stands there thousands of times is not numbered in one window; slots stay whole."""
+    rows = [(7, "the same row")] * 3000 + [(None, None)] * 1000 + [(i, f"text {i}") for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = collected(sharding.assign(docs))
+    slots = collections.defaultdict(list)
+    for row in got:
+        slots[row["shard"]].append(row["slot"])
+    assert len(got) == len(rows) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert len({row["shard"] for row in got if row["doc_id"] == 7}) == 1
+    named = docs.select(F.col("doc_id").alias("_name"))
+    assert {r[0] for r in sharding._frequent(named.where("_name IS NOT NULL")).collect()} == {7}
+
+
+def plain_shard(key, shards):
+    """Rendezvous hashing row by row."""
+    def score(shard):
+        digits = hashlib.md5(f"{'' if key is None else key}/{shard}".encode()).hexdigest()[:13]
+        return -np.log((int(digits, 16) + 0.5) / 2**52)
+
+    return min(range(shards), key=lambda shard: (score(shard), shard))
+
+
+@pytest.mark.parametrize("table", ["odd", "documents"])
+def test_sharding_against_plain_hashing(request, table):
+    for row in collected(sharding.assign(request.getfixturevalue(table))):
+        assert (row["shard"], row["grown_shard"]) == (plain_shard(row["doc_id"], 24), plain_shard(row["doc_id"], 25))
+
+
 def test_sharding_by_weight(spark):
     placed = spark.range(6000).select(sharding.rendezvous(F.col("id"), [1.0, 2.0, 3.0]).alias("s")).groupBy("s").count()
     assert {r["s"]: round(r["count"] / 1000) for r in placed.collect()} == {0: 1, 1: 2, 2: 3}
@@ -491,6 +520,21 @@ def test_near_dups_in_small_blocks(spark, monkeypatch):
     assert sorted(((str(r["doc_id"]), r["n_shingles"], str(r["component_id"])) for r in got), key=str) == plain_groups(rows)
 
 
+SPELLINGS = [
+    ("licensed under the GPLv3", "gpl-3"), ("GPLv2+ or later", "gpl-2-or-later"), ("This is LGPLv3 code", "lgpl-3"), ("Apache2 rules", "apache-2.0"),
+    ("GPL-3.0-or-later", "gpl-3-or-later"), ("licensed under MIT", "mit"), ("the BSD 3-clause license", "bsd-3-clause"),
+    ("see AGPLv3", "agpl-3"), ("LGPLv2.1", "lgpl-2.1"), ("GPL 3.0", "gpl-3"), ("New BSD License", "bsd-3-clause"), ("Apache License 2.0", "apache-2.0"),
+    ("mitigation of a gplx", ""), ("version 3 of nothing", ""),
+]
+
+
+def test_license_spellings(spark):
+    rows = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(SPELLINGS)], "doc_id long, text string")
+    for row in licenses.digest(licenses.scan(rows)).collect():
+        found, wanted = set(filter(None, row.labels.split(","))), SPELLINGS[row.doc_id][1]
+        assert {wanted} <= found if wanted else not found
+
+
 def test_licenses(spark, documents):
     texts = [
         None, "", "Released under the MIT License.", "GNU General-Public\nLicense, version 3; cc-by cc by 4.0", "mit licenses",
