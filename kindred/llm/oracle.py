@@ -1,6 +1,6 @@
 """SQL each query must equal, where SQL can express it.
 
-Searches by checksum, trained models and byte-wise hashes have none; the tests hold those queries against
+Searches by checksum, trained models, sampling and tokenizers have none; the tests hold those queries against
 plain versions.
 """
 
@@ -64,9 +64,38 @@ def _field(value: str) -> str:
 
 _HEAD = " || ".join(map(_field, ("doc_id", "source", "lang", "n_chars")))
 
+_CRC = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
+    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS entries)"""
+
+# Hex digits of one length are ordered as the numbers they show, and the largest number has the smallest score.
+_SHARDS = f"""
+WITH {_CRC},
+d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS k, encode(coalesce(text, '')) AS body FROM documents),
+s AS (SELECT doc_id, k, octet_length(body) + 8 AS size, xor(list_reduce(list_transform(regexp_extract_all(lower(hex(body)), '..'),
+    lambda x: (instr('0123456789abcdef', x[1]) - 1) * 16 + instr('0123456789abcdef', x[2]) - 1), lambda c, b:
+    xor(c // 256, entries[xor(c, b) % 256 + 1]), 4294967295), 4294967295)::BIGINT AS crc,
+  list_transform(range(25), lambda i: md5(k || '/' || i)[1:13]) AS draws FROM d, crc),
+p AS (SELECT *, list_position(draws[1:24], list_max(draws[1:24])) - 1 AS shard FROM s)
+SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'key' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY md5(k || '#' || size || '#' || crc)[1:3], doc_id NULLS FIRST, size, crc) - 1 AS slot,
+  CASE WHEN draws[25] > list_max(draws[1:24]) THEN 24 ELSE shard END::INTEGER AS grown_shard FROM p"""
+
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT r, array_to_string(ws[i:i + 2], ' ') AS shingle
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 2, 1) + 1)) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT r, count(*) AS n FROM s GROUP BY r),
+c AS (SELECT a.r AS x, b.r AS y, count(*) AS same FROM s a JOIN s b ON a.shingle = b.shingle AND a.r <> b.r GROUP BY ALL),
+e AS (SELECT x, y FROM c JOIN n a ON a.r = x JOIN n b ON b.r = y WHERE 100 * same >= 85 * (a.n + b.n - same)),
+reach AS (SELECT r AS x, r AS y FROM n UNION SELECT reach.x, e.y FROM reach JOIN e ON e.x = reach.y),
+least AS (SELECT x AS r, min(doc_id) AS component FROM reach JOIN d ON d.r = reach.y GROUP BY x)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, CASE WHEN n IS NULL THEN doc_id ELSE component END AS component_id,
+  doc_id IS NOT DISTINCT FROM CASE WHEN n IS NULL THEN doc_id ELSE component END AS kept
+FROM d LEFT JOIN n USING (r) LEFT JOIN least USING (r)"""
+
 _MANIFEST = f"""
-WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda c, k:
-    CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, i)) AS entries),
+WITH RECURSIVE {_CRC},
 d AS (SELECT *, list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b:
     xor(c // 256, entries[xor(c, b) % 256 + 1]), 4294967295) % 2 = 1 AS even FROM documents, crc),
 l AS (SELECT row_number() OVER () AS r, doc_id, source, sha256({_HEAD} || {_field('text')}) AS leaf,
@@ -99,6 +128,7 @@ SELECT l.doc_id, l.leaf, u.subroot, root, sha256(u.proof) AS proof_sha256, u.nod
 FROM l JOIN (SELECT *, row_number() OVER (PARTITION BY r ORDER BY lvl DESC) AS last FROM up) u USING (r), root WHERE last = 1"""
 
 ORACLE: dict[str, str] = {
-    "op1_quality_rules": _QUALITY, "op9_decontaminate": _CONTAMINATION, "op11_substring_dups": _SUBSTRINGS,
+    "op1_quality_rules": _QUALITY, "op6_sharding": _SHARDS, "op7_near_dups": _NEAR_DUPLICATES,
+    "op9_decontaminate": _CONTAMINATION, "op11_substring_dups": _SUBSTRINGS,
     "op12_merkle_manifest": _MANIFEST,
 }
