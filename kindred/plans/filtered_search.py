@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from kindred import constants as K
 from kindred.functions.vectors import demote_duplicates, dot, norm
 from kindred.operators.facets import QUERY_LIMITS, FacetFilter, complete_query, enough_candidates, with_limits
-from kindred.operators.range_grid import Grid, QueryLimits, candidates, candidates_per_query
+from kindred.operators.range_grid import QueryLimits, candidates_per_query
 from kindred.operators.topk import attach, check_k, topk_per_query
 from kindred.plans.text_search import QUERY_FIELDS
 from kindred.plans.vector_search import EmbeddingIndex
-from kindred.shared import scratch, stored
+from kindred.shared import scratch, spread, stored
 
 RESULT = ["query_id", "status", "rank", "item_id", "score", "url"]
 
@@ -31,21 +31,22 @@ def filtered_search(
 ) -> DataFrame:
     """One row per result, and one row with a status for each query without results.
 
-    Every query brings its own limits. Its candidates are counted from ids and facets alone; only those of
-    queries with enough of them meet the vectors.
+    Every query brings its own limits. Its candidates are found and counted from ids and facets alone; only
+    those of queries with enough of them meet the vectors.
     """
     check_k(k, k_max)
     fields = [f for f in QUERY_FIELDS if f in queries.columns]
     with scratch(queries.sparkSession) as keep:
         ready = with_limits(queries.where(complete_query(*fields)))
         asked = stored(index.asked(ready, limits.query_columns()), "asked")
-        grid = Grid.over(index.vectors, limits)
-        counts = candidates_per_query(asked, index.vectors, limits, grid).groupBy("query_id").agg(F.count("*").alias("n"))
-        enough = asked.join(counts.where(F.col("n") >= least).select("query_id"), "query_id", "left_semi")
-        wanted = enough.select("query_id", F.col("embedding").alias("_wanted"), norm(F.col("embedding")).alias("_wanted_norm"), *limits.query_columns())
-        items = index.vectors.select("item_id", "embedding", norm(F.col("embedding")).alias("_norm"), *dict.fromkeys(limits.item_columns()))
+        # Pairs of ids, found once: for the gate, and to meet the vectors.
+        pairs = stored(candidates_per_query(spread(asked, "query_id"), index.vectors, limits), "candidates")
+        enough = pairs.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("query_id")
+        wanted = asked.join(enough, "query_id", "left_semi").select("query_id", F.col("embedding").alias("_wanted"), norm(F.col("embedding")).alias("_wanted_norm"))
+        items = index.vectors.select("item_id", "embedding", norm(F.col("embedding")).alias("_norm"))
         similarity = F.coalesce(F.try_divide(dot(F.col("embedding"), F.col("_wanted")), F.col("_norm") * F.col("_wanted_norm")), F.lit(0.0))
-        scored = candidates(wanted, items, limits, grid).select("query_id", "item_id", demote_duplicates(similarity, demote).alias("score"))
+        met = spread(pairs, "query_id").join(wanted, "query_id").join(items, "item_id")
+        scored = met.select("query_id", "item_id", demote_duplicates(similarity, demote).alias("score"))
         found = keep(topk_per_query(scored, k).select("query_id", "rank", "item_id", "score"), "found")
     return _answers(queries, fields, found, items_text)
 
