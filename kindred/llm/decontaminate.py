@@ -5,6 +5,10 @@ Patterns and texts are sequences of word numbers, so the automaton has a node pe
 scanned once, whatever the number of items. Word places are mapped back to character offsets of the
 original text.
 
+The words of a text get their numbers by a hash of their bytes, all at once: a running sum of byte codes
+times powers, so that a word's hash is the difference of two sums, shifted to power 0. Equal words have
+equal hashes, so no find is missed; what is found by hashes is confirmed by the words themselves.
+
 The benchmark is the small side: it is read in blocks of bounded size, each block becomes one
 automaton, and a benchmark larger than a block is scanned block after block with the finds stored in
 between, so memory does not grow with it.
@@ -31,10 +35,63 @@ WINDOW = 13
 # Characters of benchmark text per automaton; about 25 MB of nodes.
 BLOCK_CHARS = 4_000_000
 MIN_SHARE = 20  # contaminated when one word in so many is hit
+PIECE = 1 << 18  # bytes of a text numbered at a time, on to the end of a word
 _WORD = re.compile(PLAIN_WORD)
+# Which bytes belong to a word: all of a character beyond ASCII do, as it does.
+_IN_WORD = np.array([_WORD.fullmatch(chr(b).translate(LOWER_TABLE)) is not None for b in range(256)])
 FOUND = "_hits array<struct<start:int,end:int>>, _items array<string>, _words long"
 
 
+class WordHash:
+    """64-bit hashes of the words of UTF-8 bytes, upper-case ASCII letters as lower-case ones."""
+
+    def __init__(self, seed: int) -> None:
+        drawn = np.random.default_rng(seed).integers(1, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        lowered = np.frombuffer(bytes(range(256)).lower(), dtype=np.uint8)
+        self.codes = np.where(_IN_WORD, drawn[lowered], np.uint64(0))
+        self.base = int(drawn[256])
+        self._grow(PIECE)
+
+    def _grow(self, size: int) -> None:
+        """Powers of the base and of its inverse modulo 2^64 (an odd number has one)."""
+        self.powers, self.inverse = np.ones((2, size + 1), dtype=np.uint64)
+        np.cumprod(np.full(size, self.base, dtype=np.uint64), out=self.powers[1:])
+        np.cumprod(np.full(size, pow(self.base, -1, 1 << 64), dtype=np.uint64), out=self.inverse[1:])
+
+    def __call__(self, body: np.ndarray) -> np.ndarray:
+        if len(body) > PIECE:
+            return np.concatenate([self._piece(body[a:b]) for a, b in _pieces(body)])
+        return self._piece(body)
+
+    def _piece(self, body: np.ndarray) -> np.ndarray:
+        size = len(body)
+        if size >= len(self.powers):
+            self._grow(size)
+        codes = self.codes[body]
+        inside = np.zeros(size + 2, dtype=np.int8)
+        inside[1:-1] = codes != 0
+        edges = np.flatnonzero(np.diff(inside))
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(size + 1, dtype=np.uint64)
+        np.cumsum(codes * self.powers[:size], out=sums[1:])
+        return (sums[ends] - sums[starts]) * self.inverse[starts]
+
+
+def _pieces(body: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Cuts of a long text, none of them inside a word."""
+    start = 0
+    while start < len(body):
+        end = start + PIECE
+        while end < len(body):
+            outside = np.flatnonzero(~_IN_WORD[body[end : end + PIECE]])
+            if len(outside):
+                end += int(outside[0])
+                break
+            end += PIECE
+        yield start, min(end, len(body))
+        start = end
+
+
 class Automaton:
     """Patterns of one block of items."""
 
@@ -51,23 +108,53 @@ class Automaton:
         self.empty = not patterns
         if patterns:
             self.machine.make_automaton()
+            self.least = min(map(len, patterns))
+            self._hash_words()
+
+    def _hash_words(self) -> None:
+        """Hashes of all words of the patterns; codes are drawn anew until no two words share one."""
+        together = np.frombuffer(" ".join(self.numbers).encode(), dtype=np.uint8)
+        seed, hashes = 0, np.zeros(0, dtype=np.uint64)
+        while len(np.unique(hashes)) < len(self.numbers):
+            self.hash = WordHash(seed)
+            hashes, seed = self.hash(together), seed + 1
+        order = np.argsort(hashes)
+        self.hashes, self.hash_numbers = hashes[order], np.arange(1, len(hashes) + 1)[order]
+
+    def may_occur(self, hashes: np.ndarray) -> bool:
+        """Does the automaton find a pattern in words of these hashes?
+
+        Only stretches of pattern words as long as the shortest pattern are given to it.
+        """
+        if self.empty or len(hashes) < self.least:
+            return False
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        numbers = np.where(self.hashes[at] == hashes, self.hash_numbers[at], 0)
+        known = np.zeros(len(numbers) + 2, dtype=np.int8)
+        known[1:-1] = numbers > 0
+        edges = np.flatnonzero(np.diff(known))
+        long = edges[1::2] - edges[::2] >= self.least
+        return any(
+            next(self.machine.iter(tuple(numbers[a:b].tolist())), None) is not None
+            for a, b in zip(edges[::2][long].tolist(), edges[1::2][long].tolist(), strict=True)
+        )
 
     def scan(self, words: list[str]) -> tuple[list[tuple[int, int]], set[str]]:
         """Merged word ranges (end exclusive) inside occurrences, and the items that occur."""
         if self.empty:
             return [], set()
         number = self.numbers.get
-        sequence = tuple([number(w, 0) for w in words])
-        if not any(sequence):
-            return [], set()
         ranges: list[tuple[int, int]] = []
         items: set[str] = set()
-        for end, (length, named) in self.machine.iter(sequence):
+        for end, (length, named) in self.machine.iter(tuple([number(w, 0) for w in words])):
             ranges.append((end + 1 - length, end + 1))
             items.update(named)
         return merged(ranges), items
 
 
+_COUNT = WordHash(0)
+
+
 def plain_words(text: str | None) -> list[str]:
     return _WORD.findall((text or "").translate(LOWER_TABLE))
 
@@ -131,14 +218,15 @@ def _scan_batch(batch: pa.RecordBatch, automaton: Automaton, text: str) -> pa.Re
     hits, items, counts = [], [], []
     before_hits, before_items = batch.column("_hits"), batch.column("_items")
     for row, body in enumerate(batch.column(text)):
-        words = plain_words(body.as_py())
-        ranges, named = automaton.scan(words)
+        content = body.as_buffer() if body.is_valid else None
+        hashes = (automaton.hash if not automaton.empty else _COUNT)(np.frombuffer(content or b"", dtype=np.uint8))
+        ranges, named = automaton.scan(plain_words(body.as_py())) if automaton.may_occur(hashes) else ([], set())
         old = before_hits[row].as_py()
         if old:
             ranges = merged(ranges + [(x["start"], x["end"]) for x in old])
         hits.append([{"start": s, "end": e} for s, e in ranges])
         items.append(sorted(named | set(before_items[row].as_py())))
-        counts.append(len(words))
+        counts.append(len(hashes))
     columns = {name: batch.column(name) for name in batch.schema.names}
     place = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     columns |= {"_hits": pa.array(hits, place), "_items": pa.array(items, pa.list_(pa.string())),

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import random
 import re
 import zlib
 
@@ -593,6 +594,19 @@ def test_decontamination(spark, documents, block):
     assert [(s["start"], s["end"]) for s in spot["spans"]] == [(2, 24)]
 
 
+def test_word_hashes(monkeypatch):
+    """As many words as the expression finds, one hash per word, in pieces of any size."""
+    hashed = decontaminate.WordHash(0)
+    monkeypatch.setattr(decontaminate, "PIECE", 64)
+    draw, seen = random.Random(5), {}
+    texts = ["".join(draw.choices("aZ9 é漢_-\n\x10@[`{\x7fK\x85K", k=draw.randrange(400))) for _ in range(500)]
+    for text in [*texts, "", "x" * 1000 + " y " + "X" * 1000]:
+        found = hashed(np.frombuffer(text.encode(), dtype=np.uint8)).tolist()
+        for word, value in zip(decontaminate.plain_words(text), found, strict=True):
+            assert seen.setdefault(word, value) == value
+    assert len(set(seen.values())) == len(seen)
+
+
 def test_context_tree():
     """A distribution at every place, the closed form at the root, and a better fit than the root alone."""
     row, table = ctw.weighted(np.array([], dtype=np.int64), np.array([]))
