@@ -578,10 +578,9 @@ def feature_build_encoded(spark, sf):
 
 
 def _searchable(spark, sf):
-    """Embeddings with their facets in one table, as an index is stored."""
-    return vector_search.EmbeddingIndex(
-        S.vectors(spark, sf).select("item_id", "embedding").join(S.facets(spark, sf), "item_id")
-    )
+    """Embeddings with their facets in one table, stored as an index is: a search reads it several times."""
+    rows = S.vectors(spark, sf).select("item_id", "embedding").join(S.facets(spark, sf), "item_id")
+    return vector_search.EmbeddingIndex(stored(rows, "index"))
 
 
 def _order_pages(spark, sf):

@@ -42,9 +42,12 @@ def filtered_search(
         # Pairs of ids, found once: for the gate, and to meet the vectors.
         pairs = stored(candidates_per_query(spread(asked, "query_id"), index.vectors, limits), "candidates")
         enough = pairs.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("query_id")
-        wanted = asked.join(enough, "query_id", "left_semi").select("query_id", F.col("embedding").alias("_wanted"), norm(F.col("embedding")).alias("_wanted_norm"))
-        items = index.vectors.select("item_id", "embedding", norm(F.col("embedding")).alias("_norm"))
-        similarity = F.coalesce(F.try_divide(dot(F.col("embedding"), F.col("_wanted")), F.col("_norm") * F.col("_wanted_norm")), F.lit(0.0))
+        # Numbers are widened and lengths taken once per vector, not once per pair.
+        wanted = asked.join(enough, "query_id", "left_semi").select(
+            "query_id", F.col("embedding").cast("array<double>").alias("_wanted"), norm(F.col("embedding")).alias("_wanted_norm")
+        )
+        items = index.vectors.select("item_id", F.col("embedding").cast("array<double>").alias("_vector"), norm(F.col("embedding")).alias("_norm"))
+        similarity = F.coalesce(F.try_divide(dot(F.col("_vector"), F.col("_wanted")), F.col("_norm") * F.col("_wanted_norm")), F.lit(0.0))
         met = spread(pairs, "query_id").join(wanted, "query_id").join(items, "item_id")
         scored = met.select("query_id", "item_id", demote_duplicates(similarity, demote).alias("score"))
         found = keep(topk_per_query(scored, k).select("query_id", "rank", "item_id", "score"), "found")
