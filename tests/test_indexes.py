@@ -122,6 +122,21 @@ def test_candidates_per_query(spark, parts):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_candidates_are_not_broadcast(spark):
+    """A query with all its cells is as small as one without for the planner; neither side may go through the driver."""
+    items, queries, item_table, query_table = limit_tables(spark, 50, 20)
+    found = range_grid.candidates_per_query(query_table, item_table, LIMITS)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == plain_candidates(items, queries)
+
+
+def test_limits_on_blocks_of_queries(spark):
+    items, queries, item_table, query_table = limit_tables(spark, 90, 40)
+    inside = LIMITS.bind(LIMITS.ready(query_table).toArrow())
+    found = [np.argwhere(inside(b).T) + [0, 30 * n] for n, b in enumerate(item_table.toArrow().combine_chunks().to_batches(30))]
+    assert sorted(map(tuple, np.concatenate(found).tolist())) == plain_candidates(items, queries)
+
+
 def test_limits_that_cannot_be(spark):
     _, _, items, queries = limit_tables(spark, 20, 5)
     with pytest.raises(Exception, match="unknown ingredient group: plutonium"):
@@ -186,6 +201,31 @@ def test_cells(spark, tmp_path, k, demote):
         assert report["visited"] < 0.5 * report["possible"]
 
 
+def test_cells_store_no_pairs_of_queries_and_cells(spark, tmp_path, monkeypatch):
+    """Vectors without clusters rule out nothing; what is stored stays within queries and lists all the same."""
+    from kindred.plans import vector_cells
+
+    sizes, stored = [], vector_cells.stored
+    monkeypatch.setattr(vector_cells, "stored", lambda df, name: (out := stored(df, name), sizes.append(out.count()))[0])
+    every = np.random.default_rng(4).normal(size=(400, 16)).tolist()
+    items = list(enumerate(every))
+    index = CellIndex.fit(spark.createDataFrame(items, "item_id long, embedding array<double>"), str(tmp_path / "cells"))
+    asked = items[:60]
+    found = index.search(spark.createDataFrame(asked, "query_id long, embedding array<double>"), 2)
+    assert rows(found.select("query_id", "rank", "item_id")) == plain_nearest(items, asked, 2)
+    assert max(sizes) <= 60 * 2
+
+
+def test_cells_with_repeated_rows(spark, tmp_path):
+    """A query that stands twice meets each item four times; one without an id has no list."""
+    items = [(1, [1.0, 0.0]), (2, [1.0, 1.0]), (2, [1.0, 1.0]), (3, [0.0, 1.0])]
+    asked = [(7, [1.0, 0.0]), (7, [1.0, 0.0]), (8, [0.0, 1.0]), (None, [1.0, 0.0])]
+    index = CellIndex.fit(spark.createDataFrame(items, "item_id long, embedding array<double>"), str(tmp_path / "cells"))
+    found = index.search(spark.createDataFrame(asked, "query_id long, embedding array<double>"), 6)
+    lists = {q: [r.item_id for r in found.where(F.col("query_id") == q).orderBy("rank").collect()] for q in (7, 8)}
+    assert lists == {7: [1, 1, 1, 1, 2, 2], 8: [3, 2, 2, 1]} and found.where("query_id IS NULL").count() == 0
+
+
 def test_cells_without_vectors(spark, tmp_path):
     none = spark.createDataFrame([(1, None), (2, [])], "item_id long, embedding array<double>")
     asked = spark.createDataFrame([(7, [1.0, 2.0])], "query_id long, embedding array<double>")
