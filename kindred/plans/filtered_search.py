@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from kindred import constants as K
-from kindred.functions.vectors import demote_duplicates, dot, norm
 from kindred.operators.facets import QUERY_LIMITS, FacetFilter, complete_query, enough_candidates, with_limits
-from kindred.operators.range_grid import QueryLimits, candidates_per_query
-from kindred.operators.topk import attach, check_k, topk_per_query
+from kindred.operators.range_grid import QueryLimits
+from kindred.operators.scan import scan_topk
+from kindred.operators.scorers import MAIN, DenseScoring
+from kindred.operators.topk import attach, check_k, eligible_items, merge_topk, ranked, repeated
 from kindred.plans.text_search import QUERY_FIELDS
 from kindred.plans.vector_search import EmbeddingIndex
 from kindred.shared import scratch, spread, stored
@@ -31,26 +33,30 @@ def filtered_search(
 ) -> DataFrame:
     """One row per result, and one row with a status for each query without results.
 
-    Every query brings its own limits. Its candidates are found and counted from ids and facets alone; only
-    those of queries with enough of them meet the vectors.
+    Every query brings its own limits. One scan of the items per block of queries counts each query's candidates and keeps
+    its k best of them; pairs of queries and candidates, which may be most of all pairs, are never stored. A query
+    without enough candidates loses its list. A query that stands in its table m times meets every candidate m * m times
+    (an item that stands in the index n times, n * n times), as in a join of pairs with queries and items.
     """
     check_k(k, k_max)
     fields = [f for f in QUERY_FIELDS if f in queries.columns]
     with scratch(queries.sparkSession) as keep:
         ready = with_limits(queries.where(complete_query(*fields)))
         asked = stored(index.asked(ready, limits.query_columns()), "asked")
-        # Pairs of ids, found once: for the gate, and to meet the vectors.
-        pairs = stored(candidates_per_query(spread(asked, "query_id"), index.vectors, limits), "candidates")
-        enough = pairs.groupBy("query_id").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("query_id")
-        # Numbers are widened and lengths taken once per vector, not once per pair.
-        wanted = asked.join(enough, "query_id", "left_semi").select(
-            "query_id", F.col("embedding").cast("array<double>").alias("_wanted"), norm(F.col("embedding")).alias("_wanted_norm")
-        )
-        items = index.vectors.select("item_id", F.col("embedding").cast("array<double>").alias("_vector"), norm(F.col("embedding")).alias("_norm"))
-        similarity = F.coalesce(F.try_divide(dot(F.col("_vector"), F.col("_wanted")), F.col("_norm") * F.col("_wanted_norm")), F.lit(0.0))
-        met = spread(pairs, "query_id").join(wanted, "query_id").join(items, "item_id")
-        scored = met.select("query_id", "item_id", demote_duplicates(similarity, demote).alias("score"))
-        found = keep(topk_per_query(scored, k).select("query_id", "rank", "item_id", "score"), "found")
+        same = asked.where(F.col("query_id").isNotNull()).groupBy(*asked.columns).agg(F.count("*").alias("_times"))
+        once = stored(limits.ready(same).withColumn("_row", F.monotonically_increasing_id()), "once")
+        rows = once.select("query_id", "_times", "_row")
+        scoring = DenseScoring(demote=demote, limits=limits)
+        items = spread(index.vectors.where(F.col("item_id").isNotNull()), "item_id")
+        asking = once.drop("query_id", "_times").withColumnRenamed("_row", "query_id")
+        partials = stored(scan_topk(items, asking, scoring, k), "partials")
+        counts = eligible_items(partials, MAIN).withColumnRenamed("query_id", "_row").join(rows, "_row")
+        enough = counts.groupBy("query_id").agg(F.sum(F.col("eligible") * F.col("_times")).alias("n")).where(F.col("n") >= least)
+        best = ranked(merge_topk(partials, k)).withColumnRenamed("query_id", "_row").join(rows, "_row")
+        kept = best.join(enough.select("query_id"), "query_id", "left_semi")
+        copies = F.count("*").over(W.partitionBy("_row", "item_id"))
+        top = repeated(kept.withColumn("_copies", copies), F.col("_times") * F.col("_times") * F.col("_copies"), k)
+        found = keep(top.select("query_id", "rank", "item_id", "score"), "found")
     return _answers(queries, fields, found, items_text)
 
 

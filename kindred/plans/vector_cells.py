@@ -6,8 +6,9 @@ A search visits each query's nearest cells until they hold k items; the k-th cos
 cells are visited only if they can hold something inside the radius, and in them only the ring of items whose own
 distance to the pivot differs by no more than that. Nothing else is read, and the result is exact.
 
-Pivots are a bounded sample; the index holds every item. Table rows lie in the order of cell and distance, so the
-join on the cell reads few files. Vectors without a length are no nearer than a right angle to anything: they have a
+Pivots are a bounded sample; the index holds every item. Table rows lie in the order of cell and distance. A search is two
+scans of them per block of queries, in which the items of a cell meet, as one matrix product, the queries that visit it;
+pairs of queries and cells are not stored, as there are many where nothing can be ruled out. Vectors without a length are no nearer than a right angle to anything: they have a
 cell of their own, -1, and a query without a length visits every cell.
 """
 
@@ -22,12 +23,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred import constants as K
-from kindred.functions.vectors import demote_duplicates, dot, norm
-from kindred.operators.topk import check_k, topk_per_query
+from kindred.functions.vectors import norm
+from kindred.operators.scan import scan_topk
+from kindred.operators.scorers import MAIN, NOT_ELIGIBLE, vector_matrix
+from kindred.operators.topk import check_k, merge_topk, ranked, repeated, topk_per_query
 from kindred.shared import scratch, stored
 
 MAX_PIVOTS = 1024
 RIGHT_ANGLE = 2.0**0.5  # chord length of cosine 0
+BOUNDS = 1024  # queries whose bounds are held at a time
 SLACK = 1e-6  # chords closer than this count as equal; results rank by nine digits of the cosine
 
 
@@ -99,60 +103,126 @@ class CellIndex:
     ) -> DataFrame:
         """(query_id, rank, item_id, score) by cosine; ``report`` gets the pairs of query and cell visited and possible."""
         check_k(k)
-        with scratch(queries.sparkSession) as keep:
-            asked = stored(queries.select("query_id", "embedding", norm(F.col("embedding")).alias("_norm")), "asked")
-            near = stored(self._visits(asked.withColumn("radius", F.lit(None).cast("double")), k), "visits")
-            first = stored(topk_per_query(self._scored(near, asked, demote), k), "first")
+        spark = queries.sparkSession
+        with scratch(spark) as keep:
+            # Equal rows ask once; one that stands m times meets every item m * m times, as in a join of visits with queries.
+            same = queries.where(F.col("query_id").isNotNull()).groupBy("query_id", "embedding").agg(F.count("*").alias("_times"))
+            once = stored(same.withColumn("_row", F.monotonically_increasing_id()), "once")
+            rows = once.select(F.col("_row").alias("query_id"), "embedding")
+            layout = Layout(_pivot_matrix(self.pivots), self.cells.orderBy("cell").toArrow(), k)  # at most MAX_PIVOTS + 1 cells
+            items = self.vectors.where(F.col("item_id").isNotNull())
+            asked = rows.withColumn("radius", F.lit(None).cast("double"))
+            first = stored(ranked(merge_topk(scan_topk(items, asked, CellScoring(layout, demote), k), k)), "first")
             bars = first.where(F.col("rank") == k).select("query_id", F.sqrt(F.greatest(F.lit(0.0), 2 - 2 * F.col("score"))).alias("radius"))
             # A query without k items so far has visited every cell.
-            far = stored(self._visits(asked.join(bars, "query_id"), k), "visits")
-            second = topk_per_query(self._scored(far, asked, demote), k)
-            both = first.drop("rank").unionByName(second.drop("rank"))
-            found = keep(topk_per_query(both, k).select("query_id", "rank", "item_id", "score"), "nearest")
+            again = stored(rows.join(bars, "query_id"), "again")
+            second = ranked(merge_topk(scan_topk(items, again, CellScoring(layout, demote), k), k))
+            both = topk_per_query(first.drop("rank").unionByName(second.drop("rank")), k)
+            whole = both.withColumnRenamed("query_id", "_row").join(once.select("query_id", "_times", "_row"), "_row")
+            found = keep(repeated(whole, F.col("_times") * F.col("_times"), k).select("query_id", "rank", "item_id", "score"), "nearest")
             if report is not None:
-                report.update(visited=near.count() + far.count(), possible=asked.count() * self.cells.count())
+                visited = sum(_visits(part, layout).agg(F.sum("cells")).first()[0] or 0 for part in (asked, again))
+                report.update(visited=visited, possible=asked.count() * self.cells.count())
             return found
 
-    def _visits(self, asked: DataFrame, k: int) -> DataFrame:
-        """``query_id, cell, q, reach``: the first cells of queries without a radius, all others it touches for those with one."""
-        cells = self.cells.orderBy("cell").toPandas()  # at most MAX_PIVOTS + 1 rows
-        shared = asked.sparkSession.sparkContext.broadcast((_pivot_matrix(self.pivots), cells))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            pivots, known = shared.value
-            cell, n, least, greatest = (known[c].to_numpy() for c in ("cell", "n", "least", "greatest"))
-            for batch in batches:
-                if not len(cell):
-                    continue
-                units, real = _unit(batch.column("embedding"), pivots.shape[1])
-                # The last column serves the cell -1.
-                q = np.column_stack((_chords(units, pivots), np.full(len(units), RIGHT_ANGLE)))[:, cell]
-                bound = np.maximum(0.0, np.maximum(q - greatest, least - q))
-                bound = np.where(cell >= 0, bound, RIGHT_ANGLE)
-                bound[~real] = 0.0
-                order = np.argsort(bound, axis=1, kind="stable")
-                before = np.cumsum(n[order], axis=1) - n[order]
-                opened = np.empty_like(order, dtype=bool)
-                np.put_along_axis(opened, order, before < k, axis=1)  # the nearest cells that hold k items
-                opened[~real] = True
-                radius = batch.column("radius").to_numpy(zero_copy_only=False).astype(float)
-                later = ~opened & (bound <= radius[:, None] + SLACK)
-                row, col = np.nonzero(np.where(np.isnan(radius)[:, None], opened, later))
-                # All of a first cell is scored, and the zero vectors have no ring.
-                reach = np.where(np.isnan(radius[row]) | (cell[col] < 0), np.inf, radius[row] + SLACK)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("query_id").take(pa.array(row)), pa.array(cell[col]), pa.array(q[row, col]), pa.array(reach)],
-                    ["query_id", "cell", "q", "reach"],
-                )
-
-        return asked.select("query_id", "embedding", "radius").mapInArrow(run, "query_id long, cell int, q double, reach double")
-
-    def _scored(self, visits: DataFrame, asked: DataFrame, demote: float | None) -> DataFrame:
-        wanted = visits.join(asked.select("query_id", F.col("embedding").alias("_wanted"), "_norm"), "query_id")
-        met = self.vectors.join(wanted, "cell").where(F.abs(F.col("distance") - F.col("q")) <= F.col("reach"))
-        similarity = F.coalesce(F.try_divide(dot(F.col("embedding"), F.col("_wanted")), F.col("norm") * F.col("_norm")), F.lit(0.0))
-        score = similarity if demote is None else demote_duplicates(similarity, demote)
-        return met.select("query_id", "item_id", score.alias("score"))
+
+@dataclass(frozen=True)
+class Layout:
+    """Unit vectors of the pivots, the cells in order with their size and range of distances, and how many items a list holds."""
+
+    pivots: np.ndarray
+    cells: pa.Table
+    k: int
+
+    def visited(self, units: np.ndarray, real: np.ndarray, radius: np.ndarray) -> np.ndarray:
+        """Queries and cells: the first cells of queries without a radius, all others it touches for those with one."""
+        cell, n, least, greatest = (self.cells.column(c).to_numpy() for c in ("cell", "n", "least", "greatest"))
+        out = np.zeros((len(units), len(cell)), dtype=bool)
+        if not len(cell):
+            return out
+        for at in range(0, len(units), BOUNDS):
+            some = slice(at, at + BOUNDS)
+            # The last column serves the cell -1.
+            q = np.column_stack((_chords(units[some], self.pivots), np.full(len(units[some]), RIGHT_ANGLE)))[:, cell]
+            bound = np.maximum(0.0, np.maximum(q - greatest, least - q))
+            bound = np.where(cell >= 0, bound, RIGHT_ANGLE)
+            bound[~real[some]] = 0.0
+            order = np.argsort(bound, axis=1, kind="stable")
+            before = np.cumsum(n[order], axis=1) - n[order]
+            opened = np.empty_like(order, dtype=bool)
+            np.put_along_axis(opened, order, before < self.k, axis=1)  # the nearest cells that hold k items
+            opened[~real[some]] = True
+            later = ~opened & (bound <= radius[some, None] + SLACK)
+            out[some] = np.where(np.isnan(radius[some])[:, None], opened, later)
+        return out
+
+
+def _radius(queries: pa.Table | pa.RecordBatch) -> np.ndarray:
+    return np.asarray(queries.column("radius").to_pylist(), dtype=float)  # NULL is NaN
+
+
+def _visits(asked: DataFrame, layout: Layout) -> DataFrame:
+    """``cells``: how many cells each query visits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen = layout.visited(*_unit(batch.column("embedding"), layout.pivots.shape[1]), _radius(batch))
+            yield pa.RecordBatch.from_arrays([pa.array(seen.sum(axis=1), pa.int64())], ["cells"])
+
+    return asked.select("embedding", "radius").mapInArrow(run, "cells long")
+
+
+@dataclass(frozen=True)
+class CellScoring:
+    """Cosines of the queries and the items of the cells they visit, of each cell only the ring inside the radius."""
+
+    layout: Layout
+    demote: float | None = None
+
+    def columns(self) -> list[str]:
+        return ["embedding", "cell", "distance"]
+
+    def bind(self, queries: pa.Table) -> _CellScorer:
+        return _CellScorer(self, queries)
+
+
+class _CellScorer:
+    def __init__(self, spec: CellScoring, queries: pa.Table) -> None:
+        self.spec = spec
+        self.query_ids = queries.column("query_id").to_numpy()
+        self.radius = _radius(queries)
+        vectors = vector_matrix(queries.column("embedding"))
+        length = np.sqrt((vectors * vectors).sum(axis=1))
+        self.real, self.units = length > 0, vectors / np.where(length == 0, 1.0, length)[:, None]
+        known = self.units if len(spec.layout.pivots) else self.units[:, :0]
+        self.visited = spec.layout.visited(known, self.real if len(spec.layout.pivots) else np.zeros(len(known), bool), self.radius)
+        self.cells = spec.layout.cells.column("cell").to_numpy()
+
+    def width(self) -> int:
+        return len(self.query_ids)
+
+    def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
+        out = np.full((batch.num_rows, len(self.query_ids)), NOT_ELIGIBLE)
+        of_item, distance = batch.column("cell").to_numpy(), batch.column("distance").to_numpy()
+        items = vector_matrix(batch.column("embedding"), self.units.shape[1])
+        length = np.sqrt((items * items).sum(axis=1))
+        items = items / np.where(length == 0, 1.0, length)[:, None]
+        for cell in np.unique(of_item):
+            rows = np.flatnonzero(of_item == cell)
+            asking = np.flatnonzero(self.visited[:, np.searchsorted(self.cells, cell)])
+            if not len(asking):
+                continue
+            units = self.units[asking]
+            cosine = items[rows] @ units.T
+            if self.spec.demote is not None:
+                cosine[cosine > self.spec.demote] = -1.0
+            # All of a first cell is scored, and the zero vectors have no ring.
+            if cell >= 0 and not np.isnan(self.radius[asking]).all():
+                q = _chords(units, self.spec.layout.pivots[[cell]])[:, 0]
+                outside = np.abs(distance[rows][:, None] - q[None, :]) > self.radius[asking][None, :] + SLACK
+                cosine[outside] = NOT_ELIGIBLE
+            out[np.ix_(rows, asking)] = cosine
+        return {MAIN: out}
 
 
 def _pivot_matrix(pivots: DataFrame) -> np.ndarray:

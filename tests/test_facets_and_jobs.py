@@ -141,6 +141,30 @@ def test_filtered_search(spark, shop):
     ]
 
 
+def test_filtered_search_stores_no_pairs(spark, shop, monkeypatch):
+    """All items are candidates of all queries, and yet what is stored stays within queries and lists."""
+    from kindred.plans import filtered_search as module
+
+    sizes, stored = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, name: (out := stored(df, name), sizes.append(out.count()))[0])
+    _, index, urls = shop
+    asked = spark.range(30).selectExpr("id AS query_id", "'bake' AS directions", "'flour' AS ingredients", "array(1.0D, id / 50) AS embedding")
+    found = filtered_search(asked, index, urls, 2)
+    assert found.where("status = 'ok'").count() == 60
+    assert max(sizes) <= 30 * 2 * 2 * spark.sparkContext.defaultParallelism
+
+
+def test_filtered_search_with_repeated_rows(spark, shop):
+    """A query that stands twice has twice the candidates, and meets each of them four times."""
+    _, index, urls = shop
+    kind = "query_id long, directions string, ingredients string, embedding array<double>, calories_max double"
+    asked = spark.createDataFrame([(1, "bake", "flour", [1.0, 0.0], 49.0)] * 2 + [(None, "bake", "flour", [1.0, 0.0], 149.0)], kind)
+    found = filtered_search(asked.withColumn("calories_min", F.lit(0.0)), index, urls, 5).collect()
+    got = sorted((r["rank"], r["url"]) for r in found if r["status"] == "ok")
+    assert got == [(1, "u21"), (2, "u21"), (3, "u21"), (4, "u21"), (5, "u22")]
+    assert [r["query_id"] for r in found if r["status"] != "ok"] == [None]
+
+
 def test_shared_filter_both_layouts(spark, shop):
     items, index, urls = shop
     asked = spark.createDataFrame([(1, "bake", "flour", [1.0, 0.0])],

@@ -442,6 +442,39 @@ def test_no_queries_and_no_items(spark):
     assert lists(EmbeddingIndex(_vectors(spark, [])).search(_vectors(spark, [(1, [1, 0])], "query_id"), 3)) == {}
 
 
+def test_several_blocks_make_the_items_once(spark, monkeypatch):
+    """No pass encodes or joins the items anew, and no caller gets blocks above what may be broadcast."""
+    from kindred.operators import scan
+
+    made, shared = spark.sparkContext.accumulator(0), scan._shared
+    sizes = []
+
+    @F.udf("array<double>")
+    def vector(i):
+        made.add(1)
+        return [float(i), 1.0]
+
+    monkeypatch.setattr(scan, "MAX_BROADCAST_ROWS", 4)
+    monkeypatch.setattr(scan, "_shared", lambda block: (sizes.append(block.count()), shared(block))[1])
+    items = spark.range(30).select(F.col("id").alias("item_id"), vector("id").alias("embedding"))
+    asked = spark.range(20).selectExpr("id AS query_id", "array(double(id), 2.0D) AS embedding")
+    found = ranked(merge_topk(scan_topk(items, asked, DenseScoring(), 3, max_rows=1000), 3))
+    assert found.count() == 60 and made.value == 30
+    assert len(sizes) >= 5 and max(sizes) < 20
+
+
+def test_steps_of_a_scan_are_bounded():
+    """A few queries over a large batch: the scores and the dense product of a step stay small."""
+    queries = pa.table({"query_id": pa.array([1, 2], pa.int64()), "features": pa.array([["a"], ["b"]], pa.list_(pa.string()))})
+    scorer, steps = SparseScoring(weighted=False).bind(queries), []
+    score = scorer.score
+    scorer.score = lambda batch: (steps.append(batch.num_rows), score(batch))[1]
+    batch = pa.record_batch({"item_id": pa.array(range(9000), pa.int64()), "features": pa.array([["a", "c"]] * 9000, pa.list_(pa.string()))})
+    found = [r for b in rank_batches(iter([batch]), scorer, 3) for r in b.to_pylist()]
+    assert max(steps) <= 2000 and sum(steps) == 9000
+    assert [(r["query_id"], r["item_id"], r["score"]) for r in found] == [(1, 0, 1.0), (1, 1, 1.0), (1, 2, 1.0), (2, 0, 0.0), (2, 1, 0.0), (2, 2, 0.0)]
+
+
 def test_plan_has_no_cross_join_and_no_item_shuffle(spark, faceted, tmp_path):
     items, queries, *_ = faceted
     items.write.parquet(str(tmp_path / "items"))
