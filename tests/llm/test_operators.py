@@ -1,7 +1,9 @@
 """The numbered operators against plain versions of their contracts, and their defined odd cases."""
 
 import collections
+import functools
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -628,6 +630,67 @@ def test_context_tree():
         ctw.PIECE = cut
 
 
+def plain_tree(texts):
+    """Context-tree weighting over whole bytes by its definition: counts of every context, mixed from the deepest up."""
+    counts = collections.Counter()
+    bodies = [bytes(ctw.DEPTH) + t + b"\xff" for t in texts]
+    for body in bodies:
+        for at in range(ctw.DEPTH, len(body)):
+            bits = f"{body[at]:08b}"
+            for depth in range(ctw.DEPTH + 1):
+                for level in range(8):
+                    counts[body[at - depth : at], bits[:level], bits[level]] += 1
+    children = collections.defaultdict(set)
+    for context, prefix, _ in counts:
+        if context:
+            children[context[1:], prefix].add(context)
+
+    def block(context, prefix):
+        a, b = (counts[context, prefix, bit] for bit in "01")
+        return math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+
+    @functools.cache
+    def log_weighted(context, prefix):
+        if len(context) == ctw.DEPTH:
+            return block(context, prefix)
+        return np.logaddexp(block(context, prefix), below(context, prefix)) - math.log(2)
+
+    def below(context, prefix):
+        return sum(log_weighted(c, prefix) for c in children[context, prefix])
+
+    def chance(context, prefix, bit, depth=0, estimate=0.5):
+        here = context[len(context) - depth :]
+        n = [counts[here, prefix, b] for b in "01"]
+        if sum(n):
+            estimate = (n[int(bit)] + 0.5) / (sum(n) + 1)
+        if depth == ctw.DEPTH:
+            return estimate
+        share = 1 / (1 + math.exp(min(700, below(here, prefix) - block(here, prefix))))
+        return share * estimate + (1 - share) * chance(context, prefix, bit, depth + 1, estimate)
+
+    def score(text):
+        body, total = bytes(ctw.DEPTH) + text + b"\xff", 0.0
+        for at in range(ctw.DEPTH, len(body)):
+            bits = f"{body[at]:08b}"
+            total += sum(math.log10(chance(body[at - ctw.DEPTH : at], bits[:level], bits[level])) for level in range(8))
+        return total
+
+    return score
+
+
+@pytest.mark.parametrize("hot_grams", [0, 30, 100_000])
+def test_context_tree_equals_its_definition(spark, hot_grams):
+    """Bytes that shared a class before are told apart, and contexts of held-out texts alone fall back to their parents."""
+    texts = ["héllo wörld ab\tzz", "hello w@rld", "a#b a$b a#b a%b", "日本語 日本", None, "", "3#3 ünseen ÿ", "a#b a$b a#b a%b", "xa#b xa$b", "q"]
+    rows = list(enumerate(texts * 2))
+    train = [(t or "").encode().lower() for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2]
+    assert 0 < len(train) < len(rows)
+    plain = plain_tree(train)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in ctw.score(docs, hot_grams=hot_grams).collect()}
+    assert got == pytest.approx({i: plain((t or "").encode().lower()) for i, t in rows}, rel=1e-6)
+
+
 @pytest.mark.parametrize("hot", [3, 100_000])
 def test_language_model(spark, odd, hot):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
