@@ -8,6 +8,7 @@ nothing special: the limits are pushed into the Parquet scan, which compares the
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,10 +16,12 @@ from pyspark.sql import functions as F
 
 from kindred import constants as K
 from kindred.operators.range_grid import quantile_cuts, reached
+from kindred.shared import scratch, stored
 
 CURVE_COLUMNS = (*K.NUTRIENT_COLUMNS, "time_mins")
 BITS = 4  # of each column
 ROW_GROUP_BYTES = 16 * 1024 * 1024
+ROWS_OF_A_TASK = 250_000
 
 
 def curve_key(columns: Sequence[str], cuts: Sequence[Sequence[float]], bits: int = BITS) -> Column:
@@ -34,9 +37,15 @@ def curve_key(columns: Sequence[str], cuts: Sequence[Sequence[float]], bits: int
 def write_clustered(
     facets: DataFrame, path: str, columns: Sequence[str] = CURVE_COLUMNS, bits: int = BITS, row_group_bytes: int = ROW_GROUP_BYTES
 ) -> None:
-    """Write the table along the curve. Rows of one key can be spread over several files."""
-    key = curve_key(columns, quantile_cuts(facets, columns, 2**bits), bits)
-    keyed = facets.withColumn("_key", key)
-    ordered = keyed.repartitionByRange("_key", "item_id").sortWithinPartitions("_key", "item_id").drop("_key")
-    # The writer looks at its buffer every hundred rows, so small groups are kept small.
-    ordered.write.option("parquet.block.size", row_group_bytes).option("parquet.page.size.row.check.max", 100).parquet(path)
+    """Write the table along the curve. Rows of one key can be spread over several files.
+
+    A large table is cut into more parts than the session has for its shuffles, so that no task grows with it.
+    """
+    with scratch(facets.sparkSession):
+        facets = stored(facets, "facets")  # read for the cuts, for their number and for the order
+        key = curve_key(columns, quantile_cuts(facets, columns, 2**bits), bits)
+        parts = [n] if (n := math.ceil(facets.count() / ROWS_OF_A_TASK)) > int(facets.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+        keyed = facets.withColumn("_key", key)
+        ordered = keyed.repartitionByRange(*parts, "_key", "item_id").sortWithinPartitions("_key", "item_id").drop("_key")
+        # The writer looks at its buffer every hundred rows, so small groups are kept small.
+        ordered.write.option("parquet.block.size", row_group_bytes).option("parquet.page.size.row.check.max", 100).parquet(path)

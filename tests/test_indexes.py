@@ -266,6 +266,14 @@ def test_clustered_facets_skip_row_groups(spark, tmp_path):
     assert back.agg(F.bit_xor(F.xxhash64(*table.columns))).first() == table.agg(F.bit_xor(F.xxhash64(*table.columns))).first()
 
 
+def test_clustered_facets_of_a_large_table_have_more_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(clustered_facets, "ROWS_OF_A_TASK", 10)
+    table = spark.range(200).selectExpr("id AS item_id", "double(id % 13) AS a", "double(id % 7) AS b")
+    clustered_facets.write_clustered(table, str(tmp_path / "many"), ["a", "b"])
+    assert len(list((tmp_path / "many").glob("*.parquet"))) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert sorted(rows(spark.read.parquet(str(tmp_path / "many")))) == sorted(rows(table))
+
+
 def test_clustered_facets_with_missing_and_equal_values(spark, tmp_path):
     table = spark.range(100).select(
         F.col("id").alias("item_id"), F.lit(5.0).alias("calories"), F.lit(None).cast("double").alias("protein"),

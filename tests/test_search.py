@@ -311,6 +311,30 @@ def test_model_is_loaded_once_per_process(spark, tmp_path):
     assert loads and len(loads) == len(set(loads))
 
 
+def test_texts_are_encoded_and_counted_by_bounded_parts(spark, monkeypatch):
+    """A batch of 2500 texts is unfolded in parts, with the same results as a whole."""
+    from kindred.functions import models, ngrams
+
+    def factory():
+        def encode(texts):
+            assert len(texts) <= 1000
+            return np.array([[float(len(t))] for t in texts])
+        return encode
+
+    table = spark.range(0, 2500, 1, 1).select("id", F.repeat(F.lit("x"), (F.col("id") % 50).cast("int")).alias("text"))
+    found = table.select("id", models.encode_fields([F.col("text")], factory).alias("v")).collect()
+    assert [r.v for r in found] == [[r.id % 50] for r in found] and len(found) == 2500
+
+    sizes, count = [], ngrams.char_ngrams
+    monkeypatch.setattr(ngrams, "char_ngrams", lambda texts, *n: (sizes.append(len(texts)), count(texts, *n))[1])
+    batch = pa.record_batch({"char": pa.array(["ab", "abc"] * 1250)})
+    parts = pa.Table.from_batches(ngrams.frequency_mapper(None, (2, 2))(iter([batch]))).to_pylist()
+    counts = Counter()
+    for r in parts:
+        counts[r["term"]] += r["df"]
+    assert max(sizes) <= 1000 and counts == {"ab": 2500, "bc": 1250}
+
+
 def test_embedding_storage(spark, tmp_path):
     index = EmbeddingIndex(_vectors(spark, [(i, _unit(i / 10)) for i in range(5)]))
     index.write(str(tmp_path / "v"))
