@@ -6,11 +6,14 @@ word has found so far shares at most the words still to come. Once a query's k-t
 other item can enter its list and the query leaves the rounds: the postings of its common words are not read.
 
 Counts so far are lower bounds, so the items that can still reach the list are scored exactly, from their token sets,
-before the list is cut. Every step is a join on equal columns or an aggregation with partial sums.
+before the list is cut. Every step is a join on equal columns or an aggregation. Postings are dealt by item before they meet
+the queries, into parts whose pairs with all queries are a bounded number: a task that read the postings of a common word
+whole would count a pair for most items and queries.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -27,6 +30,8 @@ BUCKETS = 64  # folders of the postings
 # Words of a round stand in at most this share of the items; the last round takes them all.
 ROUNDS = (0.001, 0.03, 1.0)
 POSTINGS = "item_id bigint, field int, token string, bucket int"
+COUNTERS = 2_000_000  # pairs of query and item that a task counts, at most about
+MAX_TASKS = 4096
 MAX_PUSHED = 500  # so many tokens are named to the scan; more are found by the join alone
 
 
@@ -101,11 +106,15 @@ class PostingsIndex:
                 upper = n if share >= 1 else int(share * n)
                 mine = asked.join(still, "query_id", "left_semi")
                 new = mine.where((F.col("df") > lower) & (F.col("df") <= upper))
-                hits = self.postings_of(new).join(new.select("query_id", "field", "token"), ["field", "token"])
-                pairs = hits.select("query_id", "item_id", F.lit(1).alias("score"))
+                least = queries.sparkSession.sparkContext.defaultParallelism
+                tasks = max(least, min(MAX_TASKS, math.ceil(n * still.count() / COUNTERS)))
+                dealt = self.postings_of(new).repartition(tasks, "item_id")
+                hits = dealt.join(new.select("query_id", "field", "token"), ["field", "token"])
+                pairs = hits.groupBy("query_id", "item_id").agg(F.count("*").cast("int").alias("score"))
                 if counted is not None:
-                    pairs = pairs.unionByName(counted.join(still, "query_id", "left_semi"))
-                counted = stored(pairs.groupBy("query_id", "item_id").agg(F.sum("score").cast("int").alias("score")), "counted")
+                    both = pairs.unionByName(counted.join(still, "query_id", "left_semi")).repartition(tasks, "query_id", "item_id")
+                    pairs = both.groupBy("query_id", "item_id").agg(F.sum("score").cast("int").alias("score"))
+                counted = stored(pairs, "counted")
                 rest = mine.groupBy("query_id").agg(F.count_if(F.col("df") > upper).alias("rest"))
                 bars = topk_per_query(counted, k).where(F.col("rank") == k).select("query_id", F.col("score").alias("bar"))
                 # A query without any known word has nothing to come and no bar.

@@ -69,6 +69,17 @@ def test_postings_stop_early(spark, tmp_path):
     assert report == [(0.1, 5, 50)]
 
 
+def test_postings_are_dealt_before_they_meet_queries(spark, overlap, monkeypatch):
+    """As many parts as pairs need, so that no task counts the pairs of all items; the lists stay the same."""
+    from kindred.plans import postings_search
+
+    parts, stored = [], postings_search.stored
+    monkeypatch.setattr(postings_search, "COUNTERS", 200)
+    monkeypatch.setattr(postings_search, "stored", lambda df, name: (parts.append((name, df.rdd.getNumPartitions())), stored(df, name))[1])
+    test_postings(overlap, (1.0,))
+    assert [n for name, n in parts if name == "counted"][0] > 2 * spark.sparkContext.defaultParallelism
+
+
 def test_postings_of_other_words_are_not_read(spark, overlap):
     *_, index = overlap
     one = spark.createDataFrame([(0, WORDS[7])], "field int, token string")
