@@ -228,6 +228,76 @@ def test_tfidf_word_table_too_large_to_broadcast(corpus, monkeypatch):
         assert lists(TfidfIndex.fit(items).search(queries, 6)) == want
 
 
+@pytest.mark.parametrize("share", [0.0, 0.5, 0.9])
+def test_tfidf_frequent_words_travel_and_rare_ones_are_joined(corpus, monkeypatch, share):
+    """Lengths are the same whatever part of the dictionary is broadcast, and no pair of a word that was is shuffled."""
+    from kindred.plans import tfidf_search
+
+    items = corpus[0]
+    docs = items.select("item_id", F.concat_ws(" ", "directions", "ingr").alias("text"))
+    index = TfidfIndex.fit(items)
+    want = {r["item_id"]: r for r in index.lengths(docs).collect()}
+    several, joined = index.words.where("df > 1").count(), []
+    terms = int(share * several)
+
+    def join(counts, rest, key, rows_of_key, total, spread_by):
+        joined.append((counts.where(F.col(key).isNotNull()).count(), rest.count()))
+        return whole(counts, rest, key, rows_of_key, total, spread_by)
+
+    whole = tfidf_search.join_dictionary
+    monkeypatch.setattr(tfidf_search, "join_dictionary", join)
+    monkeypatch.setattr(tfidf_search, "MAX_BROADCAST_BYTES", 16 * terms)
+    found = index.lengths(docs).collect()
+    assert len(found) == len(want)
+    for r in found:
+        assert (r["word"], r["char"]) == pytest.approx((want[r["item_id"]]["word"], want[r["item_id"]]["char"]))
+    (rows, rest), = joined
+    assert several - terms <= rest <= several
+    # What is joined: the words of one document, and the rarest of the others.
+    df = sorted(r["df"] for r in index.words.where("df > 1").collect())
+    assert rows == index.words.where("df = 1").count() + sum(df[:rest])
+
+
+def test_large_blocks_are_scored_in_single_precision_first(monkeypatch):
+    """The lists equal those in double precision, ties and queries without any feature included."""
+    from kindred.operators import scorers
+
+    rng = np.random.default_rng(5)
+    words = [f"{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+
+    def texts(n):
+        return [[words[i] for i in (rng.random(rng.integers(0, 12)) ** 2 * len(words)).astype(int)] for _ in range(n)]
+
+    item_words = texts(60) * 2
+    items = pa.record_batch({
+        "item_id": pa.array(rng.permutation(120), pa.int64()), "word": pa.array(item_words, pa.list_(pa.string())),
+        "char": pa.array([" ".join(w) for w in item_words]), "features": pa.array([sorted(set(w)) for w in item_words], pa.list_(pa.string())),
+        "word_scale": pa.array(rng.random(60).tolist() * 2), "char_scale": pa.array([0.0, *rng.random(59)] * 2)})
+    asked = [sorted({f"w{w}" for w in t} | {f"c{w}" for w in t}) for t in texts(40)]
+    queries = pa.table({
+        "query_id": pa.array(range(40), pa.int64()), "features": pa.array(asked, pa.list_(pa.string())),
+        "weights": pa.array([rng.random(len(a)).tolist() for a in asked], pa.list_(pa.float64()))})
+    plain = queries.set_column(1, "features", pa.array([sorted({f[1:] for f in a}) for a in asked], pa.list_(pa.string())))
+    for spec, block in ((scorers.TextScoring((1, 2), (2, 4)), queries), (SparseScoring(weighted=False), plain)):
+        def run():
+            scorer = spec.bind(block)
+            (found,) = rank_batches(iter([items]), scorer, 3)
+            return scorer, found.sort_by([("query_id", "ascending"), ("score", "descending"), ("item_id", "ascending")]).to_pylist()
+
+        monkeypatch.setattr(scorers, "_NEAR_QUERIES", 1_000)
+        double, want = run()
+        monkeypatch.setattr(scorers, "_NEAR_QUERIES", 1)
+        for cells in (scorers._NEAR_DENSE_CELLS, 0):
+            monkeypatch.setattr(scorers, "_NEAR_DENSE_CELLS", cells)
+            single, got = run()
+            assert not double.near and single.near and single.dense.dtype == np.float32
+            assert len(got) == len(want) == 120
+            for x, y in zip(got, want, strict=True):
+                assert (x["query_id"], x["item_id"], x["eligible"]) == (y["query_id"], y["item_id"], y["eligible"])
+                assert x["score"] == pytest.approx(y["score"], rel=1e-12)
+        monkeypatch.undo()
+
+
 def test_tfidf_storage(corpus, spark, tmp_path):
     items, queries, *_ = corpus
     index = TfidfIndex.fit(items)
