@@ -298,6 +298,76 @@ def test_large_blocks_are_scored_in_single_precision_first(monkeypatch):
         monkeypatch.undo()
 
 
+def test_groups_of_like_queries_give_the_same_lists(monkeypatch):
+    """Texts of two kinds, grouped by frequent features, long and short: the lists equal those in double precision."""
+    from kindred.operators import scorers
+
+    rng = np.random.default_rng(8)
+    def table(n, key):
+        texts = [[f"{'ab'[i % 2]}{int(w)}" for w in rng.random(rng.integers(0, 30)) ** 2 * 40] for i in range(n)]
+        return pa.table({key: pa.array(rng.permutation(n), pa.int64()), "features": pa.array(texts, pa.list_(pa.string()))})
+    items, queries = table(150, "item_id"), table(64, "query_id")
+    def run():
+        scorer = SparseScoring(weighted=False).bind(queries)
+        (found,) = rank_batches(iter(items.to_batches(max_chunksize=70)), scorer, 4)
+        return scorer, found.sort_by([("query_id", "ascending"), ("score", "descending"), ("item_id", "ascending")]).to_pylist()
+    _, want = run()
+    monkeypatch.setattr(scorers, "_NEAR_QUERIES", 1)
+    monkeypatch.setattr(scorers, "_NEAR_GROUP", 8)
+    monkeypatch.setattr(scorers, "_NEAR_CELLS", 64 * 20)
+    grouped, got = run()
+    assert len(grouped.groups.slices) > 2 and sum(len(c) for c in grouped.groups.columns) and len(grouped.groups.lists)
+    assert got == want and len(want) == 4 * 64
+
+
+@pytest.mark.parametrize("way", ["plain", "demoted", "band", "edges", "limits"])
+def test_large_blocks_of_vectors_are_scored_in_single_precision_first(monkeypatch, way):
+    """The lists and counts equal those in double precision: copies, vectors of zeros and ends of the band included."""
+    from kindred.operators import range_grid, scorers
+
+    rng = np.random.default_rng(3)
+    def vectors(n):
+        out = rng.normal(size=(n, 3)).round(1)
+        out[rng.random(n) < 0.1] = 0.0
+        out[rng.random(n) < 0.2] = [1.0, 0.0, 1.0]
+        return out
+    def table(n, key):
+        return pa.table({key: pa.array(rng.permutation(n), pa.int64()), "embedding": pa.array(vectors(n).tolist(), pa.list_(pa.float64())),
+                         "kind": pa.array(rng.choice(["x", "y", None], n).tolist(), pa.string()), "a": pa.array([None if a < 0.1 else a for a in rng.random(n)])})
+    items, queries = table(300, "item_id"), table(50, "query_id")
+    if way == "limits":
+        limits = range_grid.QueryLimits(ranges=(("a", "low", None),), method=("kind", "kinds"))
+        queries = queries.append_column("low", pa.array([None if a < 0.2 else a for a in rng.random(50)]))
+        queries = queries.append_column("kinds", pa.array([["x"]] * 25 + [[]] * 25)).append_column("_every_method", pa.array([False] * 25 + [True] * 25))
+        spec = DenseScoring(demote=0.98, limits=limits)
+    else:
+        # Vectors (1, 0, 1) and (1, 0, 0) stand at the square root of a half.
+        ends = {"band": (0.2, 0.9), "edges": (0.5**0.5, 1.0)}.get(way)
+        facets = (("kind", "kind"), ("a", "a")) if way == "band" else ()
+        spec = DenseScoring(demote=0.98 if way == "demoted" else None, band=ends, facets=facets, weight=0.6)
+    def run(k):
+        scorer = spec.bind(queries)
+        found = [b.sort_by([("query_id", "ascending"), ("score", "descending"), ("item_id", "ascending")]).to_pylist()
+                 for b in rank_batches(iter(items.to_batches(max_chunksize=130)), scorer, k)]
+        return scorer, found
+    for k in (1, 7):
+        double, want = run(k)
+        monkeypatch.setattr(scorers, "_NEAR_QUERIES", 1)
+        monkeypatch.setattr(scorers, "_COSINE_CELLS", 50 * 25)
+        single, got = run(k)
+        monkeypatch.undo()
+        assert not double.near and single.near
+        enough = {r["query_id"] for r in want[0] if r["eligible"] >= k}
+        if spec.band:  # who has enough inside the band needs no other list
+            lists = [{r["query_id"] for r in found[1]} for found in (want, got)]
+            assert lists[0] - enough <= lists[1]
+            want[1], got[1] = ([r for r in found[1] if r["query_id"] not in enough] for found in (want, got))
+        for mine, theirs in zip(got, want, strict=True):
+            same = [[(r["query_id"], r["item_id"], r["eligible"]) for r in found] for found in (mine, theirs)]
+            assert same[0] == same[1]
+            assert [r["score"] for r in mine] == pytest.approx([r["score"] for r in theirs], abs=1e-12)
+
+
 def test_tfidf_storage(corpus, spark, tmp_path):
     items, queries, *_ = corpus
     index = TfidfIndex.fit(items)
