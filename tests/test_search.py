@@ -347,7 +347,7 @@ def test_large_blocks_of_vectors_are_scored_in_single_precision_first(monkeypatc
         spec = DenseScoring(demote=0.98 if way == "demoted" else None, band=ends, facets=facets, weight=0.6)
     def run(k):
         scorer = spec.bind(queries)
-        found = [b.sort_by([("query_id", "ascending"), ("score", "descending"), ("item_id", "ascending")]).to_pylist()
+        found = [sorted(b.to_pylist(), key=lambda r: (r["query_id"], -round(r["score"], 9), r["item_id"]))
                  for b in rank_batches(iter(items.to_batches(max_chunksize=130)), scorer, k)]
         return scorer, found
     for k in (1, 7):
