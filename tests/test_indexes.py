@@ -141,6 +141,17 @@ def test_candidates_are_not_broadcast(spark):
     assert rows(found) == plain_candidates(items, queries)
 
 
+def test_candidates_of_many_parts_meet_once(spark, monkeypatch):
+    """Many parts are split between both sides, so that the rows shuffled grow with their root; every pair is found once."""
+    items, queries, item_table, query_table = limit_tables(spark, 200, 60)
+    monkeypatch.setattr(range_grid, "PAIRS", 500)
+    monkeypatch.setattr(range_grid, "TASKS_OF_PART", 2)
+    assert rows(range_grid.candidates_per_query(query_table, item_table, LIMITS)) == plain_candidates(items, queries)
+    turns, shares = range_grid.dealt(256, 600_000, 6_000_000)
+    assert turns * shares >= 256 and 600_000 * turns + 6_000_000 * shares < 256 * 600_000 / 2
+    assert range_grid.dealt(1, 0, 0) == (1, 1) and range_grid.dealt(9, 10, 0) == (1, 9)
+
+
 def test_limits_on_blocks_of_queries(spark):
     items, queries, item_table, query_table = limit_tables(spark, 90, 40)
     inside = LIMITS.bind(LIMITS.ready(query_table).toArrow())
