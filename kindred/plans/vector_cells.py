@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 from kindred import constants as K
 from kindred.functions.vectors import norm
 from kindred.operators.scan import scan_topk
-from kindred.operators.scorers import MAIN, NOT_ELIGIBLE, vector_matrix
+from kindred.operators import scorers
+from kindred.operators.scorers import MAIN, NOT_ELIGIBLE, NearCosines, Room, cosine_error, vector_matrix
 from kindred.operators.topk import check_k, merge_topk, ranked, repeated, topk_per_query
 from kindred.shared import scratch, stored
 
@@ -197,10 +198,43 @@ class _CellScorer:
         known = self.units if len(spec.layout.pivots) else self.units[:, :0]
         self.visited = spec.layout.visited(known, self.real if len(spec.layout.pivots) else np.zeros(len(known), bool), self.radius)
         self.cells = spec.layout.cells.column("cell").to_numpy()
+        self.near = len(self.query_ids) >= scorers._NEAR_QUERIES and not np.isnan(self.units).any()
+        if self.near:
+            self.single, self.off = self.units.astype(np.float32), cosine_error(self.units)
+            self.room = Room(scorers._COSINE_CELLS // len(self.query_ids), len(self.query_ids))
+            # What is farther than the radius need not be given again.
+            self.least = np.where(np.isnan(self.radius), -np.inf, 1.0 - (self.radius + SLACK) ** 2 / 2)
 
     def width(self) -> int:
         return len(self.query_ids)
 
+    def parts(self, batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, NearCosines]]:
+        """Cosines in single precision, of the items of one cell at a time."""
+        of_item, distance = batch.column("cell").to_numpy(), batch.column("distance").to_numpy()
+        items = vector_matrix(batch.column("embedding"), self.units.shape[1])
+        length = np.sqrt((items * items).sum(axis=1))
+        items = items / np.where(length == 0, 1.0, length)[:, None]
+        for cell in np.unique(of_item):
+            visited = self.visited[:, np.searchsorted(self.cells, cell)]
+            asking = np.flatnonzero(visited)
+            if not len(asking):
+                continue
+            rows = np.flatnonzero(of_item == cell)
+            if cell >= 0 and not np.isnan(self.radius[asking]).any():
+                # Items outside the rings of all queries are left out.
+                q = _chords(self.units[asking], self.spec.layout.pivots[[cell]])[:, 0]
+                reach = self.radius[asking] + SLACK
+                rows = rows[(distance[rows] >= (q - reach).min()) & (distance[rows] <= (q + reach).max())]
+            if 2 * len(asking) > len(visited):  # the others are closed, which is cheaper than a copy
+                asking, single, off, least = slice(None), self.single, self.off, np.where(visited, self.least, np.inf)
+            else:
+                single, off, least = self.single[asking], self.off[asking], self.least[asking]
+            for at in range(0, len(rows), len(self.room.cosine)):
+                some = rows[at : at + len(self.room.cosine)]
+                out = self.room.cosine.ravel()[: len(some) * len(single)].reshape(len(some), len(single))
+                cosine = np.matmul(items[some].astype(np.float32), single.T, out=out)
+                yield MAIN, some, NearCosines(cosine, off, items[some], self.units, self.room, self.spec.demote, None, asking, least)
+
     def score(self, batch: pa.RecordBatch) -> dict[int, np.ndarray]:
         out = np.full((batch.num_rows, len(self.query_ids)), NOT_ELIGIBLE)
         of_item, distance = batch.column("cell").to_numpy(), batch.column("distance").to_numpy()

@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
@@ -223,6 +224,48 @@ def test_cells(spark, tmp_path, k, demote):
         assert report["visited"] < 0.5 * report["possible"]
 
 
+@pytest.mark.parametrize("demote", [None, 0.9])
+def test_large_blocks_meet_cells_in_single_precision_first(monkeypatch, demote):
+    """First cells and later ones, few and most queries asking: the same lists as in double precision."""
+    from kindred.operators import scorers
+    from kindred.plans import vector_cells
+
+    rng = np.random.default_rng(4)
+    def units(n):
+        x = rng.normal(size=(n, 4)).round(1)
+        x[rng.random(n) < 0.2] = [1.0, 0.0, 0.0, 1.0]
+        return x
+    pivots = units(6)
+    pivots /= np.sqrt((pivots * pivots).sum(axis=1))[:, None]
+    x = units(400)
+    length = np.sqrt((x * x).sum(axis=1))
+    assert (length > 0).all()
+    chords = vector_cells._chords(x / length[:, None], pivots)
+    cell = chords.argmin(axis=1)
+    order = np.lexsort((chords.min(axis=1), cell))
+    items = pa.record_batch({"item_id": pa.array(rng.permutation(400)[order], pa.int64()), "embedding": pa.array(x[order].tolist(), pa.list_(pa.float64())),
+                             "cell": pa.array(cell[order], pa.int32()), "distance": pa.array(chords.min(axis=1)[order])})
+    kinds = np.unique(cell)
+    cells = pa.table({"cell": pa.array(kinds, pa.int32()), "n": pa.array([int((cell == c).sum()) for c in kinds], pa.int64()),
+                      "least": pa.array([chords.min(axis=1)[cell == c].min() for c in kinds]), "greatest": pa.array([chords.min(axis=1)[cell == c].max() for c in kinds])})
+    spec = vector_cells.CellScoring(vector_cells.Layout(pivots, cells, 5), demote)
+    asked, near = units(40), 0
+    for radius in ([None] * 40, [1.0] * 40, [1.5] * 20 + [0.2] * 20):
+        queries = pa.table({"query_id": pa.array(range(40), pa.int64()), "embedding": pa.array(asked.tolist(), pa.list_(pa.float64())), "radius": pa.array(radius, pa.float64())})
+        def run():
+            found = [r for b in scorers.rank_batches(iter([items]), spec.bind(queries), 5) for r in b.to_pylist()]
+            # Beyond the radius nothing counts.
+            inside = [r for r in found if radius[0] is None or r["score"] >= 1 - radius[r["query_id"]] ** 2 / 2]
+            return sorted((r["query_id"], -round(r["score"], 9), r["item_id"]) for r in inside)
+        want = run()
+        monkeypatch.setattr(scorers, "_NEAR_QUERIES", 1)
+        monkeypatch.setattr(scorers, "_COSINE_CELLS", 40 * 30)
+        near += spec.bind(queries).near
+        assert run() == want and want
+        monkeypatch.undo()
+    assert near == 3
+
+
 def test_cells_store_no_pairs_of_queries_and_cells(spark, tmp_path, monkeypatch):
     """Vectors without clusters rule out nothing; what is stored stays within queries and lists all the same."""
     from kindred.plans import vector_cells
